@@ -11,7 +11,7 @@ import math
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import is_plain_word, named, sentinel_number, strip_marker, title_pair
@@ -87,17 +87,23 @@ def rare_names(names: DataFrame, number: int) -> DataFrame:
     )
 
 
-def compound_names(nouns: DataFrame, noun: str, number: int, seed: int | str) -> DataFrame:
-    """``surname``: two independent samples of plain nouns, put side by side."""
-    plain = nouns.where(is_plain_word(named(noun))).select(named(noun).alias("noun"))
-    first = sample_uniform(plain, number, "noun", f"{seed}:first")
-    second = sample_uniform(plain, number, "noun", f"{seed}:second")
-    zipped = zip_rows(
-        first.select(F.col("noun").alias("first")),
-        second.select(F.col("noun").alias("second")),
-        [F.md5(F.concat(F.lit(f"{seed}:first:"), "first"))],
-        [F.md5(F.concat(F.lit(f"{seed}:second:"), "second"))],
-    )
+def compound_names(
+    nouns: DataFrame, noun: str, number: int, seed: int | str, key: str | None = None
+) -> DataFrame:
+    """``surname``: two independent samples of plain nouns, put side by side.
+
+    ``key`` names the column that identifies a row, the noun itself by default;
+    give one when a noun occurs in several rows, so that each row has its own
+    chance to be drawn.
+    """
+    plain = nouns.where(is_plain_word(named(noun)))
+
+    def sample(part: str) -> DataFrame:
+        drawn = sample_uniform(plain, number, key or noun, f"{seed}:{part}")
+        order = _draw_order(f"{seed}:{part}", key or noun)
+        return drawn.select(named(noun).alias(part), order.alias(f"{part}_order"))
+
+    zipped = zip_rows(sample("first"), sample("second"), ["first_order"], ["second_order"])
     return zipped.select(title_pair(F.col("first"), F.col("second")).alias("surname"))
 
 
@@ -115,8 +121,8 @@ def assemble_records(
     """
 
     def numbered(sample: DataFrame, key: str, *columns: str) -> DataFrame:
-        order = F.md5(F.concat(F.lit(f"{seed}:{key}:"), named(key)))
-        return row_id(sample.select(key, *columns), order, key, name="patient_id")
+        order = _draw_order(f"{seed}:{key}", key)
+        return row_id(sample.select(key, *columns), order, name="patient_id")
 
     parts = [
         numbered(sample_uniform(forenames, number, "forename", f"{seed}:f"), "forename"),
@@ -136,6 +142,11 @@ def assemble_records(
     )
 
 
+def _draw_order(seed: str, key: str) -> Column:
+    """A random order of a sample, the same one for the same seed."""
+    return F.md5(F.concat_ws(":", F.lit(seed), named(key).cast("string")))
+
+
 # --- running jobs from a configuration --------------------------------------
 
 
@@ -181,8 +192,8 @@ def _rare_names(spark, input, number, output):
     write_parquet(rare_names(names, number), output)
 
 
-def _compound_names(spark, input, number, output, noun="noun", seed=0):
-    write_parquet(compound_names(read_any(spark, input), noun, number, seed), output)
+def _compound_names(spark, input, number, output, noun="noun", seed=0, key=None):
+    write_parquet(compound_names(read_any(spark, input), noun, number, seed, key), output)
 
 
 def _assemble_records(
