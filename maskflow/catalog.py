@@ -315,6 +315,12 @@ def audit_fanout_by_size(spark, sf_dir):
     return _audit_fanout(spark, sf_dir)
 
 
+@query(_FANOUT_SQL)
+def audit_fanout_chunked(spark, sf_dir):
+    """The same, as if most keys had more lookup rows than one task should get."""
+    return _audit_fanout(spark, sf_dir, broadcast_limit=0, group_rows=3)
+
+
 def _audit_fanout(spark, sf_dir, **options):
     lookup = op.prepare_lookup(
         table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", **options
@@ -797,9 +803,9 @@ def _sql_numbered(name: str, rows: str, key: str, draw: str, n: int, order_seed:
 
 @query(
     f"""with words as (
-          select distinct unnest(string_split_regex(text, '[^A-Za-z_-]+')) as noun
-          from documents),
-        plain as (select noun from words where noun <> '' and not contains(noun, '-')
+          select distinct unnest(string_split(text, ' ')) as noun from documents),
+        plain as (select noun from words where regexp_full_match(noun, '[A-Za-z_-]+')
+          and not contains(noun, '-')
           and not contains(noun, '_') and lower(noun) = noun),
         {_sql_numbered('a', 'plain', 'noun', _sql_draw('5:first', 'noun'), 40, '5:first')},
         {_sql_numbered('b', 'plain', 'noun', _sql_draw('5:second', 'noun'), 40, '5:second')}
@@ -810,9 +816,13 @@ def _sql_numbered(name: str, rows: str, key: str, draw: str, n: int, order_seed:
 def compound_names(spark, sf_dir):
     """The words of all documents as the table of nouns."""
     words = table(spark, sf_dir, "documents").select(
-        F.explode(F.split("text", "[^A-Za-z_-]+")).alias("noun")
+        F.explode(F.split("text", " ")).alias("noun")
     )
-    return jobs.compound_names(words.where("noun <> ''").distinct(), "noun", 40, 5)
+    nouns = words.distinct().where(F.col("noun").rlike("^[A-Za-z_-]+$"))
+    # Four passes read the nouns, so they are a table and not a plan.
+    path = scratch_path(spark, "nouns")
+    jobs.write_parquet(nouns, path)
+    return jobs.compound_names(spark.read.parquet(path), "noun", 40, 5)
 
 
 @query(

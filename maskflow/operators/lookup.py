@@ -1,53 +1,71 @@
 """Static lookup tables and the left join that reads from them.
 
 A lookup is measured once, by one distributed aggregate over its key and value
-columns. The measurement decides three things that must not be guessed:
+columns. The measurement decides what must not be guessed:
 
 * whether it may be broadcast (its size is bounded by ``broadcast_limit``);
 * whether a key occurs more than once, so that a match makes several rows;
 * whether the table breaks a promise of unique keys.
 
-Beyond the limit the join shuffles. Then rows are spread over ``salts`` copies
-of the lookup, so that one key holding a third of all records does not end up
-in one task; adaptive execution can split further what is still too large.
-Records without a key match nothing and are spread over all tasks.
+Beyond the limit the join shuffles, and a key may be hot on either side.
+
+Many records with one key: both sides are left as shuffles of a sort-merge
+join, the form in which adaptive execution splits a partition that is too
+large. Where that is switched off, or a stream keeps the lookup laid out by
+key, the lookup is copied under several salts and the records are spread over
+them. Records without a key match nothing and are spread over all tasks.
+
+Many lookup rows with one key: past ``GROUP_ROWS`` they are divided into chunks,
+and a record is first told how many chunks its key has, then joined to each.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import named
 
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-SALTS = 16
+BROADCAST_LIMIT_BYTES = 64 << 20
+REPLICATION_BUDGET_BYTES = 16 << 30
+MAX_SALTS = 16
+GROUP_ROWS = 100_000
 
 # Bytes a row costs in a broadcast hash table beyond its own text.
 _ROW_OVERHEAD = 64
+# Copies of one row are made in blocks, so that no array grows with the table.
+_BLOCK = 4096
 
 KEY = "__lookup_key"
 VALUE = "__lookup_value"
 FIRST = "__lookup_first"
+_CHUNK = "__lookup_chunk"
+_CHUNKS = "__lookup_chunks"
 _SALT = "__salt"
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """A measured snapshot: unique-named key and value columns, ready to join."""
+    """A measured snapshot of a lookup table, ready to join.
+
+    ``rows`` holds ``KEY`` and ``VALUE``, and ``FIRST`` when ``marked``: true on
+    one row of every key. ``chunks`` has the number of chunks per key where
+    keys have very many rows.
+    """
 
     rows: DataFrame
     broadcast: bool
     marked: bool
     salts: int
-    cached: DataFrame | None = None
+    chunks: DataFrame | None = None
+    cached: list[DataFrame] = field(default_factory=list)
 
     def close(self) -> None:
-        if self.cached is not None:
-            self.cached.unpersist()
+        for table in self.cached:
+            table.unpersist()
 
 
 def prepare_lookup(
@@ -56,15 +74,17 @@ def prepare_lookup(
     value: str,
     on_duplicate_key: str = "fanout",
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
-    salts: int = SALTS,
+    salts: int | None = None,
+    group_rows: int = GROUP_ROWS,
     cache: bool = False,
     mark_first: bool = True,
 ) -> Lookup:
     """Measure a lookup table and fix how it is joined.
 
     ``mark_first`` tells one copy of each record apart where a key has several
-    rows; the audit trail needs that. ``cache`` pins the snapshot for plans that read it many times, such as a
-    stream that joins it in every micro-batch; ``close()`` lets it go.
+    rows; the audit trail needs that. ``cache`` pins the snapshot for plans
+    that read it many times, such as a stream that joins it in every
+    micro-batch; ``close()`` lets it go.
     """
     if on_duplicate_key not in ("fanout", "error"):
         raise ValueError(f"on_duplicate_key must be 'fanout' or 'error', not {on_duplicate_key!r}")
@@ -81,19 +101,25 @@ def prepare_lookup(
         raise ValueError(f"lookup key {key!r} is not unique: one key occurs {copies} times")
 
     small = n_bytes <= broadcast_limit
+    if salts is None:
+        salts = 1 if small else _salts_for(rows.sparkSession, n_bytes, cache)
+    chunked = not small and copies > group_rows
     marked = mark_first and copies > 1
-    if marked:
-        rows = _mark_first(rows, small, salts)
-    if not small:
-        rows = _replicate(rows, salts)
-    cached = None
-    if cache:
-        if not small:
-            partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            # Laid out by the join keys once, so later joins move only records.
-            rows = rows.repartition(partitions, KEY, _SALT)
-        rows = cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    return Lookup(rows, small, marked, salts, cached)
+    chunks = None
+    if marked or chunked:
+        rows = _mark_first(rows, small, salts, group_rows)
+    if chunked:
+        chunks = (
+            rows.groupBy(KEY).agg((F.max(_CHUNK) + 1).alias(_CHUNKS)).where(F.col(_CHUNKS) > 1)
+        )
+    lookup = Lookup(
+        rows.select(KEY, VALUE, *[FIRST] * marked, *[_CHUNK] * chunked),
+        small,
+        marked,
+        salts,
+        chunks,
+    )
+    return _pin(lookup) if cache else lookup
 
 
 def join_lookup(df: DataFrame, source: str, destination: str, lookup: Lookup) -> DataFrame:
@@ -105,8 +131,10 @@ def join_lookup(df: DataFrame, source: str, destination: str, lookup: Lookup) ->
     """
     if lookup.broadcast:
         joined = df.join(F.broadcast(lookup.rows), named(source) == F.col(KEY), "left")
+    elif lookup.chunks is None:
+        joined = _spread_left_join(df, named(source), lookup.rows, lookup.salts)
     else:
-        joined = _salted_left_join(df, named(source), lookup.rows, lookup.salts)
+        joined = _chunked_left_join(df, source, lookup)
     columns = [
         F.col(VALUE).alias(destination) if c == destination else named(c) for c in df.columns
     ]
@@ -129,48 +157,114 @@ def _width(column: str) -> Column:
     return F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0)).cast("long")
 
 
-def _mark_first(rows: DataFrame, small: bool, salts: int) -> DataFrame:
-    """Mark one row per key, the one with the smallest value.
+def _salts_for(spark: SparkSession, n_bytes: int, cache: bool) -> int:
+    """How many copies of a lookup to spread hot keys over.
+
+    One, when adaptive execution sees both sides of the join as shuffles and
+    splits what is hot; else as many as the budget for copies allows.
+    """
+    splits = all(
+        spark.conf.get(name).lower() == "true"
+        for name in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    )
+    if splits and not cache:
+        return 1
+    return max(1, min(MAX_SALTS, REPLICATION_BUDGET_BYTES // max(1, n_bytes)))
+
+
+def _pin(lookup: Lookup) -> Lookup:
+    """Keep the snapshot on the executors, a shuffled one laid out by the join keys."""
+    rows = lookup.rows
+    if not lookup.broadcast and lookup.salts > 1 and lookup.chunks is None:
+        # Later joins then move only records. Without salts it is not laid out:
+        # adaptive execution must see a shuffle on both sides to split a hot key.
+        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = _replicate(rows, lookup.salts).repartition(partitions, KEY, _SALT)
+    pinned = [t.persist(StorageLevel.MEMORY_AND_DISK) for t in (rows, lookup.chunks) if t]
+    return Lookup(
+        rows, lookup.broadcast, lookup.marked, lookup.salts, lookup.chunks, pinned
+    )
+
+
+def _mark_first(rows: DataFrame, small: bool, salts: int, group_rows: int) -> DataFrame:
+    """Mark one row per key, the one with the smallest value, and number chunks.
 
     Written with aggregates that combine before the shuffle instead of a
-    window, so a key with very many values is never gathered in one task.
+    window, so a key with very many rows is never gathered in one task.
     """
     counted = rows.groupBy(KEY, VALUE).agg(F.count("*").alias("copies"))
     lead = counted.groupBy(F.col(KEY).alias("lead_key")).agg(
-        F.min(F.struct(VALUE)).alias("lead")
+        F.min(F.struct(VALUE)).alias("lead"), F.sum("copies").alias("rows")
     )
     if small:
         marked = counted.join(F.broadcast(lead), F.col(KEY) == F.col("lead_key"), "left")
     else:
-        lead = _replicate(lead, salts)
-        marked = _salted_left_join(counted, F.col(KEY), lead, salts, "lead_key")
-    return marked.select(
+        marked = _spread_left_join(counted, F.col(KEY), lead, salts, "lead_key")
+    last_block = F.floor((F.col("copies") - 1) / _BLOCK)
+    blocks = marked.select(
         KEY,
         VALUE,
+        "copies",
+        F.ceil(F.col("rows") / group_rows).alias("chunks"),
         F.col(VALUE).eqNullSafe(F.col(f"lead.{VALUE}")).alias("leads"),
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
-    ).select(KEY, VALUE, (F.col("leads") & (F.col("copy") == 1)).alias(FIRST))
+        F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("block"),
+    )
+    start = F.col("block") * _BLOCK
+    copy = F.explode(F.sequence(start, F.least(F.col("copies"), start + _BLOCK) - 1))
+    each = blocks.select(KEY, VALUE, "chunks", "leads", copy.alias("copy"))
+    return each.select(
+        KEY,
+        VALUE,
+        (F.col("leads") & (F.col("copy") == 0)).alias(FIRST),
+        F.pmod(F.xxhash64(VALUE, "copy"), F.col("chunks")).cast("int").alias(_CHUNK),
+    )
 
 
 def _replicate(rows: DataFrame, salts: int) -> DataFrame:
     return rows.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
-def _salted_left_join(
-    df: DataFrame, key: Column, replicated: DataFrame, salts: int, right_key: str = KEY
+def _spread_left_join(
+    df: DataFrame,
+    key: Column,
+    right: DataFrame,
+    salts: int,
+    right_key: str = KEY,
+    also: Column | None = None,
 ) -> DataFrame:
-    """Left join against a replicated right side, with the left side spread out.
+    """Left join on a key by shuffle, with the left side spread over the salts.
 
     The salt comes from the number of the row's input partition alone: it needs
     no column to be read, it spreads exact copies of one row, and a task that
     runs again after an executor is lost gives the same salt.
     """
+    if _SALT not in right.columns:
+        right = _replicate(right, salts)
     partition = F.spark_partition_id()
     # A missing key equals nothing, so any salt is right and a wide one spreads it.
     salt = F.when(key.isNull(), partition).otherwise(partition % F.lit(salts))
     on = (key == F.col(right_key)) & (F.col("__row_salt") == F.col(_SALT))
-    salted = df.withColumn("__row_salt", salt)
-    # The right side was measured as too large to broadcast; an estimate made
-    # before it is replicated must not decide otherwise.
-    replicated = replicated.hint("merge")
-    return salted.join(replicated, on, "left").drop("__row_salt", _SALT)
+    if also is not None:
+        on = on & also
+    # The right side was measured as too large to broadcast; an estimate of
+    # Spark's must not decide otherwise.
+    joined = df.withColumn("__row_salt", salt).join(right.hint("merge"), on, "left")
+    return joined.drop("__row_salt", _SALT)
+
+
+def _chunked_left_join(df: DataFrame, source: str, lookup: Lookup) -> DataFrame:
+    """Left join where a key of the lookup may have any number of rows.
+
+    Every record becomes one row per chunk of its key, and each of those meets
+    at most about ``group_rows`` lookup rows.
+    """
+    per_key = lookup.chunks.select(F.col(KEY).alias("__chunked_key"), _CHUNKS)
+    counted = _spread_left_join(df, named(source), per_key, lookup.salts, "__chunked_key")
+    last = F.coalesce(F.col(_CHUNKS), F.lit(1)) - 1
+    spread = counted.drop("__chunked_key").withColumn(
+        "__row_chunk", F.explode(F.sequence(F.lit(0), last))
+    )
+    same_chunk = F.col("__row_chunk") == F.col(_CHUNK)
+    joined = _spread_left_join(spread, named(source), lookup.rows, lookup.salts, also=same_chunk)
+    # A chunk that happens to be empty is no miss: the key has other chunks.
+    return joined.where(F.col(_CHUNKS).isNull() | F.col(KEY).isNotNull())

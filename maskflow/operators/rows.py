@@ -10,7 +10,13 @@ from ..functions import named
 from ..session import shared_root
 
 
-def row_id(df: DataFrame, *order: str | Column, name: str = "row_id") -> DataFrame:
+# Up to this many rows a table may be gathered and sorted by one task.
+ONE_TASK_ROWS = 1_000_000
+
+
+def row_id(
+    df: DataFrame, *order: str | Column, name: str = "row_id", at_most: int | None = None
+) -> DataFrame:
     """Number the rows 0, 1, 2, … without gaps in the given order.
 
     Rows are sorted into ranges; a row's number is its position in its range
@@ -21,12 +27,19 @@ def row_id(df: DataFrame, *order: str | Column, name: str = "row_id") -> DataFra
     The ranges are written to the shared checkpoint folder once, because range
     bounds are drawn from a sample: counting and numbering must see the very
     same ranges, also when an executor is lost in between.
+
+    ``at_most`` is for tables with a proven bound, such as a sample of n rows:
+    up to ``ONE_TASK_ROWS`` they are numbered in one task, without the folder.
     """
-    shared_root(df.sparkSession)
     order_by = [named(o) if isinstance(o, str) else o for o in order]
     content = [
         named(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)
     ]
+    if at_most is not None and at_most <= ONE_TASK_ROWS:
+        whole = Window.orderBy(*order_by, F.xxhash64(*content))
+        return df.withColumn(name, F.row_number().over(whole).cast("long") - 1)
+
+    shared_root(df.sparkSession)
     keys = [f"__order_{i}" for i in range(len(order_by))]
     keyed = df.withColumns(
         dict(zip(keys, order_by))
@@ -62,11 +75,12 @@ def zip_rows(
     left_order: list[str | Column],
     right_order: list[str | Column],
     name: str = "row_id",
+    at_most: int | None = None,
 ) -> DataFrame:
     """Put two tables side by side by position, as long as the shorter one.
 
     Numbers are unique on both sides, so the join has no hot key.
     """
-    return row_id(left, *left_order, name=name).join(
-        row_id(right, *right_order, name=name), name
+    return row_id(left, *left_order, name=name, at_most=at_most).join(
+        row_id(right, *right_order, name=name, at_most=at_most), name
     )

@@ -11,10 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import named, unit_hash
-from .rows import row_id
-
-# Up to this size a sample is gathered by one task, beyond it by a range sort.
-ONE_TASK_ROWS = 1_000_000
+from .rows import ONE_TASK_ROWS, row_id
 
 _DRAW = "__draw"
 _LEVELS_PER_OCTAVE = 16

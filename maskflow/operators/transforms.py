@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import named
-from .lookup import BROADCAST_LIMIT_BYTES, FIRST, SALTS, Lookup, join_lookup, prepare_lookup
+from .lookup import FIRST, Lookup, join_lookup, prepare_lookup
 
 
 def translate(
@@ -24,19 +24,16 @@ def translate(
     lookup: DataFrame | Lookup,
     key: str | None = None,
     value: str | None = None,
-    on_duplicate_key: str = "fanout",
-    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
-    salts: int = SALTS,
+    **options,
 ) -> DataFrame:
     """Look ``source`` up and put the value found in ``destination``.
 
     A record without a match keeps its row and gets null. A key that the lookup
     holds m times makes m rows, or an error when ``on_duplicate_key="error"``.
+    Other options are those of ``prepare_lookup``.
     """
     if isinstance(lookup, DataFrame):
-        lookup = prepare_lookup(
-            lookup, key, value, on_duplicate_key, broadcast_limit, salts, mark_first=False
-        )
+        lookup = prepare_lookup(lookup, key, value, mark_first=False, **options)
     return join_lookup(df, source, destination, lookup).drop(FIRST)
 
 

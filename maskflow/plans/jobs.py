@@ -103,7 +103,9 @@ def compound_names(
         order = _draw_order(f"{seed}:{part}", key or noun)
         return drawn.select(named(noun).alias(part), order.alias(f"{part}_order"))
 
-    zipped = zip_rows(sample("first"), sample("second"), ["first_order"], ["second_order"])
+    zipped = zip_rows(
+        sample("first"), sample("second"), ["first_order"], ["second_order"], at_most=number
+    )
     return zipped.select(title_pair(F.col("first"), F.col("second")).alias("surname"))
 
 
@@ -122,7 +124,7 @@ def assemble_records(
 
     def numbered(sample: DataFrame, key: str, *columns: str) -> DataFrame:
         order = _draw_order(f"{seed}:{key}", key)
-        return row_id(sample.select(key, *columns), order, name="patient_id")
+        return row_id(sample.select(key, *columns), order, name="patient_id", at_most=number)
 
     parts = [
         numbered(sample_uniform(forenames, number, "forename", f"{seed}:f"), "forename"),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MICRO_BATCH_BYTES = 64 << 30
+
 
 def read_kafka(
     spark: SparkSession,
@@ -44,8 +46,14 @@ def read_files(
 
     ``json`` is read as lines of text in a column ``value``, to be decoded like
     the values of a topic. Every other format gives the declared columns.
+
+    A stream takes ``MICRO_BATCH_BYTES`` of files at a time unless the options
+    say otherwise, so that a folder with a long history is not one micro-batch.
     """
-    reader = (spark.readStream if streaming else spark.read).options(**(options or {}))
+    options = dict(options or {})
+    if streaming and not {"maxFilesPerTrigger", "maxBytesPerTrigger"} & set(options):
+        options["maxBytesPerTrigger"] = str(MICRO_BATCH_BYTES)
+    reader = (spark.readStream if streaming else spark.read).options(**options)
     if format == "json":
         return reader.text(path)
     return reader.format(format).schema(schema).load(path)

@@ -22,3 +22,12 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+def ddl(text):
+    """A schema from text like ``id int, name string``, without a session."""
+    from pyspark.sql import types as T
+
+    kinds = {"int": T.IntegerType(), "long": T.LongType(), "string": T.StringType()}
+    pairs = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in pairs])
