@@ -40,15 +40,11 @@ def row_id(
         return df.withColumn(name, F.row_number().over(whole).cast("long") - 1)
 
     shared_root(df.sparkSession)
-    keys = [f"__order_{i}" for i in range(len(order_by))]
-    keyed = df.withColumns(
-        dict(zip(keys, order_by))
-        | {"__tie": F.xxhash64(*content), "__from": F.spark_partition_id()}
-    )
+    tied = df.withColumns({"__tie": F.xxhash64(*content), "__from": F.spark_partition_id()})
     ranged = (
-        keyed.repartitionByRange(*keys, "__tie", "__from")
-        .sortWithinPartitions(*keys, "__tie")
-        .drop(*keys, "__tie", "__from")
+        tied.repartitionByRange(*order_by, "__tie", "__from")
+        .sortWithinPartitions(*order_by, "__tie")
+        .drop("__tie", "__from")
     )
     part = F.spark_partition_id()
     first = F.shiftleft(part.cast("long"), 33)  # the first id Spark gives in a partition
