@@ -7,6 +7,7 @@ what DuckDB computes on the same Parquet files, under the same column names.
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -535,39 +536,7 @@ def batch_metadata(spark, sf_dir):
 
 # --- a specification, end to end ------------------------------------------------
 
-SPEC = """
-schemas:
-  - name: order_source
-    primary_field: o_orderkey
-    fields: {o_orderkey: long, o_custkey: long, o_orderstatus: string,
-             o_totalprice: double, o_orderdate: timestamp_ntz, o_orderpriority: string}
-  - name: order_pseudo
-    primary_field: o_orderkey
-    fields: {batch_id: integer, inserted_at: timestamp, o_orderkey: long, o_custkey: long,
-             o_orderstatus: string, o_totalprice: double, o_orderdate: timestamp_ntz,
-             o_orderpriority: string, segment: string}
-connectors:
-  - id: lake
-    connector_type: deltalake
-    tables:
-      - {table_name: order_pseudo, table_schema: order_pseudo, filepath_env: ORDER_PSEUDO,
-         partition_on: inserted_at}
-pipelines:
-  - id: order_pseudonymiser
-    pipeline_type: transformer
-    source: {source_type: file, filepath_env: ORDER_SOURCE, source_schema: order_source,
-             format: parquet}
-    sink: {sink_type: deltalake, connector_id: lake, table: order_pseudo, trigger_seconds: 60}
-    audit: {sink_type: file, filepath_env: ORDER_AUDIT, format: json, trigger_seconds: 60}
-    transforms:
-      - {transform_type: translate, source_column: o_custkey, destination_column: segment,
-         fixture_filepath_env: CUSTOMER_SEGMENT, key_column: c_custkey,
-         value_column: c_mktsegment}
-      - {transform_type: redact, source_column: o_orderstatus,
-         destination_column: o_orderstatus, replace_with: XXXXX}
-      - {transform_type: split_pick, source_column: o_orderpriority,
-         destination_column: o_orderpriority, split_by: '-', pick_index: 0}
-"""
+SPEC = str(Path(__file__).parent / "examples" / "orders.yml")
 
 
 def _spec_env(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -586,7 +555,7 @@ def spec_batch_records(spark, sf_dir):
     from .plans.pipeline import run_batch
     from .spec import Store
 
-    plan = run_batch(spark, Store.parse(SPEC), PIPELINE, _spec_env(spark, sf_dir))
+    plan = run_batch(spark, Store.load(filepath=SPEC), PIPELINE, _spec_env(spark, sf_dir))
     return plan.data_sink.read(spark).drop("batch_id", "inserted_at")
 
 
@@ -597,7 +566,7 @@ def spec_stream_audit(spark, sf_dir):
 
     env = _spec_env(spark, sf_dir)
     run = run_stream(
-        spark, Store.parse(SPEC), PIPELINE, env, available_now=True, checkpoint=env["CHECKPOINT"]
+        spark, Store.load(filepath=SPEC), PIPELINE, env, available_now=True, checkpoint=env["CHECKPOINT"]
     )
     run.await_termination()
     return run.audit_sink.read(spark)
@@ -888,7 +857,7 @@ def viewer_counts(spark, sf_dir):
     from .plans.pipeline import run_batch
     from .spec import Store
 
-    plan = run_batch(spark, Store.parse(SPEC), PIPELINE, _spec_env(spark, sf_dir))
+    plan = run_batch(spark, Store.load(filepath=SPEC), PIPELINE, _spec_env(spark, sf_dir))
     sides = {
         "source": table(spark, sf_dir, "orders"),
         "records": plan.data_sink.read(spark),

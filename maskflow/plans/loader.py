@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import spec
-from ..sources.decode import CORRUPT
+from ..sources.decode import CORRUPT, parse_once
 
 
 def load_records(
@@ -31,8 +31,7 @@ def check_records(
     lines: DataFrame, schema: T.StructType, primary: str
 ) -> tuple[DataFrame, DataFrame]:
     """The same check on any table with a column ``value`` of text, and ``file``."""
-    flagged = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    record = F.from_json("value", flagged, {"columnNameOfCorruptRecord": CORRUPT})
+    record = parse_once(F.col("value"), schema)
     parsed = lines.select("value", "file", record.alias("record"))
     key = F.col("record")[primary]
     good = F.col("record")[CORRUPT].isNull() & key.isNotNull()

@@ -111,12 +111,14 @@ def run_batch(
     outputs = [(plan.data_sink, plan.data), (plan.audit_sink, plan.audit)]
     if plan.rejected is not None:
         outputs.append((plan.rejected_sink, plan.rejected))
-    for sink, frame in outputs:
-        sink.prepare(spark)
-        sink.write(frame, run_id, 0)
-        if isinstance(sink, MemorySink):
-            sink.snapshot(spark)
-    plan.close()
+    try:
+        for sink, frame in outputs:
+            sink.prepare(spark)
+            sink.write(frame, run_id, 0)
+            if isinstance(sink, MemorySink):
+                sink.snapshot(spark)
+    finally:
+        plan.close()
     return plan
 
 

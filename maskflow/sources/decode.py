@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +37,15 @@ def decode_json(
 
 def flag_malformed(df: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
     """Decode, with the text of a row that does not fit the schema in ``CORRUPT``."""
+    return df.select(parse_once(named(value_col), schema).alias("record")).select("record.*")
+
+
+def parse_once(value: Column, schema: T.StructType) -> Column:
+    """A generator of one record per row, ``CORRUPT`` among its fields.
+
+    A filter on a plain ``from_json`` column is pushed below it and parses the
+    text a second time; it cannot be pushed below a generator.
+    """
     flagged = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    record = F.from_json(
-        named(value_col).cast("string"), flagged, {"columnNameOfCorruptRecord": CORRUPT}
-    )
-    return df.select(record.alias("record")).select("record.*")
+    record = F.from_json(value.cast("string"), flagged, {"columnNameOfCorruptRecord": CORRUPT})
+    return F.explode_outer(F.array(record))

@@ -87,7 +87,7 @@ class LakeTable(SpecModel):
     table_schema: str
     filepath_env: str
     partition_on: str
-    format: str = "parquet"
+    format: Literal["parquet", "orc"] = "parquet"
 
 
 class LakeConnector(SpecModel):

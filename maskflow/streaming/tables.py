@@ -66,13 +66,14 @@ def write_batch(
 
     The leaf is written as a folder of its own, so no sort by partition columns
     is needed and the tasks write straight to files. ``partition_on`` divides a
-    leaf further; ``coalesce`` makes fewer files of it, at the price of fewer
-    tasks, and is off unless given.
+    leaf further. ``coalesce`` makes that many files of a leaf, or more where
+    they would grow beyond Spark's advisory size: only the rows to be written
+    are moved, so the work before the write keeps all its tasks.
     """
     leaf = f"{path.rstrip('/')}/{QUERY_ID}={query_id}/{BATCH_ID}={batch_id}"
     rows = df.drop(QUERY_ID, BATCH_ID)
     if coalesce:
-        rows = rows.coalesce(coalesce)
+        rows = rows.hint("rebalance", coalesce)
     writer = rows.write.mode("overwrite").format(format)
     if partition_on and partition_on not in _PER_BATCH:
         writer = writer.partitionBy(partition_on)

@@ -163,6 +163,17 @@ def test_table_divided_by_a_column(spark, tmp_path):
     assert job.tables() == job.expected()
 
 
+def test_coalesced_batch_is_one_file_unless_large(spark, tmp_path):
+    df = spark.range(0, 100_000, 1, 12)
+    write_batch(df, str(tmp_path / "t"), "q", 0, coalesce=1)
+    assert len(list((tmp_path / "t").glob("*/batch_id=0/*.parquet"))) == 1
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    write_batch(df, str(tmp_path / "t"), "q", 1, coalesce=1)
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t").glob("*/batch_id=1/*.parquet"))) > 1
+    assert read_table(spark, str(tmp_path / "t"), df.schema).count() == 200_000
+
+
 def test_memory_sinks_give_snapshots(job):
     data = MemorySink("seen", 1, 2, schema=T.StructType([f for f in PSEUDO if f.name in FIELDS]))
     audit = MemorySink("seen_audit", 1, 1, schema=AUDIT)
