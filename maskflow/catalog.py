@@ -639,7 +639,7 @@ def _sql_draw(seed: str, key: str) -> str:
 
 @query(f"select * from orders order by {_sql_draw('7', 'o_orderkey')}, o_orderkey limit 500")
 def uniform_sample(spark, sf_dir):
-    return op.sample_uniform(table(spark, sf_dir, "orders"), 500, "o_orderkey", 7)
+    return op.sample_uniform(table(spark, sf_dir, "orders"), 500, "o_orderkey", 7, "md5")
 
 
 @query(
@@ -648,14 +648,14 @@ def uniform_sample(spark, sf_dir):
 )
 def weighted_sample(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
-    return op.sample_weighted(part, 100, "p_partkey", "p_size", 7)
+    return op.sample_weighted(part, 100, "p_partkey", "p_size", 7, "md5")
 
 
 @query(
     f"""select * from customer order by {_sql_draw('11', 'c_custkey')}, c_custkey limit 30"""
 )
 def preview(spark, sf_dir):
-    return op.preview(table(spark, sf_dir, "customer"), 30, seed=11, key="c_custkey")
+    return op.preview(table(spark, sf_dir, "customer"), 30, 11, "c_custkey", "md5")
 
 
 @query(
@@ -791,19 +791,19 @@ def compound_names(spark, sf_dir):
     # Four passes read the nouns, so they are a table and not a plan.
     path = scratch_path(spark, "nouns")
     jobs.write_parquet(nouns, path)
-    return jobs.compound_names(spark.read.parquet(path), "noun", 40, 5)
+    return jobs.compound_names(spark.read.parquet(path), "noun", 40, 5, algorithm="md5")
 
 
 @query(
     f"""with diseases as (select p_name as disease, sum(p_size) as usage from part group by all),
         places as (select cast(o_orderkey as varchar) as postcode, o_orderpriority as city
                    from orders),
-        {_sql_numbered('f', 'customer', 'c_name', _sql_draw('3:f', 'c_name'), 60, '3:forename')},
-        {_sql_numbered('s', 'part', 'p_partkey', _sql_draw('3:s', 'p_partkey'), 60, '3:surname')},
-        {_sql_numbered('p', 'places', 'postcode', _sql_draw('3:p', 'postcode'), 60,
+        {_sql_numbered('f', 'customer', 'c_name', _sql_draw('3:forename:draw', 'c_name'), 60, '3:forename')},
+        {_sql_numbered('s', 'part', 'p_partkey', _sql_draw('3:surname:draw', 'p_partkey'), 60, '3:surname')},
+        {_sql_numbered('p', 'places', 'postcode', _sql_draw('3:postcode:draw', 'postcode'), 60,
                        '3:postcode')},
         {_sql_numbered('d', 'diseases', 'disease',
-                       '-ln(' + _sql_draw('3:d', 'disease') + ') / usage', 60, '3:disease')}
+                       '-ln(' + _sql_draw('3:disease:draw', 'disease') + ') / usage', 60, '3:disease')}
         select cast(f.i as integer) as patient_id, f.c_name || ' ' || s.p_partkey as patient_name,
                p.city, p.postcode, d.disease
         from f join s on f.i = s.i join p on f.i = p.i join d on f.i = d.i"""
@@ -820,6 +820,7 @@ def assemble_records(spark, sf_dir):
         part.groupBy(F.col("p_name").alias("disease")).agg(F.sum("p_size").alias("usage")),
         60,
         3,
+        algorithm="md5",
     )
 
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import named
@@ -106,12 +106,15 @@ def prepare_lookup(
     chunked = not small and copies > group_rows
     marked = mark_first and copies > 1
     chunks = None
-    if marked or chunked:
-        rows = _mark_first(rows, small, salts, group_rows)
     if chunked:
+        rows = _divide(rows, salts, group_rows)
         chunks = (
             rows.groupBy(KEY).agg((F.max(_CHUNK) + 1).alias(_CHUNKS)).where(F.col(_CHUNKS) > 1)
         )
+    elif marked:
+        # Keys have few rows each, or the whole table is small: both measured.
+        within_key = Window.partitionBy(KEY).orderBy(VALUE)
+        rows = rows.withColumn(FIRST, F.row_number().over(within_key) == 1)
     lookup = Lookup(
         rows.select(KEY, VALUE, *[FIRST] * marked, *[_CHUNK] * chunked),
         small,
@@ -186,8 +189,8 @@ def _pin(lookup: Lookup) -> Lookup:
     )
 
 
-def _mark_first(rows: DataFrame, small: bool, salts: int, group_rows: int) -> DataFrame:
-    """Mark one row per key, the one with the smallest value, and number chunks.
+def _divide(rows: DataFrame, salts: int, group_rows: int) -> DataFrame:
+    """Divide the rows of a key into chunks, and mark the first row of every key.
 
     Written with aggregates that combine before the shuffle instead of a
     window, so a key with very many rows is never gathered in one task.
@@ -196,10 +199,7 @@ def _mark_first(rows: DataFrame, small: bool, salts: int, group_rows: int) -> Da
     lead = counted.groupBy(F.col(KEY).alias("lead_key")).agg(
         F.min(F.struct(VALUE)).alias("lead"), F.sum("copies").alias("rows")
     )
-    if small:
-        marked = counted.join(F.broadcast(lead), F.col(KEY) == F.col("lead_key"), "left")
-    else:
-        marked = _spread_left_join(counted, F.col(KEY), lead, salts, "lead_key")
+    marked = _spread_left_join(counted, F.col(KEY), lead, salts, "lead_key")
     last_block = F.floor((F.col("copies") - 1) / _BLOCK)
     blocks = marked.select(
         KEY,

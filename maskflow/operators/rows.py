@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import named
-from ..session import shared_root
+from ..session import scratch_path
 
 
 # Up to this many rows a table may be gathered and sorted by one task.
@@ -24,7 +24,7 @@ def row_id(
     and then by its input partition, so a value that very many rows share is
     cut into several ranges as well.
 
-    The ranges are written to the shared checkpoint folder once, because range
+    The ranges are written to a table in the shared folder once, because range
     bounds are drawn from a sample: counting and numbering must see the very
     same ranges, also when an executor is lost in between.
 
@@ -39,7 +39,6 @@ def row_id(
         whole = Window.orderBy(*order_by, F.xxhash64(*content))
         return df.withColumn(name, F.row_number().over(whole).cast("long") - 1)
 
-    shared_root(df.sparkSession)
     tied = df.withColumns({"__tie": F.xxhash64(*content), "__from": F.spark_partition_id()})
     ranged = (
         tied.repartitionByRange(*order_by, "__tie", "__from")
@@ -48,9 +47,12 @@ def row_id(
     )
     part = F.spark_partition_id()
     first = F.shiftleft(part.cast("long"), 33)  # the first id Spark gives in a partition
-    placed = ranged.withColumns(
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranges")
+    ranged.withColumns(
         {"__range": part, "__position": F.monotonically_increasing_id() - first}
-    ).checkpoint()
+    ).write.parquet(path)
+    placed = spark.read.parquet(path)
 
     # One row per range, so the broadcast is bounded by the number of tasks.
     earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)

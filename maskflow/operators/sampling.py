@@ -18,13 +18,24 @@ _LEVELS_PER_OCTAVE = 16
 _LAST_LEVEL = 1 << 20  # above every level a double can have
 
 
-def sample_uniform(df: DataFrame, n: int, key: str, seed: int | str) -> DataFrame:
-    """n rows, all equally likely; all rows when there are fewer."""
-    return smallest(df, n, unit_hash(seed, named(key)), key)
+def sample_uniform(
+    df: DataFrame, n: int, key: str, seed: int | str, algorithm: str = "xxhash64"
+) -> DataFrame:
+    """n rows, all equally likely; all rows when there are fewer.
+
+    ``algorithm`` is that of ``unit_hash``: ``md5`` for draws that another
+    engine is to repeat.
+    """
+    return smallest(df, n, unit_hash(seed, named(key), algorithm=algorithm), key)
 
 
 def sample_weighted(
-    df: DataFrame, n: int, key: str, weight: str, seed: int | str
+    df: DataFrame,
+    n: int,
+    key: str,
+    weight: str,
+    seed: int | str,
+    algorithm: str = "xxhash64",
 ) -> DataFrame:
     """n rows, drawn one after the other with chances in proportion to weight.
 
@@ -32,8 +43,8 @@ def sample_weighted(
     first. Rows whose weight is null, zero or negative are never chosen.
     """
     w = named(weight).cast("double")
-    chosen_from = df.where(w > 0)
-    return smallest(chosen_from, n, -F.ln(unit_hash(seed, named(key))) / w, key)
+    drawn = -F.ln(unit_hash(seed, named(key), algorithm=algorithm)) / w
+    return smallest(df.where(w > 0), n, drawn, key)
 
 
 def smallest(df: DataFrame, n: int, measure: Column, *ties: str) -> DataFrame:
@@ -67,9 +78,13 @@ def smallest(df: DataFrame, n: int, measure: Column, *ties: str) -> DataFrame:
 
 
 def preview(
-    df: DataFrame, n: int = 30, seed: int | str | None = None, key: str | None = None
+    df: DataFrame,
+    n: int = 30,
+    seed: int | str | None = None,
+    key: str | None = None,
+    algorithm: str = "xxhash64",
 ) -> DataFrame:
     """n random rows to look at; the same ones again when seed and key are given."""
     if seed is not None and key is not None:
-        return sample_uniform(df, n, key, seed)
+        return sample_uniform(df, n, key, seed, algorithm)
     return df.orderBy(F.rand(seed)).limit(n)

@@ -50,15 +50,28 @@ def split_pick(
     """Split a text by a regular expression and keep one piece, counted from 0.
 
     ``split_by`` is a Java regular expression: to split by a bar, give ``\\|``.
-    A piece that does not exist is null. The text is cut only as far as the
-    piece wanted, so picking the head of a long text costs little.
+    A piece that does not exist is null.
     """
-    if pick_index < 0:
-        piece = F.lit(None).cast("string")
-    else:
-        pieces = F.split(named(source), split_by, pick_index + 2)
-        piece = F.get(pieces, F.lit(pick_index))
-    return _put(df, destination, piece)
+    return _put(df, destination, _piece(named(source), split_by, pick_index))
+
+
+# The characters that mean something else in a regular expression.
+_REGEX_CHARACTERS = frozenset("\\^$.|?*+()[]{}")
+
+
+def _piece(text: Column, split_by: str, index: int) -> Column:
+    if index < 0:
+        return F.lit(None).cast("string")
+    if len(split_by) != 1 or split_by in _REGEX_CHARACTERS:
+        # Cut only as far as the piece wanted, so the rest of a text stays whole.
+        return F.get(F.split(text, split_by, index + 2), F.lit(index))
+    # One plain character is found in the bytes as they are, some three times
+    # faster than by an expression over decoded text.
+    head = F.substring_index(text, split_by, index + 1)
+    if index == 0:
+        return head
+    found = F.length(text) - F.length(F.replace(text, F.lit(split_by), F.lit("")))
+    return F.when(found >= index, F.substring_index(head, split_by, -1))
 
 
 def _put(df: DataFrame, name: str, value: Column) -> DataFrame:

@@ -88,7 +88,12 @@ def rare_names(names: DataFrame, number: int) -> DataFrame:
 
 
 def compound_names(
-    nouns: DataFrame, noun: str, number: int, seed: int | str, key: str | None = None
+    nouns: DataFrame,
+    noun: str,
+    number: int,
+    seed: int | str,
+    key: str | None = None,
+    algorithm: str = "xxhash64",
 ) -> DataFrame:
     """``surname``: two independent samples of plain nouns, put side by side.
 
@@ -99,7 +104,7 @@ def compound_names(
     plain = nouns.where(is_plain_word(named(noun)))
 
     def sample(part: str) -> DataFrame:
-        drawn = sample_uniform(plain, number, key or noun, f"{seed}:{part}")
+        drawn = sample_uniform(plain, number, key or noun, f"{seed}:{part}", algorithm)
         order = _draw_order(f"{seed}:{part}", key or noun)
         return drawn.select(named(noun).alias(part), order.alias(f"{part}_order"))
 
@@ -116,6 +121,7 @@ def assemble_records(
     diseases: DataFrame,
     number: int,
     seed: int | str,
+    algorithm: str = "xxhash64",
 ) -> DataFrame:
     """Sample records: names and places drawn evenly, diseases by their usage.
 
@@ -126,11 +132,18 @@ def assemble_records(
         order = _draw_order(f"{seed}:{key}", key)
         return row_id(sample.select(key, *columns), order, name="patient_id", at_most=number)
 
+    def evenly(table: DataFrame, key: str, *columns: str) -> DataFrame:
+        drawn = sample_uniform(table, number, key, f"{seed}:{key}:draw", algorithm)
+        return numbered(drawn, key, *columns)
+
+    by_usage = sample_weighted(
+        diseases, number, "disease", "usage", f"{seed}:disease:draw", algorithm
+    )
     parts = [
-        numbered(sample_uniform(forenames, number, "forename", f"{seed}:f"), "forename"),
-        numbered(sample_uniform(surnames, number, "surname", f"{seed}:s"), "surname"),
-        numbered(sample_uniform(places, number, "postcode", f"{seed}:p"), "postcode", "city"),
-        numbered(sample_weighted(diseases, number, "disease", "usage", f"{seed}:d"), "disease"),
+        evenly(forenames, "forename"),
+        evenly(surnames, "surname"),
+        evenly(places, "postcode", "city"),
+        numbered(by_usage, "disease"),
     ]
     records = parts[0]
     for part in parts[1:]:
