@@ -242,7 +242,7 @@ _AUDIT_SQL = f"""
 
 
 @query(_DATA_SQL)
-def pipeline_pseudonymise(spark, sf_dir):
+def pseudonymise_orders(spark, sf_dir):
     return op.split_audit(audited_orders(spark, sf_dir), "o_orderkey")[0]
 
 
@@ -508,7 +508,7 @@ def stream_memory_snapshot(spark, sf_dir):
 @query(_DATA_SQL)
 def stream_replay(spark, sf_dir):
     """The same batch written twice leaves the table as after the first time."""
-    data = pipeline_pseudonymise(spark, sf_dir)
+    data = pseudonymise_orders(spark, sf_dir)
     path = scratch_path(spark, "replay")
     for _ in range(2):
         write_batch(data, path, "query", 0)
@@ -708,7 +708,7 @@ def _places(spark: SparkSession, sf_dir: str):
         F.col("o_orderpriority").alias("ctry"),
         F.col("o_orderkey").cast("string").alias("pcds"),
         F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate")).alias("doterm"),
-        (F.col("o_totalprice").cast("long") % 25).cast("int").alias("rgn"),
+        F.month("o_orderdate").alias("rgn"),
         F.col("o_custkey").alias("ttwa"),
     )
     cities = table(spark, sf_dir, "customer").select(
@@ -725,7 +725,7 @@ def _places(spark: SparkSession, sf_dir: str):
     """with placed as (
          select c.c_name as city, n.n_name as region
          from orders o left join customer c on o.o_custkey = c.c_custkey
-         left join nation n on cast(trunc(o.o_totalprice) as bigint) % 25 = n.n_nationkey
+         left join nation n on month(o.o_orderdate) = n.n_nationkey
          where o.o_orderpriority in ('1-URGENT', '5-LOW')),
        counted as (select city, region, count(*) as n from placed
                    where city is not null group by all)

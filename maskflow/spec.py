@@ -20,6 +20,9 @@ from typing import Annotated, Literal
 from pydantic import BaseModel, ConfigDict, Field, model_validator
 from pyspark.sql import types as T
 
+from .operators import Step, check_steps
+from .streaming.tables import PER_BATCH
+
 # The type names of the specification and their Spark types.
 SPARK_TYPES = {
     "integer": T.IntegerType(),
@@ -298,12 +301,29 @@ class Store(SpecModel):
                     raise ValueError(
                         f"table {sink.table!r}: {table.partition_on!r} is not a declared column"
                     )
-        for transform in pipeline.transforms:
-            if transform.destination_column == schema.primary_field:
-                raise ValueError(
-                    f"pipeline {pipeline.id!r}: a transform would overwrite the primary"
-                    f" column {schema.primary_field!r}"
-                )
+        steps = [
+            Step(
+                transform.transform_type,
+                transform.source_column,
+                transform.destination_column,
+                apply=lambda df: df,  # only the columns are followed here
+                drops_source=isinstance(transform, Redact)
+                and transform.source_column != transform.destination_column,
+            )
+            for transform in pipeline.transforms
+        ]
+        columns = check_steps(list(schema.fields), steps, schema.primary_field, pipeline.id)
+        trail = [schema.primary_field, "old_value", "new_value", "transform_tag"]
+        for sink, made in ((pipeline.sink, columns), (pipeline.audit, trail)):
+            if isinstance(sink, LakeSink):
+                table = self.table(sink.connector_id, sink.table)
+                declared = self.schema_named(table.table_schema).fields
+                missing = [c for c in declared if c not in made and c not in PER_BATCH]
+                if missing:
+                    raise ValueError(
+                        f"pipeline {pipeline.id!r} makes no column {missing}"
+                        f" of table {table.table_name!r}"
+                    )
 
 
 def split_topic(name: str) -> tuple[str, str]:

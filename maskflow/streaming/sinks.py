@@ -26,7 +26,8 @@ class TableSink:
         ensure_table(spark, self.path, self.schema, self.format)
 
     def write(self, df: DataFrame, query_id: str, batch_id: int) -> None:
-        rows = conform(with_batch_metadata(df, batch_id), self.schema)
+        stamped = with_batch_metadata(df, query_id, batch_id)
+        rows = conform(stamped, self.schema)
         write_batch(
             rows, self.path, query_id, batch_id, self.format, self.partition_on, self.coalesce
         )

@@ -23,13 +23,17 @@ BATCH_ID = "batch_id"
 INSERTED_AT = "inserted_at"
 
 # Columns the leaf folders already divide by: one value in a leaf at most.
-_PER_BATCH = (QUERY_ID, BATCH_ID, INSERTED_AT)
+PER_BATCH = (QUERY_ID, BATCH_ID, INSERTED_AT)
 
 
-def with_batch_metadata(df: DataFrame, batch_id: int) -> DataFrame:
-    """Add the batch number and the time of writing, one value for the whole batch."""
+def with_batch_metadata(df: DataFrame, query_id: str, batch_id: int) -> DataFrame:
+    """Add query id, batch number and time of writing, one value for the whole batch."""
     return df.withColumns(
-        {BATCH_ID: F.lit(batch_id).cast("int"), INSERTED_AT: F.current_timestamp()}
+        {
+            QUERY_ID: F.lit(query_id),
+            BATCH_ID: F.lit(batch_id).cast("int"),
+            INSERTED_AT: F.current_timestamp(),
+        }
     )
 
 
@@ -75,7 +79,7 @@ def write_batch(
     if coalesce:
         rows = rows.hint("rebalance", coalesce)
     writer = rows.write.mode("overwrite").format(format)
-    if partition_on and partition_on not in _PER_BATCH:
+    if partition_on and partition_on not in PER_BATCH:
         writer = writer.partitionBy(partition_on)
     writer.save(leaf)
 

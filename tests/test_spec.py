@@ -183,6 +183,8 @@ def change(path, value):
         (change(["connectors", 1, "tables", 0, "table_schema"], "none"), "none"),
         (change(["connectors", 1, "tables", 0, "partition_on"], "none"), "none"),
         (change(["pipelines", 1, "transforms", 1, "destination_column"], "patient_id"), "primary"),
+        (change(["pipelines", 1, "transforms", 1, "source_column"], "gone"), "'gone'"),
+        (change(["pipelines", 1, "transforms", 0, "destination_column"], "area"), "region"),
         (change(["pipelines", 1, "source", "on_malformed"], "quarantine"), "go together"),
     ],
 )
@@ -248,6 +250,34 @@ def test_batch_run_twice_is_the_same_as_once(spark, raw, env):
     assert plan.audit_sink.read(spark).count() == 3 * len(PATIENTS)
 
 
+def test_audit_trail_as_a_table(spark, raw, env, monkeypatch):
+    from_files(raw)
+    raw["schemas"].append(
+        {
+            "name": "patient_audit",
+            "primary_field": "patient_id",
+            "fields": {
+                "patient_id": "integer", "old_value": "string", "new_value": "string",
+                "transform_tag": "string",
+            },
+        }
+    )
+    raw["connectors"][1]["tables"].append(
+        {"table_name": "audit", "table_schema": "patient_audit",
+         "filepath_env": "PATIENT_PSEUDO_AUDIT_FILEPATH", "partition_on": "patient_id"}
+    )
+    raw["pipelines"][1]["audit"] = {
+        "sink_type": "deltalake", "connector_id": "deltalake_dev", "table": "audit",
+        "trigger_seconds": 60,
+    }
+    env["TOPIC_FOLDER"] = env["PRODUCER_SOURCE_FIXTURE"]
+    plan = run_batch(spark, Store.model_validate(raw), "patient_pseudonymiser", env)
+    assert plan.audit_sink.read(spark).count() == 3 * len(PATIENTS)
+    raw["schemas"][-1]["fields"]["reason"] = "string"
+    with pytest.raises(ValidationError, match="reason"):
+        Store.model_validate(raw)
+
+
 @pytest.mark.parametrize("streaming", [True, False])
 def test_quarantine(spark, raw, env, streaming, tmp_path):
     from_files(raw)

@@ -237,6 +237,13 @@ def test_empty_batch_and_declared_types(spark, tmp_path):
     assert sorted(map(tuple, read_table(spark, path, wider).collect())) == [("q", 0, 1, "a")]
 
 
+def test_table_may_declare_its_query_id(spark, tmp_path):
+    schema = ddl("query_id string, id int").add("batch_id", "long")
+    sink = TableSink(str(tmp_path / "t"), schema)
+    sink.write(spark.createDataFrame([(1,)], "id int"), "q", 3)
+    assert [tuple(r) for r in sink.read(spark).collect()] == [("q", 1, 3)]
+
+
 def test_declared_column_must_be_there(spark, tmp_path):
     sink = TableSink(str(tmp_path / "t"), PSEUDO)
     with pytest.raises(ValueError, match="'city'"):
