@@ -5,6 +5,7 @@ from .audit import (
     AUDIT,
     apply_audited,
     audit_schema,
+    audit_tags,
     check_steps,
     split_audit,
     transform_tag,
@@ -29,6 +30,7 @@ __all__ = [
     "Step",
     "apply_audited",
     "audit_schema",
+    "audit_tags",
     "check_steps",
     "most_common",
     "n_rarest",

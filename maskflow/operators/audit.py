@@ -1,9 +1,10 @@
 """The audit trail: one record per input row and transform.
 
-Each step adds one struct column ``(old_value, new_value, transform_tag)``; at
-the end they become one array, and the audit table is that array unrolled. So
-the trail needs no join, no state and no second pass over the transforms, in a
-batch and in a stream alike.
+Each step adds one struct column ``(old_value, new_value)``; at the end they
+become one array, and the audit table is that array unrolled. So the trail needs
+no join, no state and no second pass over the transforms, in a batch and in a
+stream alike. The tags are the same for all rows: they travel as metadata of the
+array column and are put in when it is unrolled.
 
 * ``old_value`` is what the destination column held before the step, null when
   the column is new: the value overwritten, not the value used as input.
@@ -34,9 +35,9 @@ _ENTRY = T.StructType(
     [
         T.StructField("old_value", T.StringType()),
         T.StructField("new_value", T.StringType()),
-        T.StructField("transform_tag", T.StringType()),
     ]
 )
+_TAGS = "transform_tags"
 
 
 def transform_tag(
@@ -99,29 +100,50 @@ def apply_audited(
             entry: F.struct(
                 F.col(stash).alias("old_value"),
                 named(step.destination).cast("string").alias("new_value"),
-                F.lit(_tag(pipeline_id, index, step)).alias("transform_tag"),
             )
         }
         if step.fans_out:
             # Copies beyond the first leave the earlier steps to the first one.
             added |= {e: F.when(F.col(FIRST), F.col(e)) for e in entries}
-        df = df.withColumns(added).drop(stash, FIRST)
+        df = df.withColumns(added).drop(FIRST)
         entries.append(entry)
     trail = F.array(*entries) if entries else F.array().cast(T.ArrayType(_ENTRY))
-    return df.withColumn(AUDIT, trail).drop(*entries)
+    hidden = [f"__old_{index}" for index in range(len(steps))] + entries
+    tags = [_tag(pipeline_id, index, step) for index, step in enumerate(steps)]
+    return df.withColumn(AUDIT, trail).drop(*hidden).withMetadata(AUDIT, {_TAGS: tags})
 
 
-def split_audit(df: DataFrame, primary: str) -> tuple[DataFrame, DataFrame]:
-    """The transformed records, and their audit trail as a table of its own."""
+def split_audit(
+    df: DataFrame, primary: str, tags: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The transformed records, and their audit trail as a table of its own.
+
+    ``tags`` are needed only where the column's metadata has been lost.
+    """
+    tags = audit_tags(df) if tags is None else tags
     # The outer form adds no filter on the array's size, which would build every
     # array twice; entries that are null belong to another copy of the row.
-    trail = df.where(named(primary).isNotNull()).select(named(primary), F.inline_outer(AUDIT))
-    return df.drop(AUDIT), trail.where(F.col("transform_tag").isNotNull())
+    unrolled = (
+        df.where(named(primary).isNotNull())
+        .select(named(primary), F.posexplode_outer(AUDIT).alias("__step", "__entry"))
+        .where(F.col("__entry").isNotNull())
+    )
+    tag = F.lit(None).cast("string")
+    if tags:
+        tag = F.get(F.array(*[F.lit(t) for t in tags]), F.col("__step"))
+    trail = unrolled.select(named(primary), "__entry.*", tag.alias("transform_tag"))
+    return df.drop(AUDIT), trail
+
+
+def audit_tags(df: DataFrame) -> list[str]:
+    """The tags of the steps an audited table has been through."""
+    return df.schema[AUDIT].metadata[_TAGS]
 
 
 def audit_schema(primary: T.StructField) -> T.StructType:
     """The declared shape of an audit table, to read it back by."""
-    return T.StructType([T.StructField(primary.name, primary.dataType), *_ENTRY.fields])
+    tag = T.StructField("transform_tag", T.StringType())
+    return T.StructType([T.StructField(primary.name, primary.dataType), *_ENTRY.fields, tag])
 
 
 def _tag(pipeline_id: str, index: int, step: Step) -> str:

@@ -1,6 +1,6 @@
 """Static lookup tables and the left join that reads from them.
 
-A lookup is measured once, by one distributed aggregate over its key and value
+A lookup is measured once, by distributed aggregates over its key and value
 columns. The measurement decides what must not be guessed:
 
 * whether it may be broadcast (its size is bounded by ``broadcast_limit``);
@@ -96,11 +96,16 @@ def prepare_lookup(
     rows = table.where(named(key).isNotNull()).select(
         named(key).alias(KEY), named(value).alias(VALUE)
     )
-    n_bytes, copies = _measure(rows)
+    # Whether keys repeat matters for marks, for promises, and for hot keys in a
+    # shuffle; a plain broadcast join need not count.
+    counted = mark_first or on_duplicate_key == "error"
+    n_bytes, copies = _measure(rows, counted)
+    small = n_bytes <= broadcast_limit
+    if not (small or counted):
+        n_bytes, copies = _measure(rows, True)
     if copies > 1 and on_duplicate_key == "error":
         raise ValueError(f"lookup key {key!r} is not unique: one key occurs {copies} times")
 
-    small = n_bytes <= broadcast_limit
     if salts is None:
         salts = 1 if small else _salts_for(rows.sparkSession, n_bytes, cache)
     chunked = not small and copies > group_rows
@@ -138,22 +143,21 @@ def join_lookup(df: DataFrame, source: str, destination: str, lookup: Lookup) ->
         joined = _spread_left_join(df, named(source), lookup.rows, lookup.salts)
     else:
         joined = _chunked_left_join(df, source, lookup)
-    columns = [
-        F.col(VALUE).alias(destination) if c == destination else named(c) for c in df.columns
-    ]
-    if destination not in df.columns:
-        columns.append(F.col(VALUE).alias(destination))
+    added = {destination: F.col(VALUE)}
     if lookup.marked:
-        columns.append(F.coalesce(F.col(FIRST), F.lit(True)).alias(FIRST))
-    return joined.select(*columns)
+        added[FIRST] = F.coalesce(F.col(FIRST), F.lit(True))
+    return joined.withColumns(added).drop(KEY, VALUE, _CHUNK, _CHUNKS, "__row_chunk")
 
 
-def _measure(rows: DataFrame) -> tuple[int, int]:
-    """Size in bytes as a hash table, and the most rows any key has."""
-    width = _width(KEY) + _width(VALUE) + F.lit(_ROW_OVERHEAD)
-    per_key = rows.groupBy(KEY).agg(F.count("*").alias("n"), F.sum(width).alias("bytes"))
-    found = per_key.agg(F.sum("bytes").alias("bytes"), F.max("n").alias("n")).first()
-    return int(found["bytes"] or 0), int(found["n"] or 0)
+def _measure(rows: DataFrame, count_copies: bool) -> tuple[int, int]:
+    """Bytes the rows take as a hash table, and the most rows any key has."""
+    width = F.sum(_width(KEY) + _width(VALUE) + F.lit(_ROW_OVERHEAD)).alias("bytes")
+    if count_copies:
+        per_key = rows.groupBy(KEY).agg(width, F.count("*").alias("n"))
+        found = per_key.agg(F.sum("bytes"), F.max("n")).first()
+    else:
+        found = rows.agg(width, F.lit(0)).first()
+    return int(found[0] or 0), int(found[1] or 0)
 
 
 def _width(column: str) -> Column:

@@ -39,8 +39,7 @@ def translate(
 
 def redact(df: DataFrame, source: str, destination: str, replace_with: str) -> DataFrame:
     """Put a constant in ``destination`` and drop ``source`` unless they are one column."""
-    constant = F.lit(replace_with)
-    out = _put(df, destination, constant)
+    out = df.withColumn(destination, F.lit(replace_with))
     return out if source == destination else out.drop(source)
 
 
@@ -52,7 +51,7 @@ def split_pick(
     ``split_by`` is a Java regular expression: to split by a bar, give ``\\|``.
     A piece that does not exist is null.
     """
-    return _put(df, destination, _piece(named(source), split_by, pick_index))
+    return df.withColumn(destination, _piece(named(source), split_by, pick_index))
 
 
 # The characters that mean something else in a regular expression.
@@ -74,13 +73,6 @@ def _piece(text: Column, split_by: str, index: int) -> Column:
     return F.when(found >= index, F.substring_index(head, split_by, -1))
 
 
-def _put(df: DataFrame, name: str, value: Column) -> DataFrame:
-    columns = [value.alias(name) if c == name else named(c) for c in df.columns]
-    if name not in df.columns:
-        columns.append(value.alias(name))
-    return df.select(*columns)
-
-
 @dataclass(frozen=True)
 class Step:
     """One entry of a pipeline's transform list.

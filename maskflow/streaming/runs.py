@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import split_audit
+from ..operators import audit_tags, split_audit
 from .sinks import MemorySink, Sink
 
 
@@ -80,6 +80,7 @@ def start_pipeline(
     cannot drift apart. Otherwise each sink has a query of its own.
     """
     spark = audited.sparkSession
+    tags = audit_tags(audited)
     data, trail = split_audit(audited, primary)
     data_sink.prepare(spark)
     audit_sink.prepare(spark)
@@ -90,7 +91,7 @@ def start_pipeline(
         # the storage. What an executor loses is computed again.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            records, entries = split_audit(batch, primary)
+            records, entries = split_audit(batch, primary, tags)
             data_sink.write(records, query_id, batch_id)
             audit_sink.write(entries, query_id, batch_id)
         finally:

@@ -12,6 +12,7 @@ Rows of two batches are never merged: the same record sent twice is two rows.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,14 +48,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, format: str) -> None:
     """Create an empty table, if there is none, that readers can already open."""
-    leafless = T.StructType(
-        [f for f in schema.fields if f.name not in (QUERY_ID, BATCH_ID)]
-        + [T.StructField(QUERY_ID, T.StringType()), T.StructField(BATCH_ID, T.IntegerType())]
-    )
-    # Adding no rows writes no file, whether or not the table is there.
-    spark.createDataFrame([], leafless).write.mode("append").format(format).partitionBy(
-        QUERY_ID, BATCH_ID
-    ).save(path)
+    leaf = [T.StructField(QUERY_ID, T.StringType()), T.StructField(BATCH_ID, T.IntegerType())]
+    stored = [f for f in schema.fields if f.name not in (QUERY_ID, BATCH_ID)]
+    whole = T.StructType(stored + leaf)
+    try:
+        spark.read.schema(whole).format(format).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # Adding no rows makes the folder and writes no file into it.
+        spark.createDataFrame([], whole).write.mode("append").format(format).partitionBy(
+            QUERY_ID, BATCH_ID
+        ).save(path)
 
 
 def write_batch(
