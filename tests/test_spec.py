@@ -1,5 +1,3 @@
-import copy
-
 import pytest
 import yaml
 from pydantic import ValidationError
@@ -8,109 +6,64 @@ from maskflow.__main__ import main
 from maskflow.plans.loader import run_loader
 from maskflow.plans.pipeline import build, explain, run_batch, run_stream
 from maskflow.spec import Store, from_env, split_topic
-from tests.test_audit import PATIENTS, REGIONS, TAGS
 
-# Fixed format: a specification with every kind of part.
+MEMBERS = [
+    '{"member_id": 10, "full_name": "Ada Quill", "town": "Bath", "phone": "01225-555-010"}',
+    '{"member_id": 11, "full_name": "Ben Orchard", "town": "York", "phone": "01904-555-011"}',
+    '{"member_id": 12, "full_name": null, "town": "Nowhere", "phone": "none"}',
+]
+AREAS = [("Bath", "South West"), ("York", "North")]
+TAGS = {
+    "phone#1 = member_masker.split_pick(phone#0, split_by='-', pick_index=1)",
+    "area#2 = member_masker.translate(town#1, fixture='areas', key_column='town',"
+    " value_column='area')",
+    "alias#3 = member_masker.redact(full_name#2, replace_with='hidden')",
+}
+
+# A specification with every kind of part.
 SPEC = """
 schemas:
-  - name: patient_source
-    primary_field: patient_id
-    fields:
-      patient_id: integer
-      patient_name: string
-      city: string
-      postcode: string
-      disease: string
-  - name: patient_pseudo
-    primary_field: patient_id
-    fields:
-      batch_id: integer
-      inserted_at: timestamp
-      patient_id: integer
-      patient_name: string
-      city: string
-      postcode: string
-      disease: string
-      region: string
+  - {name: member, primary_field: member_id,
+     fields: {member_id: long, full_name: string, town: string, phone: string}}
+  - {name: masked_member, primary_field: member_id,
+     fields: {member_id: long, alias: string, area: string, phone: string,
+              batch_id: integer, inserted_at: timestamp}}
 connectors:
-  - id: kafka_dev
-    connector_type: kafka
-    broker_env: MESSAGE_BROKER
-    topics:
-    - topic_name: patient-source
-      topic_schema: patient_source
-  - id: deltalake_dev
-    connector_type: deltalake
-    tables:
-      - table_name: patient_pseudo
-        table_schema: patient_pseudo
-        filepath_env: PATIENT_PSEUDO_FILEPATH
-        partition_on: inserted_at
+  - {id: bus, connector_type: kafka, broker_env: BUS_BROKERS,
+     topics: [{topic_name: members, topic_schema: member}]}
+  - {id: lake, connector_type: deltalake,
+     tables: [{table_name: masked, table_schema: masked_member, filepath_env: MASKED_PATH,
+               partition_on: inserted_at}]}
 pipelines:
-  - id: patient_producer
-    pipeline_type: kafka_producer
-    source_filepath_env: PRODUCER_SOURCE_FIXTURE
-    sink_topic: kafka_dev.patient-source
-    interval_seconds_mean: 0.5
-    interval_seconds_sd: 1
-  - id: patient_pseudonymiser
+  - {id: member_loader, pipeline_type: kafka_producer, source_filepath_env: MEMBER_FILE,
+     sink_topic: bus.members, interval_seconds_mean: 2, interval_seconds_sd: 0.1}
+  - id: member_masker
     pipeline_type: transformer
-    source:
-      source_type: kafka
-      connector_id: kafka_dev
-      topic: patient-source
-    sink:
-      sink_type: deltalake
-      connector_id: deltalake_dev
-      table: patient_pseudo
-      trigger_seconds: 60
-      coalesce: 1
-    audit:
-      sink_type: file
-      filepath_env: PATIENT_PSEUDO_AUDIT_FILEPATH
-      format: json
-      trigger_seconds: 60
-      coalesce: 1
-    transforms: &transforms
-      - transform_type: translate
-        source_column: city
-        destination_column: region
-        fixture_filepath_env: TRANSLATE_CITY_REGION_FIXTURE
-        key_column: city
-        value_column: region
-      - transform_type: redact
-        source_column: patient_name
-        destination_column: patient_name
-        replace_with: XXXXX
-      - transform_type: split_pick
-        source_column: postcode
-        destination_column: postcode
-        split_by: ' '
-        pick_index: 0
-  - id: memory_patient_pseudonymiser
+    source: {source_type: kafka, connector_id: bus, topic: members}
+    sink: {sink_type: deltalake, connector_id: lake, table: masked, trigger_seconds: 30,
+           coalesce: 2}
+    audit: {sink_type: file, filepath_env: TRAIL_PATH, format: json, trigger_seconds: 30}
+    transforms:
+      - {transform_type: split_pick, source_column: phone, destination_column: phone,
+         split_by: '-', pick_index: 1}
+      - {transform_type: translate, source_column: town, destination_column: area,
+         fixture_filepath_env: AREA_TABLE, key_column: town, value_column: area}
+      - {transform_type: redact, source_column: full_name, destination_column: alias,
+         replace_with: hidden}
+  - id: member_watch
     pipeline_type: transformer
-    source:
-      source_type: file
-      filepath_env: TOPIC_FOLDER
-      source_schema: patient_source
-    sink:
-      sink_type: memory
-      query_name: patient_query
-      query_interval: 1
-      duration_seconds: 2
-    audit:
-      sink_type: memory
-      query_name: patient_audit_query
-      query_interval: 1
-      duration_seconds: 1
-    transforms: *transforms
+    source: {source_type: file, filepath_env: TOPIC_FOLDER, source_schema: member}
+    sink: {sink_type: memory, query_name: members_now, query_interval: 1, duration_seconds: 2}
+    audit: {sink_type: memory, query_name: trail_now, query_interval: 1, duration_seconds: 1}
+    transforms:
+      - {transform_type: redact, source_column: full_name, destination_column: full_name,
+         replace_with: hidden}
 """
 
 
 @pytest.fixture
 def raw():
-    # Anchors would make parts shared; a test changes one part only.
-    return copy.deepcopy(yaml.safe_load(SPEC.replace("*transforms", "[]")))
+    return yaml.safe_load(SPEC)
 
 
 def from_files(raw):
@@ -118,24 +71,24 @@ def from_files(raw):
     raw["pipelines"][1]["source"] = {
         "source_type": "file",
         "filepath_env": "TOPIC_FOLDER",
-        "source_schema": "patient_source",
+        "source_schema": "member",
     }
     return raw
 
 
 @pytest.fixture
 def env(spark, tmp_path):
-    spark.createDataFrame(REGIONS, "city string, region string").write.parquet(
-        str(tmp_path / "city_to_region.parquet")
+    spark.createDataFrame(AREAS, "town string, area string").write.parquet(
+        str(tmp_path / "areas.parquet")
     )
     lines = tmp_path / "sample.json"
-    lines.write_text("\n".join(PATIENTS + ["not json", '{"patient_name": "no id"}']) + "\n")
+    lines.write_text("\n".join(MEMBERS + ["not json", '{"full_name": "no id"}']) + "\n")
     return {
-        "MESSAGE_BROKER": "broker:9092",
-        "PRODUCER_SOURCE_FIXTURE": str(lines),
-        "PATIENT_PSEUDO_FILEPATH": str(tmp_path / "pseudo"),
-        "PATIENT_PSEUDO_AUDIT_FILEPATH": str(tmp_path / "audit"),
-        "TRANSLATE_CITY_REGION_FIXTURE": str(tmp_path / "city_to_region.parquet"),
+        "BUS_BROKERS": "broker:9092",
+        "MEMBER_FILE": str(lines),
+        "MASKED_PATH": str(tmp_path / "pseudo"),
+        "TRAIL_PATH": str(tmp_path / "audit"),
+        "AREA_TABLE": str(tmp_path / "areas.parquet"),
         "TOPIC_FOLDER": str(tmp_path / "topic"),
         "REJECTED": str(tmp_path / "rejected"),
     }
@@ -144,9 +97,9 @@ def env(spark, tmp_path):
 def test_whole_specification_loads():
     store = Store.parse(SPEC)
     assert [p.id for p in store.pipelines] == [
-        "patient_producer", "patient_pseudonymiser", "memory_patient_pseudonymiser",
+        "member_loader", "member_masker", "member_watch",
     ]
-    schema = store.schema_named("patient_pseudo").spark_schema()
+    schema = store.schema_named("masked_member").spark_schema()
     assert schema["inserted_at"].dataType.typeName() == "timestamp"
     assert all(f.nullable for f in schema.fields)
 
@@ -169,22 +122,22 @@ def change(path, value):
         (change(["pipelines", 1, "transforms", 1, "colour"], 1), "colour"),
         (change(["pipelines", 1, "transforms", 1, "transform_type"], "hash"), "hash"),
         (change(["pipelines", 1, "sink", "sink_type"], "tape"), "tape"),
-        (change(["schemas", 0, "fields", "city"], "text"), "city"),
-        (change(["schemas", 0, "primary_field"], "nhs"), "nhs"),
-        (change(["schemas", 1, "name"], "patient_source"), "more than once"),
-        (change(["pipelines", 0, "id"], "patient_pseudonymiser"), "more than once"),
+        (change(["schemas", 0, "fields", "town"], "text"), "town"),
+        (change(["schemas", 0, "primary_field"], "passport"), "passport"),
+        (change(["schemas", 1, "name"], "member"), "more than once"),
+        (change(["pipelines", 0, "id"], "member_masker"), "more than once"),
         (change(["pipelines", 1, "source", "topic"], "none"), "none"),
-        (change(["pipelines", 1, "source", "connector_id"], "deltalake_dev"), "no topics"),
-        (change(["pipelines", 1, "sink", "connector_id"], "kafka_dev"), "no tables"),
+        (change(["pipelines", 1, "source", "connector_id"], "lake"), "no topics"),
+        (change(["pipelines", 1, "sink", "connector_id"], "bus"), "no tables"),
         (change(["pipelines", 1, "sink", "table"], "none"), "none"),
-        (change(["pipelines", 0, "sink_topic"], "patient-source"), "connector.topic"),
-        (change(["pipelines", 0, "sink_topic"], "kafka_dev.none"), "none"),
+        (change(["pipelines", 0, "sink_topic"], "members"), "connector.topic"),
+        (change(["pipelines", 0, "sink_topic"], "bus.none"), "none"),
         (change(["connectors", 0, "topics", 0, "topic_schema"], "none"), "none"),
         (change(["connectors", 1, "tables", 0, "table_schema"], "none"), "none"),
         (change(["connectors", 1, "tables", 0, "partition_on"], "none"), "none"),
-        (change(["pipelines", 1, "transforms", 1, "destination_column"], "patient_id"), "primary"),
+        (change(["pipelines", 1, "transforms", 1, "destination_column"], "member_id"), "primary"),
         (change(["pipelines", 1, "transforms", 1, "source_column"], "gone"), "'gone'"),
-        (change(["pipelines", 1, "transforms", 0, "destination_column"], "area"), "region"),
+        (change(["pipelines", 1, "transforms", 1, "destination_column"], "region"), "area"),
         (change(["pipelines", 1, "source", "on_malformed"], "quarantine"), "go together"),
     ],
 )
@@ -198,14 +151,14 @@ def test_faults_are_found_on_load(raw, fault, message):
 def test_where_a_specification_is_found(tmp_path, monkeypatch):
     named, other = tmp_path / "named.yml", tmp_path / "other.yml"
     named.write_text(SPEC)
-    other.write_text(SPEC.replace("patient_producer", "other_producer"))
-    (tmp_path / "metastore.yml").write_text(SPEC.replace("patient_producer", "here_producer"))
+    other.write_text(SPEC.replace("member_loader", "other_loader"))
+    (tmp_path / "metastore.yml").write_text(SPEC.replace("member_loader", "here_loader"))
     monkeypatch.chdir(tmp_path)
     monkeypatch.delenv("METASTORE_FILEPATH", raising=False)
-    assert Store.load().pipelines[0].id == "here_producer"
+    assert Store.load().pipelines[0].id == "here_loader"
     monkeypatch.setenv("METASTORE_FILEPATH", str(other))
-    assert Store.load().pipelines[0].id == "other_producer"
-    assert Store.load(filepath=str(named)).pipelines[0].id == "patient_producer"
+    assert Store.load().pipelines[0].id == "other_loader"
+    assert Store.load(filepath=str(named)).pipelines[0].id == "member_loader"
 
 
 def test_environment_comes_before_defaults(monkeypatch):
@@ -219,60 +172,63 @@ def test_environment_comes_before_defaults(monkeypatch):
 
 
 def test_topic_names():
-    assert split_topic("kafka_dev.a.b") == ("kafka_dev", "a.b")
+    assert split_topic("bus.a.b") == ("bus", "a.b")
 
 
 def test_loader_then_stream_then_read(spark, raw, env):
     store = Store.model_validate(from_files(raw))
-    bad = run_loader(spark, store, "patient_producer", env, folder=env["TOPIC_FOLDER"])
-    assert {r.value for r in bad.collect()} == {"not json", '{"patient_name": "no id"}'}
+    bad = run_loader(spark, store, "member_loader", env, folder=env["TOPIC_FOLDER"])
+    assert {r.value for r in bad.collect()} == {"not json", '{"full_name": "no id"}'}
     run = run_stream(
-        spark, store, "patient_pseudonymiser", env, available_now=True,
+        spark, store, "member_masker", env, available_now=True,
         checkpoint=env["TOPIC_FOLDER"] + "_checkpoint",
     )
     run.await_termination()
     data = run.data_sink.read(spark)
-    assert data.columns[:2] == ["batch_id", "inserted_at"]
-    assert data.count() == len(PATIENTS)
-    assert {r.patient_name for r in data.collect()} == {"XXXXX"}
+    assert data.columns[-2:] == ["batch_id", "inserted_at"]
+    assert {tuple(r)[:4] for r in data.collect()} == {
+        (10, "hidden", "South West", "555"),
+        (11, "hidden", "North", "555"),
+        (12, "hidden", None, None),
+    }
     audit = run.audit_sink.read(spark)
-    assert audit.count() == 3 * len(PATIENTS)
-    assert {r.transform_tag for r in audit.collect()} == set(TAGS)
+    assert audit.count() == 3 * len(MEMBERS)
+    assert {r.transform_tag for r in audit.collect()} == TAGS
 
 
 def test_batch_run_twice_is_the_same_as_once(spark, raw, env):
     store = Store.model_validate(from_files(raw))
-    env["TOPIC_FOLDER"] = env["PRODUCER_SOURCE_FIXTURE"]
+    env["TOPIC_FOLDER"] = env["MEMBER_FILE"]
     for _ in range(2):
-        plan = run_batch(spark, store, "patient_pseudonymiser", env)
+        plan = run_batch(spark, store, "member_masker", env)
     # Malformed lines are kept as rows of nulls, and nothing is audited for them.
-    assert plan.data_sink.read(spark).count() == len(PATIENTS) + 2
-    assert plan.audit_sink.read(spark).count() == 3 * len(PATIENTS)
+    assert plan.data_sink.read(spark).count() == len(MEMBERS) + 2
+    assert plan.audit_sink.read(spark).count() == 3 * len(MEMBERS)
 
 
 def test_audit_trail_as_a_table(spark, raw, env, monkeypatch):
     from_files(raw)
     raw["schemas"].append(
         {
-            "name": "patient_audit",
-            "primary_field": "patient_id",
+            "name": "trail",
+            "primary_field": "member_id",
             "fields": {
-                "patient_id": "integer", "old_value": "string", "new_value": "string",
+                "member_id": "long", "old_value": "string", "new_value": "string",
                 "transform_tag": "string",
             },
         }
     )
     raw["connectors"][1]["tables"].append(
-        {"table_name": "audit", "table_schema": "patient_audit",
-         "filepath_env": "PATIENT_PSEUDO_AUDIT_FILEPATH", "partition_on": "patient_id"}
+        {"table_name": "audit", "table_schema": "trail",
+         "filepath_env": "TRAIL_PATH", "partition_on": "member_id"}
     )
     raw["pipelines"][1]["audit"] = {
-        "sink_type": "deltalake", "connector_id": "deltalake_dev", "table": "audit",
+        "sink_type": "deltalake", "connector_id": "lake", "table": "audit",
         "trigger_seconds": 60,
     }
-    env["TOPIC_FOLDER"] = env["PRODUCER_SOURCE_FIXTURE"]
-    plan = run_batch(spark, Store.model_validate(raw), "patient_pseudonymiser", env)
-    assert plan.audit_sink.read(spark).count() == 3 * len(PATIENTS)
+    env["TOPIC_FOLDER"] = env["MEMBER_FILE"]
+    plan = run_batch(spark, Store.model_validate(raw), "member_masker", env)
+    assert plan.audit_sink.read(spark).count() == 3 * len(MEMBERS)
     raw["schemas"][-1]["fields"]["reason"] = "string"
     with pytest.raises(ValidationError, match="reason"):
         Store.model_validate(raw)
@@ -288,19 +244,19 @@ def test_quarantine(spark, raw, env, streaming, tmp_path):
     if streaming:
         folder = tmp_path / "topic"
         folder.mkdir()
-        (folder / "a.json").write_text("\n".join(PATIENTS + ["not json", '{"patient_id": "x"}']))
+        (folder / "a.json").write_text("\n".join(MEMBERS + ["not json", '{"member_id": "x"}']))
         run = run_stream(
-            spark, store, "patient_pseudonymiser", env, True, str(tmp_path / "checkpoint")
+            spark, store, "member_masker", env, True, str(tmp_path / "checkpoint")
         )
         run.await_termination()
         data = run.data_sink
     else:
         env["TOPIC_FOLDER"] = str(tmp_path / "lines")
-        (tmp_path / "lines").write_text("\n".join(PATIENTS + ["not json", '{"patient_id": "x"}']))
-        data = run_batch(spark, store, "patient_pseudonymiser", env).data_sink
-    assert data.read(spark).count() == len(PATIENTS)
+        (tmp_path / "lines").write_text("\n".join(MEMBERS + ["not json", '{"member_id": "x"}']))
+        data = run_batch(spark, store, "member_masker", env).data_sink
+    assert data.read(spark).count() == len(MEMBERS)
     rejected = spark.read.json(env["REJECTED"])
-    assert {r.value for r in rejected.collect()} == {"not json", '{"patient_id": "x"}'}
+    assert {r.value for r in rejected.collect()} == {"not json", '{"member_id": "x"}'}
 
 
 def test_kafka_is_asked_for_its_topic(spark, raw, env, monkeypatch):
@@ -317,20 +273,20 @@ def test_kafka_is_asked_for_its_topic(spark, raw, env, monkeypatch):
     monkeypatch.setattr(DataStreamReader, "option", lambda r, k, v: told.update({k: v}) or r)
     monkeypatch.setattr(DataStreamReader, "options", lambda r, **o: told.update(o) or r)
     monkeypatch.setattr(DataStreamReader, "load", load)
-    plan = build(spark, Store.model_validate(raw), "patient_pseudonymiser", env)
+    plan = build(spark, Store.model_validate(raw), "member_masker", env)
     assert told == {
         "format": "kafka",
         "kafka.bootstrap.servers": "broker:9092",
-        "subscribe": "patient-source",
+        "subscribe": "members",
         "startingOffsets": "earliest",
     }
-    assert plan.data.columns[0] == "patient_id"
+    assert plan.data.columns == ["member_id", "town", "phone", "area", "alias"]
     plan.close()
 
 
 def test_stream_plan_broadcasts_and_keeps_no_state(spark, raw, env, capsys, tmp_path):
     (tmp_path / "topic").mkdir()
-    explain(spark, Store.model_validate(from_files(raw)), "patient_pseudonymiser", env)
+    explain(spark, Store.model_validate(from_files(raw)), "member_masker", env)
     text = capsys.readouterr().out
     assert "BroadcastHashJoin LeftOuter BuildRight" in text
     assert "StateStore" not in text and "SymmetricHash" not in text
@@ -339,9 +295,9 @@ def test_stream_plan_broadcasts_and_keeps_no_state(spark, raw, env, capsys, tmp_
 def test_wrong_kind_of_pipeline(spark, env):
     store = Store.parse(SPEC)
     with pytest.raises(ValueError, match="run_loader"):
-        build(spark, store, "patient_producer", env)
+        build(spark, store, "member_loader", env)
     with pytest.raises(ValueError, match="run_stream"):
-        run_loader(spark, store, "patient_pseudonymiser", env)
+        run_loader(spark, store, "member_masker", env)
     with pytest.raises(ValueError, match="no pipeline named"):
         build(spark, store, "gone", env)
 
@@ -354,10 +310,10 @@ def test_command_line(spark, env, tmp_path, monkeypatch, capsys):
     for key, value in env.items():
         monkeypatch.setenv(key, value)
     (tmp_path / "topic").mkdir()
-    (tmp_path / "topic" / "a.json").write_text("\n".join(PATIENTS))
+    (tmp_path / "topic" / "a.json").write_text("\n".join(MEMBERS))
     main(
-        ["-f", str(path), "-r", "memory_patient_pseudonymiser",
+        ["-f", str(path), "-r", "member_watch",
          "--checkpoint", str(tmp_path / "checkpoint")]
     )
     out = capsys.readouterr().out
-    assert "Running 'memory_patient_pseudonymiser'" in out and "XXXXX" in out
+    assert "Running 'member_watch'" in out and "hidden" in out
