@@ -187,7 +187,8 @@ def _pin(lookup: Lookup) -> Lookup:
         # adaptive execution must see a shuffle on both sides to split a hot key.
         partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rows = _replicate(rows, lookup.salts).repartition(partitions, KEY, _SALT)
-    pinned = [t.persist(StorageLevel.MEMORY_AND_DISK) for t in (rows, lookup.chunks) if t]
+    tables = [rows] if lookup.chunks is None else [rows, lookup.chunks]
+    pinned = [table.persist(StorageLevel.MEMORY_AND_DISK) for table in tables]
     return Lookup(
         rows, lookup.broadcast, lookup.marked, lookup.salts, lookup.chunks, pinned
     )
