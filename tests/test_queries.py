@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
+from maskflow import catalog
 from tests.oracle import assert_same, connect
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -13,7 +14,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     result = driver.queries()[name](spark, SF_DIR)
     assert_same(result, duck, driver.oracle_sql()[name])
