@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from maskflow.llm import exact_dedup
+from maskflow.llm import exact_dedup, jaccard_join
 from maskflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,9 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_batch(
         spark, table(spark, sf_dir, "documents"), name, scratch_path(spark, "digest-index")
     )
+
+
+@query()
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return jaccard_join.near_classes(spark, docs, width=4, num=85, den=100)
