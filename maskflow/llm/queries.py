@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from maskflow.llm import exact_dedup, jaccard_join
+from maskflow.llm import decontaminate, exact_dedup, jaccard_join
 from maskflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,9 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return jaccard_join.near_classes(spark, docs, width=4, num=85, den=100)
+
+
+@query()
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(spark, docs, items)

@@ -114,17 +114,19 @@ def word_hashes(texts: Iterable[bytes]) -> Iterator[list[np.ndarray]]:
 _STEP = [_U(pow(0x9FB21C651E98DF25, k + 1, 1 << 64)) for k in range(64)]
 
 
+def shingle_rows(words: np.ndarray, width: int) -> np.ndarray:
+    """The shingle that starts at each word; none when there are fewer words."""
+    n = max(0, len(words) - width + 1)
+    joined = np.full(n, _U(width), _U)
+    for k in range(width if n else 0):
+        joined += words[k : k + n] * _STEP[k]
+    return mix(joined)
+
+
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
     """Distinct ``width``-word shingles of one text, sorted.
 
     A text with fewer words has its whole sequence as its only shingle; a text
     without words has none.
     """
-    if len(words) == 0:
-        return words
-    width_here = min(width, len(words))
-    n = len(words) - width_here + 1
-    joined = np.full(n, _U(width_here), _U)
-    for k in range(width_here):
-        joined += words[k : k + n] * _STEP[k]
-    return np.unique(mix(joined))
+    return np.unique(shingle_rows(words, min(width, len(words)))) if len(words) else words
