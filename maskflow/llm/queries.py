@@ -6,10 +6,14 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from maskflow.llm import decontaminate, exact_dedup, jaccard_join
+from maskflow.llm import decontaminate, exact_dedup, jaccard_join, pieces
 from maskflow.session import scratch_path
 
+#: The vocabulary file of the piece encoder: a file that the driver can read.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -59,3 +63,15 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.contaminated(spark, docs, items)
+
+
+@query()
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("whole"))
+    rows = pieces.decode(spark, pieces.encode(spark, docs, PIECE_MODEL), PIECE_MODEL)
+    return rows.select(
+        "doc_id",
+        F.size("ids").alias("n_ids"),
+        "ids",
+        F.col("text").eqNullSafe(F.replace("whole", F.lit(pieces.META), F.lit(" "))).alias("round_trip"),
+    )
