@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskflow.llm.tables import stored
+from maskflow.llm.tables import lean_batches, stored
 from maskflow.llm.words import SPACE, mix, word_hashes
 
 #: Rows that the classifiers may learn from; the bound of the sample that is collected.
@@ -311,6 +311,7 @@ def score(
 ) -> DataFrame:
     """``doc_id, p_text, p_meta, p_good, kept`` for every row of ``docs``."""
     model = learn(spark, docs, labels, id_col, text_col, meta_cols, label_col)
+    lean_batches(spark)
     sent = spark.sparkContext.broadcast(model)
     rows = _numbered(docs, id_col, text_col, meta_cols or [], F.lit(None))
     return rows.mapInArrow(
@@ -329,6 +330,7 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``docs`` that the model does not reject, with their columns."""
     model = learn(spark, docs, labels, id_col, text_col, meta_cols, label_col)
+    lean_batches(spark)
     sent = spark.sparkContext.broadcast(model)
     used = [text_col, *(meta_cols or [])]
 

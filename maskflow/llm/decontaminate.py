@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskflow.llm.tables import small, stored
+from maskflow.llm.tables import lean_batches, small, stored
 from maskflow.llm.words import mix, shingle_rows, word_hashes
 
 HASHES = 64
@@ -149,6 +149,7 @@ def contaminated(
     A pair is found when ``den * n_shared >= num * n_item``, counted over the item's
     distinct shingles.
     """
+    lean_batches(spark)
     texts = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )

@@ -3,15 +3,17 @@
 Two documents link when the Jaccard similarity of their shingle sets reaches a
 threshold. A linked pair shares a shingle among the first ``n - ceil(t n) + 1``
 shingles of either set under any global order. The order here puts rare shingles
-first: a fixed part of the hash space is counted over all documents, by packed
-blocks that are dealt out by shingle, and the lists of shared shingles go back to
-their documents. A document whose prefix is filled by shingles that nobody else has
-needs no comparison at all, however many common passages it holds.
+first: shingles are counted over all documents, by packed blocks that are dealt out
+by shingle, and the lists of shared shingles go back to their documents. A document
+whose prefix is filled by shingles that nobody else has needs no comparison at all,
+however many common passages it holds. This is done twice: with a fixed part of the
+hash space counted over all documents, which settles most of them, and then with
+every shingle counted over those that are left.
 
 Equal sets are one member. Members with the same prefix and size form one group, and
 groups meet by the shingles of their prefixes. Pairs are verified on the whole sets:
-first each member with one hub, then, across the components found so far, every
-remaining pair of members that share a prefix shingle. No pair inside a component
+first each member with one hub, for a few rounds in which the hubs change, then,
+across the components found so far, every remaining pair that shares a prefix shingle. No pair inside a component
 needs to be looked at, so thousands of near copies cost one comparison each.
 
 Defined cases: null text and text without words have no shingles and link with
@@ -27,19 +29,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from maskflow.llm.components import components
-from maskflow.llm.tables import small, stored
+from maskflow.llm.tables import lean_batches, small, stored
 from maskflow.llm.words import mix, shingles, word_hashes
 
-#: The part of the hash space whose shingles are counted over all documents.
+#: The part of the hash space whose shingles are counted over all documents at first.
 COUNTED = 0.25
-_THETA = int(COUNTED * (1 << 40)) << 24
+#: Hubs that members outside the largest component try in each of some more rounds.
+HUBS = (2, 8, 24, 64)
 #: Shingles held before a task sends them on, and shingles in one block of counting.
-FLUSH = 1_500_000
-BLOCK = 1_000_000
+FLUSH = 1_000_000
+BLOCK = 500_000
 #: Members that one task compares with the same hub.
 HUB_MEMBERS = 2_000
 
@@ -94,9 +97,15 @@ def _joined(high: bytes, low: bytes) -> np.ndarray:
 _BLOCK_SCHEMA = "bucket int, gids binary, n binary, m binary, at binary, high binary, low binary"
 
 
-def _send_tokens(width: int, num: int, den: int, buckets: int):
+def _limit(counted: float) -> int:
+    """The first 40-bit value that is not counted."""
+    return int(counted * (1 << 40))
+
+
+def _send_tokens(width: int, num: int, den: int, buckets: int, counted: float):
     """Packed blocks of (shingle, set), one per bucket of shingles."""
     names = ["bucket", "gids", "n", "m", "at", "high", "low"]
+    limit = np.uint64(min(_limit(counted) << 24, (1 << 64) - 1))
 
     def flush(held):
         gids, ns, ms, parts = held
@@ -128,7 +137,7 @@ def _send_tokens(width: int, num: int, den: int, buckets: int):
                 if not n or (gid := _set_id(found)) in seen:
                     continue
                 seen.add(gid)
-                m = int(np.searchsorted(found, np.uint64(_THETA)))
+                m = n if counted >= 1 else int(np.searchsorted(found, limit))
                 part = found[: max(m, _prefix(n, num, den))]
                 for column, value in zip(held, (gid, n, m, part)):
                     column.append(value)
@@ -205,16 +214,16 @@ def _count_tokens(buckets: int):
     return run
 
 
-_PREFIX_SCHEMA = "token bigint, gid bigint, grp bigint, n bigint, s bigint"
+_PREFIX_SCHEMA = "token bigint, gid bigint, grp bigint, n bigint, s bigint, r bigint"
 
 
-def _choose_prefixes(num: int, den: int):
+def _choose_prefixes(num: int, den: int, counted: float, ids_only: bool):
     """The shared shingles in the prefix of each set, rare ones first.
 
     ``s`` is the number of counted shingles that no other set has; they come first
-    in the order. Sets with equal size and equal prefix get the same ``grp``.
+    in the order, and ``r`` is the place of the shingle in it. Sets with equal size and equal prefix get the same ``grp``.
     """
-    theta = _THETA >> 24
+    limit = _limit(counted)
 
     def run(batches):
         for _, rows in _by_bucket(batches):
@@ -224,7 +233,7 @@ def _choose_prefixes(num: int, den: int):
             df = np.concatenate([np.frombuffer(r["df"], np.uint32) for r in rows])
             token = np.concatenate([_joined(r["high"], r["low"]) for r in rows])
             rows.clear()
-            late = token >= theta
+            late = token >= limit
             order = np.lexsort((token, np.where(late, 0, df), late, gid))
             gid, n, m, token, late = gid[order], n[order], m[order], token[order], late[order]
             start = np.flatnonzero(np.r_[True, gid[1:] != gid[:-1]])
@@ -233,18 +242,21 @@ def _choose_prefixes(num: int, den: int):
             rank = np.arange(len(gid)) - np.repeat(start, count)
             s = m - np.repeat(counted, count)
             take = late | (rank < _prefix(n, num, den) - s)
-            gid, n, s, token = gid[take], n[take], s[take], token[take]
+            gid, n, s, token, r = gid[take], n[take], s[take], token[take], (s + rank)[take]
             if not len(gid):
                 continue
             start = np.flatnonzero(np.r_[True, gid[1:] != gid[:-1]])
             count = np.diff(np.r_[start, len(gid)])
+            if ids_only:
+                yield pa.record_batch([pa.array(gid[start])], ["gid"])
+                continue
             # In order of rank, so that equal prefixes sum to equal values.
             key = mix(token.view(np.uint64))
             whole = np.add.reduceat(key, start) + mix(count.astype(np.uint64) + (n[start].astype(np.uint64) << np.uint64(32)))
             alike = (s[start] == 0)
             grp = np.where(alike, mix(whole).view(np.int64), gid[start])
             yield pa.record_batch(
-                [token, gid, np.repeat(grp, count), n, s], ["token", "gid", "grp", "n", "s"]
+                [token, gid, np.repeat(grp, count), n, s, r], ["token", "gid", "grp", "n", "s", "r"]
             )
 
     return run
@@ -341,6 +353,23 @@ def verify(
     return ready.mapInArrow(_compare, "a bigint, b bigint, both bigint, na bigint, nb bigint")
 
 
+def _prefixes(
+    spark: SparkSession, texts: DataFrame, tokens: int, width: int, num: int, den: int, counted: float,
+    ids_only: bool,
+) -> DataFrame:
+    """The prefix rows of the sets of ``texts``, or only the sets that have some."""
+    buckets = max(spark.sparkContext.defaultParallelism, int(tokens * counted) // BLOCK + 1)
+    return (
+        texts.mapInArrow(_send_tokens(width, num, den, buckets, counted), _BLOCK_SCHEMA)
+        .repartition(buckets, "bucket").sortWithinPartitions("bucket")
+        .mapInArrow(_count_tokens(buckets), _SHARED_SCHEMA)
+        .repartition(buckets, "bucket").sortWithinPartitions("bucket")
+        .mapInArrow(
+            _choose_prefixes(num, den, counted, ids_only), "gid bigint" if ids_only else _PREFIX_SCHEMA
+        )
+    )
+
+
 def near_classes(
     spark: SparkSession,
     docs: DataFrame,
@@ -355,6 +384,7 @@ def near_classes(
     ``component_id`` is the smallest id that can be reached by links, the row itself
     included.
     """
+    lean_batches(spark)
     sizes = stored(spark, shingle_sets(docs, width, id_col, text_col), "shingle-sets")
     members = stored(
         spark,
@@ -362,17 +392,17 @@ def near_classes(
         .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")),
         "members",
     )
-    tokens = (members.agg(F.sum("n")).first()[0] or 0) * COUNTED
-    buckets = max(spark.sparkContext.defaultParallelism, int(tokens // BLOCK) + 1)
-    texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    shared = (
-        texts.mapInArrow(_send_tokens(width, num, den, buckets), _BLOCK_SCHEMA)
-        .repartition(buckets, "bucket").sortWithinPartitions("bucket")
-        .mapInArrow(_count_tokens(buckets), _SHARED_SCHEMA)
-        .repartition(buckets, "bucket").sortWithinPartitions("bucket")
-        .mapInArrow(_choose_prefixes(num, den), _PREFIX_SCHEMA)
+    # Sets that may have a link at all, by a part of their shingles.
+    texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("text"))
+    tokens = members.agg(F.sum("n")).first()[0] or 0
+    active = _prefixes(spark, texts.select("text"), tokens, width, num, den, COUNTED, True)
+    left = stored(spark, active.join(members, "gid"), "active")
+    count, tokens = left.agg(F.count(F.lit(1)), F.sum("n")).first()
+    # Their prefixes, by all shingles that they share with one another.
+    chosen = texts.join(small(left.select(F.col("doc_id").alias("_doc")), count, 16), F.col("_id") == F.col("_doc"))
+    prefixes = stored(
+        spark, _prefixes(spark, chosen.select("text"), tokens or 0, width, num, den, 1.0, False), "prefixes"
     )
-    prefixes = stored(spark, shared, "prefixes")
 
     # One comparison for each member: with its group's first, or the group's best hub.
     groups = prefixes.groupBy("token", "grp").agg(F.min("gid").alias("rep"), F.min("n").alias("n"))
@@ -392,15 +422,21 @@ def near_classes(
     )
     plain = members.select("gid", "doc_id")
     linked = F.expr(f"{den} * both >= {num} * (na + nb - both)")
-    tried = stored(spark, verify(spark, docs, plain, star, width, id_col, text_col), "tried")
-    links = tried.filter(linked).select("a", "b")
-    found = stored(spark, components(spark, links), "components")
-
-    # Every other pair that shares a prefix shingle and spans two components.
-    rest = stored(spark, _across(prefixes, found, star, num, den), "across")
-    more = stored(spark, verify(spark, docs, plain, rest, width, id_col, text_col), "tried")
-    extra = more.filter(linked).select("a", "b")
-    found = stored(spark, components(spark, links.unionByName(extra)), "components")
+    tried, links, found = star, None, None
+    for turn in range(len(HUBS) + 2):
+        if turn:
+            rows = stored(spark, _spanning(prefixes, found), "spanning")
+            if turn <= len(HUBS):
+                pairs = _some_hubs(rows, tried, num, den, turn)
+            else:
+                pairs = _across(rows, tried, num, den)
+            star = stored(spark, pairs, "star")
+            tried = tried.unionByName(star)
+        done = stored(spark, verify(spark, docs, plain, star, width, id_col, text_col), "tried")
+        new = done.filter(linked).select("a", "b")
+        links = new if links is None else links.unionByName(new)
+        if turn == 0 or not new.isEmpty():
+            found = stored(spark, components(spark, links), "components")
 
     # From sets to documents: the smallest id of a component.
     labelled = members.join(found.withColumnRenamed("node", "gid"), "gid", "left").withColumn(
@@ -415,31 +451,70 @@ def near_classes(
     )
 
 
-def _across(prefixes: DataFrame, found: DataFrame, tried: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of members in different components that share a prefix shingle.
+def _spanning(prefixes: DataFrame, found: DataFrame) -> DataFrame:
+    """Prefix rows with their component, for shingles that span several.
 
-    Under each shingle, members outside its largest component meet all members of
-    other components. A shingle within one component gives nothing.
+    ``top`` is the shingle's largest component. A shingle within one component gives
+    nothing: all its members are linked already.
     """
     rows = prefixes.join(found.withColumnRenamed("node", "gid"), "gid", "left").select(
-        "token", "gid", "n", "s", F.coalesce("component", "gid").alias("comp")
+        "token", "gid", "n", "r", F.coalesce("component", "gid").alias("comp")
     )
     parts = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
     mixed = parts.groupBy("token").agg(
         F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("k")
     ).filter("k > 1")
-    inside = rows.join(mixed.select("token", "top"), "token")
-    left = inside.filter("comp != top").select(
-        "token", *(F.col(c).alias(f"x_{c}") for c in ("gid", "n", "s", "comp", "top"))
+    return rows.join(mixed.select("token", "top"), "token")
+
+
+def _may_link(num: int, den: int) -> str:
+    """Bounds by size, and by the places of the shingle.
+
+    A pair needs ``least`` shingles in common. If this one is the first of them, those
+    before it in either set are not shared, so at most ``n - r`` are.
+    """
+    least = f"(({num} * (n + x_n) + {num + den - 1}) div {num + den})"
+    return f"""{den} * least(n, x_n) >= {num} * greatest(n, x_n)
+        and n - r >= {least} and x_n - x_r >= {least}"""
+
+
+def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.join(known, ["a", "b"], "left_anti")
+
+
+def _some_hubs(rows: DataFrame, tried: DataFrame, num: int, den: int, turn: int) -> DataFrame:
+    """For members outside a shingle's largest component, some members of it to try.
+
+    A member that finds one link needs no more, which leaves few for :func:`_across`.
+    The hubs of a shingle change with the turn; those that share most are tried.
+    """
+    limit = HUBS[turn - 1]
+    order = Window.partitionBy("token").orderBy(F.xxhash64("gid", F.lit(turn)), "gid")
+    hubs = rows.filter("comp = top").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= limit)
+    hubs = hubs.select("token", *(F.col(c).alias(f"x_{c}") for c in ("gid", "n", "r")))
+    met = rows.filter("comp != top").join(hubs, "token").filter(_may_link(num, den))
+    counts = met.groupBy(F.least("gid", "x_gid").alias("a"), F.greatest("gid", "x_gid").alias("b"), "gid").agg(
+        F.count(F.lit(1)).alias("c")
+    )
+    best = Window.partitionBy("gid").orderBy(F.desc("c"), "a", "b")
+    chosen = _untried(counts, tried).withColumn("r", F.row_number().over(best)).filter(F.col("r") <= limit)
+    return chosen.select("a", "b").distinct()
+
+
+def _across(rows: DataFrame, tried: DataFrame, num: int, den: int) -> DataFrame:
+    """Every untried pair in different components that shares a prefix shingle.
+
+    Members outside a shingle's largest component meet all members of others.
+    """
+    left = rows.filter("comp != top").select(
+        "token", *(F.col(c).alias(f"x_{c}") for c in ("gid", "n", "r", "comp"))
     )
-    pairs = left.join(inside, "token").filter(
-        f"""x_comp != comp and (comp = top or x_gid < gid)
-        and {den} * least(n, x_n) >= {num} * greatest(n, x_n)
-        and {den} * least(n - s, x_n - x_s) >= {num} * (n + x_n - least(n - s, x_n - x_s))"""
+    pairs = left.join(rows, "token").filter(
+        f"x_comp != comp and (comp = top or x_gid < gid) and {_may_link(num, den)}"
     )
     pairs = pairs.select(F.least("x_gid", "gid").alias("a"), F.greatest("x_gid", "gid").alias("b")).distinct()
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(known, ["a", "b"], "left_anti")
+    return _untried(pairs, tried)
 
 
 def keep_one(

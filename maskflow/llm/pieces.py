@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maskflow.llm.tables import lean_batches
+
 META = "▁"
 #: Characters of distinct words in one suffix array; words kept between batches.
 SLICE = 1 << 20
@@ -340,6 +342,7 @@ def encode(
     spark: SparkSession, docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "ids"
 ) -> DataFrame:
     """``docs`` with its text replaced by ``ids_col``, an array of piece ids."""
+    lean_batches(spark)
     sent = spark.sparkContext.broadcast(Vocabulary.load(model))
     rest = [c for c in docs.columns if c != text_col]
     # Names that could clash inside the task are numbered, and given back after it.
@@ -376,6 +379,7 @@ def decode(
     spark: SparkSession, rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "text"
 ) -> DataFrame:
     """``rows`` with the text that the ids stand for as ``text_col``."""
+    lean_batches(spark)
     sent = spark.sparkContext.broadcast(Vocabulary.load(model))
     plain = rows.select(
         *(F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(rows.columns)),

@@ -15,6 +15,20 @@ BROADCAST_BYTES = 32 << 20
 HOT_SHARE = 1 / 1000
 
 
+def lean_batches(spark: SparkSession) -> None:
+    """Let Spark hand whole texts to Python in batches of a few MB.
+
+    The usual limit counts rows, and ten thousand long texts fill a worker's memory.
+    A limit that differs from Spark's own is kept.
+    """
+    for key, usual, value in (
+        ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", str(4 << 20)),
+        ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "4000"),
+    ):
+        if spark.conf.get(key) == usual:
+            spark.conf.set(key, value)
+
+
 def stored(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` to the shared scratch folder and read it back.
 
