@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskflow.llm import cotraining, decontaminate, exact_dedup, jaccard_join, pieces
+from maskflow.llm import cotraining, decontaminate, exact_dedup, jaccard_join, pieces, suffix_dedup
 from maskflow.session import scratch_path
 
 #: The vocabulary file of the piece encoder: a file that the driver can read.
@@ -81,3 +81,9 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return cotraining.score(spark, docs, labels, meta_cols=["lang", "source", "n_chars"])
+
+
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return suffix_dedup.remove_repeats(spark, docs).drop("text", "spans")

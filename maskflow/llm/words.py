@@ -32,13 +32,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _byte_values() -> np.ndarray:
-    values = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
-    values[65:91] = values[97:123]
-    return values
-
-
-_VALUES = _byte_values()
+#: A random number for each byte; for words, A-Z have those of a-z.
+BYTES = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
+_FOLDED = BYTES.copy()
+_FOLDED[65:91] = _FOLDED[97:123]
 _BASE = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2**64
 _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
@@ -61,11 +58,13 @@ def spans(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2]
 
 
-def hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The hash of each word ``buffer[start:end]``."""
+def hashes(
+    buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _FOLDED
+) -> np.ndarray:
+    """The hash of each stretch ``buffer[start:end]``."""
     power, inverse = _tables(len(buffer) + 1)
     sums = np.zeros(len(buffer) + 1, _U)
-    np.cumsum(_VALUES[buffer] * power[: len(buffer)], out=sums[1:])
+    np.cumsum(values[buffer] * power[: len(buffer)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
