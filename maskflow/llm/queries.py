@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskflow.llm import cotraining, decontaminate, exact_dedup, jaccard_join, pieces, suffix_dedup
+from maskflow.llm import cotraining, decontaminate, exact_dedup, html_text, jaccard_join, pieces, suffix_dedup, warc
 from maskflow.session import scratch_path
 
 #: The vocabulary file of the piece encoder: a file that the driver can read.
@@ -87,3 +87,30 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return suffix_dedup.remove_repeats(spark, docs).drop("text", "spans")
+
+
+@query()
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(spark, pages).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query(
+    """
+    WITH payloads AS (
+      SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+    ), held AS (
+      SELECT page_id, payload_bytes, sha256(payload) AS payload_digest,
+             CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload) ELSE page_id END AS first_id
+      FROM payloads
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+    FROM held
+    """
+)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(spark, table(spark, sf_dir, "pages"), path)
+    return warc.page_captures(spark, warc.assemble(warc.read(spark, path)))
