@@ -84,17 +84,8 @@ def _cuts(text: bytes) -> Iterator[bytes]:
         at = end
 
 
-def word_hashes(texts: Iterable[bytes]) -> Iterator[list[np.ndarray]]:
-    """For lists of consecutive texts, the word hashes of each text."""
-
-    def of(group: list[bytes]) -> list[np.ndarray]:
-        buffer = np.frombuffer(b"\n".join(group), np.uint8)
-        starts, ends = spans(buffer)
-        found = hashes(buffer, starts, ends)
-        offsets = np.cumsum([0, *(len(t) + 1 for t in group)])
-        cut = np.searchsorted(starts, offsets)
-        return [found[cut[i] : cut[i + 1]] for i in range(len(group))]
-
+def _words(texts: Iterable[bytes], of) -> Iterator[list]:
+    """``of`` applied to groups of consecutive texts, with long texts in parts."""
     group: list[bytes] = []
     size = 0
     for text in texts:
@@ -102,7 +93,8 @@ def word_hashes(texts: Iterable[bytes]) -> Iterator[list[np.ndarray]]:
             yield of(group)
             group, size = [], 0
         if len(text) > PIECE:
-            yield [np.concatenate([of([part])[0] for part in _cuts(text)])]
+            parts = [of([part])[0] for part in _cuts(text)]
+            yield [tuple(map(np.concatenate, zip(*parts)))]
         else:
             group.append(text)
             size += len(text) + 1
@@ -110,6 +102,38 @@ def word_hashes(texts: Iterable[bytes]) -> Iterator[list[np.ndarray]]:
         yield of(group)
 
 
+def _laid_out(group: list[bytes]):
+    buffer = np.frombuffer(b"\n".join(group), np.uint8)
+    starts, ends = spans(buffer)
+    cut = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in group)]))
+    return buffer, starts, ends, cut
+
+
+def word_hashes(texts: Iterable[bytes]) -> Iterator[list[np.ndarray]]:
+    """For groups of consecutive texts, the word hashes of each text."""
+
+    def of(group: list[bytes]) -> list[tuple[np.ndarray]]:
+        buffer, starts, ends, cut = _laid_out(group)
+        found = hashes(buffer, starts, ends)
+        return [(found[a:b],) for a, b in zip(cut[:-1], cut[1:])]
+
+    for group in _words(texts, of):
+        yield [found for (found,) in group]
+
+
+def word_tails(texts: Iterable[bytes]) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """Like :func:`word_hashes`, with the last two bytes of each word as one number."""
+
+    def of(group: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        buffer, starts, ends, cut = _laid_out(group)
+        found = hashes(buffer, starts, ends)
+        low = np.where((buffer >= 65) & (buffer <= 90), buffer + 32, buffer).astype(np.int64)
+        tails = low[ends - 1] + 256 * np.where(ends - starts > 1, low[np.maximum(ends - 2, 0)], 0)
+        return [(found[a:b], tails[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+
+    yield from _words(texts, of)
+
+
 _STEP = [_U(pow(0x9FB21C651E98DF25, k + 1, 1 << 64)) for k in range(64)]
 
 
