@@ -12,8 +12,8 @@ every shingle counted over those that are left.
 
 Equal sets are one member. Members with the same prefix and size form one group, and
 groups meet by the shingles of their prefixes. Pairs are verified on the whole sets:
-first each member with one hub, for a few rounds in which the hubs change, then,
-across the components found so far, every remaining pair that shares a prefix shingle. No pair inside a component
+first each member with one hub, then with a few more, then, across the components
+found so far, all that share a prefix shingle, block against block. No pair inside a component
 needs to be looked at, so thousands of near copies cost one comparison each.
 
 Defined cases: null text and text without words have no shingles and link with
@@ -38,13 +38,15 @@ from maskflow.llm.words import mix, shingles, word_hashes
 
 #: The part of the hash space whose shingles are counted over all documents at first.
 COUNTED = 0.25
-#: Hubs that members outside the largest component try in each of some more rounds.
-HUBS = (2, 8, 24, 64)
+#: Hubs that members outside a shingle's largest component try before all are compared.
+HUBS = 8
 #: Shingles held before a task sends them on, and shingles in one block of counting.
 FLUSH = 1_000_000
 BLOCK = 500_000
 #: Members that one task compares with the same hub.
 HUB_MEMBERS = 2_000
+#: Members outside a component that are compared at once.
+BLOCK_MEMBERS = 1_000
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -263,26 +265,22 @@ def _choose_prefixes(num: int, den: int, counted: float, ids_only: bool):
 
 
 def _send_sets(width: int):
-    """Sets of documents for comparing: with each hub of the row, or as a hub itself."""
-    names = ["hub", "salt", "role", "gid", "high", "low"]
+    """The set of each text, to every cell that asks for it."""
+    names = ["hub", "cell", "role", "gid", "high", "low"]
 
     def run(batches):
         for batch in batches:
             out, size = [], 0
-            ids, hubs, parts = (batch.column(k).to_pylist() for k in (1, 2, 3))
-            for gid, own, salts, found in zip(
-                ids, hubs, parts, _sets(_texts(batch.column(0)), width)
-            ):
+            ids, cells = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            for gid, own, found in zip(ids, cells, _sets(_texts(batch.column(0)), width)):
                 high = (found >> np.uint64(32)).astype(np.uint32).tobytes()
                 low = (found >> np.uint64(16)).astype(np.uint16).tobytes()
-                for salt in range(salts or 0):
-                    out.append((gid, salt, 0, gid, high, low))
-                for hub in own or ():
-                    out.append((hub["hub"], hub["salt"], 1, gid, high, low))
-                size += (len(own or ()) + (salts or 0)) * len(found) * 6
-                if size > 8 << 20:
-                    yield _record(out, names)
-                    out, size = [], 0
+                for c in own:
+                    out.append((c["hub"], c["cell"], c["role"], gid, high, low))
+                    size += len(found) * 6
+                    if size > 4 << 20:
+                        yield _record(out, names)
+                        out, size = [], 0
             if out:
                 yield _record(out, names)
 
@@ -294,63 +292,141 @@ def _record(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
 
-def _compare(batches):
-    """Members against the hub that comes before them in the sorted partition."""
+def _unpack(high: bytes, low: bytes) -> np.ndarray:
+    return (np.frombuffer(high, np.uint32).astype(np.int64) << 16) | np.frombuffer(low, np.uint16)
 
-    def unpack(high, low):
-        return (np.frombuffer(high, np.uint32).astype(np.int64) << 16) | np.frombuffer(low, np.uint16)
 
-    hub, other = None, None
-    for batch in batches:
-        a, b, both, na, nb = [], [], [], [], []
-        columns = [batch.column(k) for k in range(6)]
-        for i in range(batch.num_rows):
-            key, role = columns[0][i].as_py(), columns[2][i].as_py()
-            found = unpack(columns[4][i].as_py(), columns[5][i].as_py())
-            if role == 0:
-                hub, other = key, found
-                continue
-            at = np.minimum(np.searchsorted(other, found), len(other) - 1)
-            a.append(hub)
-            b.append(columns[3][i].as_py())
-            both.append(int((other[at] == found).sum()))
-            na.append(len(other))
-            nb.append(len(found))
-        if a:
-            yield pa.record_batch(
-                [pa.array(c, pa.int64()) for c in (a, b, both, na, nb)], ["a", "b", "both", "na", "nb"]
-            )
+def _links_of_hub(num: int, den: int):
+    """Links between a hub and the members that follow it in the sorted partition."""
+
+    def run(batches):
+        hub, other = None, None
+        for batch in batches:
+            a, b = [], []
+            columns = [batch.column(k) for k in range(6)]
+            for i in range(batch.num_rows):
+                found = _unpack(columns[4][i].as_py(), columns[5][i].as_py())
+                if columns[2][i].as_py() == 0:
+                    hub, other = columns[0][i].as_py(), found
+                    continue
+                at = np.minimum(np.searchsorted(other, found), len(other) - 1)
+                both = int((other[at] == found).sum())
+                if den * both >= num * (len(other) + len(found) - both):
+                    a.append(hub)
+                    b.append(columns[3][i].as_py())
+            if a:
+                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _links_of_cell(num: int, den: int):
+    """Links between the members of a block and the rows that follow them.
+
+    The block is an inverted list from shingle to member; a row's overlaps with all of
+    them are counted at once.
+    """
+
+    def run(batches):
+        current, ids, sets, index = None, [], [], None
+        for batch in batches:
+            a, b = [], []
+            columns = [batch.column(k).to_pylist() for k in range(6)]
+            for hub, cell, role, gid, high, low in zip(*columns):
+                if (hub, cell) != current:
+                    current, ids, sets, index = (hub, cell), [], [], None
+                found = _unpack(high, low)
+                if role == 0:
+                    ids.append(gid)
+                    sets.append(found)
+                    continue
+                if not ids:
+                    continue
+                if index is None:
+                    sizes = np.array([len(x) for x in sets])
+                    tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(ids)), sizes)
+                    order = np.argsort(tokens, kind="stable")
+                    index = tokens[order], owner[order], sizes
+                tokens, owner, sizes = index
+                lo, hi = np.searchsorted(tokens, found), np.searchsorted(tokens, found, "right")
+                count = hi - lo
+                at = np.arange(count.sum()) + np.repeat(lo - np.cumsum(count) + count, count)
+                both = np.bincount(owner[at], minlength=len(ids))
+                for k in np.flatnonzero(den * both >= num * (sizes + len(found) - both)):
+                    if ids[k] != gid:
+                        a.append(ids[k])
+                        b.append(gid)
+            if a:
+                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
 
 
-def verify(
-    spark: SparkSession, docs: DataFrame, members: DataFrame, pairs: DataFrame, width: int,
-    id_col: str, text_col: str,
+def _dealt_sets(
+    spark: SparkSession, texts: DataFrame, members: DataFrame, asked: DataFrame, width: int
 ) -> DataFrame:
-    """``a, b, both, na, nb`` for pairs of sets, by whole sets computed from whole texts.
+    """The sets that ``asked`` (gid, hub, cell, role) names, together by hub and cell.
 
-    ``members`` has one document per set. A hub with many members is sent to several
-    tasks. The list of documents to read is broadcast when it is small enough.
+    ``members`` has one document per set; its whole text is read again. The list of
+    documents is broadcast when it is small enough.
     """
-    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_MEMBERS).cast("int").alias("salts"))
-    dealt = pairs.join(parts, "a").select(
-        F.col("b").alias("gid"),
-        F.struct(F.col("a").alias("hub"), F.expr("int(pmod(xxhash64(b), salts))").alias("salt")).alias("h"),
-    )
-    lists = dealt.groupBy("gid").agg(F.collect_list("h").alias("hubs"))
+    lists = asked.groupBy("gid").agg(F.collect_list(F.struct("hub", "cell", "role")).alias("cells"))
     wanted = stored(
-        spark,
-        lists.join(parts.withColumnRenamed("a", "gid"), "gid", "full").join(members, "gid")
-        .select("gid", "hubs", "salts", F.col("doc_id").alias("_doc")),
-        "wanted",
+        spark, lists.join(members, "gid").select("gid", "cells", F.col("doc_id").alias("_doc")), "wanted"
     )
-    count = wanted.count()
-    texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    chosen = texts.join(small(wanted, count, 100), F.col("_id") == F.col("_doc"))
-    sets = chosen.select("_text", "gid", "hubs", "salts").mapInArrow(
-        _send_sets(width), "hub bigint, salt int, role int, gid bigint, high binary, low binary"
+    count, cells = wanted.agg(F.count(F.lit(1)), F.sum(F.size("cells"))).first()
+    chosen = texts.join(small(wanted, 1, 60 * count + 24 * (cells or 0)), F.col("_id") == F.col("_doc"))
+    sets = chosen.select("text", "gid", "cells").mapInArrow(
+        _send_sets(width), "hub bigint, cell int, role int, gid bigint, high binary, low binary"
     )
-    ready = sets.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role")
-    return ready.mapInArrow(_compare, "a bigint, b bigint, both bigint, na bigint, nb bigint")
+    return sets.repartition("hub", "cell").sortWithinPartitions("hub", "cell", "role")
+
+
+def _try_hubs(
+    spark: SparkSession, texts: DataFrame, members: DataFrame, pairs: DataFrame, width: int, num: int, den: int
+) -> DataFrame:
+    """The links among pairs (a: hub, b: member). A hub with many members has several cells."""
+    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_MEMBERS).cast("int").alias("parts"))
+    own = parts.select(
+        F.col("a").alias("gid"), F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("cell"),
+        F.lit(0).alias("role"),
+    )
+    others = pairs.join(parts, "a").select(
+        F.col("b").alias("gid"), F.col("a").alias("hub"), F.expr("int(pmod(xxhash64(b), parts))").alias("cell"),
+        F.lit(1).alias("role"),
+    )
+    sets = _dealt_sets(spark, texts, members, own.unionByName(others), width)
+    return sets.mapInArrow(_links_of_hub(num, den), "a bigint, b bigint")
+
+
+def _try_rest(
+    spark: SparkSession, texts: DataFrame, members: DataFrame, rows: DataFrame, width: int, num: int, den: int
+) -> DataFrame:
+    """All links that span components, among members that share a prefix shingle.
+
+    ``rows`` come from :func:`_spanning`. Members outside a shingle's largest component
+    are compared with all members around that component, block by block: no pair is
+    written down unless it links.
+    """
+    roles = rows.groupBy(F.col("top").alias("hub"), "gid").agg(F.max(F.col("comp") != F.col("top")).alias("outside"))
+    sizes = roles.groupBy("hub").agg(
+        F.ceil(F.count_if("outside") / BLOCK_MEMBERS).cast("int").alias("blocks"),
+        F.ceil(F.count(F.lit(1)) / HUB_MEMBERS).cast("int").alias("parts"),
+    )
+    held = roles.join(sizes.filter("blocks > 0"), "hub")
+    # The cells of a block are its row of the grid, those of a part its column.
+    row = F.expr("transform(sequence(0, parts - 1), p -> int(pmod(xxhash64(gid), blocks)) * parts + p)")
+    column = F.expr("transform(sequence(0, blocks - 1), b -> b * parts + int(pmod(xxhash64(gid, 1), parts)))")
+    strays = held.filter("outside").select(
+        "gid", "hub", F.explode(row).alias("cell"),
+        F.lit(0).alias("role"),
+    )
+    targets = held.select(
+        "gid", "hub", F.explode(column).alias("cell"),
+        F.lit(1).alias("role"),
+    )
+    sets = _dealt_sets(spark, texts, members, strays.unionByName(targets), width)
+    return sets.mapInArrow(_links_of_cell(num, den), "a bigint, b bigint")
 
 
 def _prefixes(
@@ -421,22 +497,16 @@ def near_classes(
         "star",
     )
     plain = members.select("gid", "doc_id")
-    linked = F.expr(f"{den} * both >= {num} * (na + nb - both)")
-    tried, links, found = star, None, None
-    for turn in range(len(HUBS) + 2):
-        if turn:
-            rows = stored(spark, _spanning(prefixes, found), "spanning")
-            if turn <= len(HUBS):
-                pairs = _some_hubs(rows, tried, num, den, turn)
-            else:
-                pairs = _across(rows, tried, num, den)
-            star = stored(spark, pairs, "star")
-            tried = tried.unionByName(star)
-        done = stored(spark, verify(spark, docs, plain, star, width, id_col, text_col), "tried")
-        new = done.filter(linked).select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        if turn == 0 or not new.isEmpty():
-            found = stored(spark, components(spark, links), "components")
+    links = stored(spark, _try_hubs(spark, texts, plain, star, width, num, den), "links")
+    found = stored(spark, components(spark, links), "components")
+    # Members that the first hub did not settle try some more, then all that is left.
+    rows = stored(spark, _spanning(prefixes, found), "spanning")
+    more = stored(spark, _some_hubs(rows, star, num, den), "star")
+    links = links.unionByName(stored(spark, _try_hubs(spark, texts, plain, more, width, num, den), "links"))
+    found = stored(spark, components(spark, links), "components")
+    rows = stored(spark, _spanning(prefixes, found), "spanning")
+    links = links.unionByName(stored(spark, _try_rest(spark, texts, plain, rows, width, num, den), "links"))
+    found = stored(spark, components(spark, links), "components")
 
     # From sets to documents: the smallest id of a component.
     labelled = members.join(found.withColumnRenamed("node", "gid"), "gid", "left").withColumn(
@@ -483,40 +553,24 @@ def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
     return pairs.join(known, ["a", "b"], "left_anti")
 
 
-def _some_hubs(rows: DataFrame, tried: DataFrame, num: int, den: int, turn: int) -> DataFrame:
+def _some_hubs(rows: DataFrame, tried: DataFrame, num: int, den: int) -> DataFrame:
     """For members outside a shingle's largest component, some members of it to try.
 
-    A member that finds one link needs no more, which leaves few for :func:`_across`.
-    The hubs of a shingle change with the turn; those that share most are tried.
+    A member that finds one link needs no more, which leaves few for :func:`_try_rest`.
+    Of the hubs of its shingles those that share most are tried.
     """
-    limit = HUBS[turn - 1]
-    order = Window.partitionBy("token").orderBy(F.xxhash64("gid", F.lit(turn)), "gid")
-    hubs = rows.filter("comp = top").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= limit)
+    order = Window.partitionBy("token").orderBy(F.xxhash64("gid", F.lit(1)), "gid")
+    hubs = rows.filter("comp = top").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= HUBS)
     hubs = hubs.select("token", *(F.col(c).alias(f"x_{c}") for c in ("gid", "n", "r")))
     met = rows.filter("comp != top").join(hubs, "token").filter(_may_link(num, den))
     counts = met.groupBy(F.least("gid", "x_gid").alias("a"), F.greatest("gid", "x_gid").alias("b"), "gid").agg(
         F.count(F.lit(1)).alias("c")
     )
     best = Window.partitionBy("gid").orderBy(F.desc("c"), "a", "b")
-    chosen = _untried(counts, tried).withColumn("r", F.row_number().over(best)).filter(F.col("r") <= limit)
+    chosen = _untried(counts, tried).withColumn("r", F.row_number().over(best)).filter(F.col("r") <= HUBS)
     return chosen.select("a", "b").distinct()
 
 
-def _across(rows: DataFrame, tried: DataFrame, num: int, den: int) -> DataFrame:
-    """Every untried pair in different components that shares a prefix shingle.
-
-    Members outside a shingle's largest component meet all members of others.
-    """
-    left = rows.filter("comp != top").select(
-        "token", *(F.col(c).alias(f"x_{c}") for c in ("gid", "n", "r", "comp"))
-    )
-    pairs = left.join(rows, "token").filter(
-        f"x_comp != comp and (comp = top or x_gid < gid) and {_may_link(num, den)}"
-    )
-    pairs = pairs.select(F.least("x_gid", "gid").alias("a"), F.greatest("x_gid", "gid").alias("b")).distinct()
-    return _untried(pairs, tried)
-
-
 def keep_one(
     spark: SparkSession, docs: DataFrame, width: int, num: int, den: int,
     id_col: str = "doc_id", text_col: str = "text",
