@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskflow.llm import cotraining, decontaminate, exact_dedup, html_text, jaccard_join, maxent_lm, pieces, suffix_dedup, warc
+from maskflow.llm import cotraining, decontaminate, exact_dedup, html_text, jaccard_join, maxent_lm, pieces, secret_scan, suffix_dedup, warc
 from maskflow.session import scratch_path
 
 #: The vocabulary file of the piece encoder: a file that the driver can read.
@@ -119,3 +119,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent_lm.score(spark, table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(spark, table(spark, sf_dir, "documents"))
