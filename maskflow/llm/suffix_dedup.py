@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from maskflow.llm.run_index import RunIndex
-from maskflow.llm.tables import lean_batches, small, stored
+from maskflow.llm.tables import lean_batches, stored
 from maskflow.llm.words import BYTES, PIECE, hashes, mix
 
 ANCHOR = 32
@@ -333,8 +333,8 @@ def repeated_spans(
         found.filter("rep").groupBy("k").agg(F.collect_list(F.struct("anchor", "lo", "hi")).alias("wanted"))
         .withColumnRenamed("k", "_k")
     )
-    count = found.filter("rep").count()
-    sent = texts.select("text", "k").join(small(asked, count, 40), F.col("k") == F.col("_k")).select("text", "k", "wanted")
+    # The side grows with the documents, so it is always met by a shuffle.
+    sent = texts.select("text", "k").join(asked.hint("merge"), F.col("k") == F.col("_k")).select("text", "k", "wanted")
     marks = stored(
         spark,
         sent.mapInArrow(_send_contexts(length), "anchor bigint, k bigint, lo bigint, data binary")
@@ -367,10 +367,8 @@ def remove_repeats(
     ``text`` is what is left; a character cut in the middle becomes U+FFFD there, while
     ``kept_sha256`` is over the bytes themselves. ``spans`` are the removed byte ranges.
     """
-    spans = stored(spark, repeated_spans(spark, docs, length, id_col, text_col), "spans")
-    total = spans.agg(F.sum(F.octet_length("spans") + 40)).first()[0]
-    side = small(spans.withColumnRenamed("k", "_k"), 1, total or 0)
-    joined = _keyed(docs, id_col, text_col).join(side, F.col("k") == F.col("_k"), "left")
+    spans = repeated_spans(spark, docs, length, id_col, text_col).withColumnRenamed("k", "_k")
+    joined = _keyed(docs, id_col, text_col).join(spans.hint("merge"), F.col("k") == F.col("_k"), "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(
         _cut,
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, text string, "
