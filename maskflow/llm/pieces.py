@@ -230,7 +230,8 @@ class Encoder:
         base[starts] = 1
         word_at = np.cumsum(base[:-1]) - 1
         depth = end - starts[word_at[begin]]
-        by_end = np.argsort(depth, kind="stable")
+        # Small numbers are sorted by radix.
+        by_end = np.argsort(depth.astype(np.uint16) if depth.max() < 1 << 16 else depth, kind="stable")
         begin, piece, end = begin[by_end], piece[by_end], end[by_end]
         cuts = np.searchsorted(depth[by_end], np.arange(1, depth.max() + 2))
         # last[i]: the piece that ends before i; shifted by one word border each.
@@ -293,9 +294,11 @@ class Encoder:
 
     def _group(self, texts: list[str | None]) -> list[bytes | None]:
         split = [self.split(META + t.replace(" ", META)) if t else [] for t in texts]
+        here = {w for words in split for w in words}
         if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        new = {w for words in split for w in words} - self.known.keys()
+            # Words of the texts at hand are likely to come again; others go.
+            self.known = {w: self.known[w] for w in here & self.known.keys()}
+        new = here - self.known.keys()
         part, size = [], 0
         for word in sorted(new):
             part.append(word)
