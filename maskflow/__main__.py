@@ -34,8 +34,10 @@ def main(arguments: list[str] | None = None) -> None:
         spark = get_session(args.run)
         if isinstance(pipeline, LoaderPipeline):
             bad = run_loader(spark, store, args.run)
-            print("Lines left out (at most 30 shown):")
-            bad.limit(_PREVIEW_ROWS).show(_PREVIEW_ROWS, truncate=100)
+            where = "in the quarantine" if pipeline.quarantine_filepath_env else "not kept"
+            print(f"Lines left out: {bad.count()}, {where}")
+            for line in bad.toLocalIterator():
+                print(line["value"])
         else:
             run = run_stream(
                 spark,

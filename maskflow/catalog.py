@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -340,6 +340,7 @@ def _audit_fanout(spark, sf_dir, **options):
 _EVENT = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
         T.StructField("user_id", T.LongType()),
         T.StructField("event_type", T.StringType()),
         T.StructField("value", T.DoubleType()),
@@ -350,13 +351,19 @@ _EVENT = T.StructType(
 
 def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    return events.select(F.to_json(F.struct(*_EVENT.fieldNames())).alias("value"))
+    return events.select(_whole_envelope().alias("value"))
+
+
+def _whole_envelope() -> Column:
+    # Spark writes milliseconds unless it is told otherwise.
+    micros = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return F.to_json(F.struct(*_EVENT.fieldNames()), micros)
 
 
 def _faulty_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of one kind are cut off, those of another have a text for a number."""
     events = table(spark, sf_dir, "events")
-    whole = F.to_json(F.struct(*_EVENT.fieldNames()))
+    whole = _whole_envelope()
     mistyped = F.to_json(
         F.struct(
             "event_id",
@@ -373,7 +380,7 @@ def _faulty_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("select event_id, user_id, event_type, value, props from events")
+@query("select event_id, ts, user_id, event_type, value, props from events")
 def json_envelope_decode(spark, sf_dir):
     return decode_json(_envelopes(spark, sf_dir), _EVENT)
 
@@ -387,21 +394,19 @@ def json_props_decode(spark, sf_dir):
 @query(
     """select case when event_type <> 'error' then event_id end as event_id,
               case when event_type not in ('error', 'click') then user_id end as user_id,
-              case when event_type <> 'error' then event_type end as event_type
+              case when event_type <> 'error' then event_type end as event_type,
+              case when event_type not in ('error', 'click') then ts end as ts,
+              case when event_type not in ('error', 'click') then value end as value,
+              case when event_type not in ('error', 'click') then props end as props
        from events"""
 )
 def json_malformed_keep(spark, sf_dir):
     faulty = _faulty_envelopes(spark, sf_dir)
-    # A number cut off at the end of the text may or may not be read; leave it out.
-    decoded = decode_json(faulty, _EVENT)
-    whole = F.col("event_type").isNotNull()
-    return decoded.select(
-        F.when(whole, F.col("event_id")).alias("event_id"), "user_id", "event_type"
-    )
+    return decode_json(faulty, _EVENT)
 
 
 @query(
-    """select event_id, user_id, event_type, value, props from events
+    """select event_id, ts, user_id, event_type, value, props from events
        where event_type not in ('error', 'click')"""
 )
 def json_quarantine_good(spark, sf_dir):
@@ -428,7 +433,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> str:
 
 
 @query(
-    """select cast(event_id as varchar) as key, event_id, user_id, event_type, value, props
+    """select cast(event_id as varchar) as key, event_id, ts, user_id, event_type, value, props
        from events where event_type not in ('error', 'click')"""
 )
 def loader_validate(spark, sf_dir):
@@ -448,7 +453,7 @@ def loader_rejected(spark, sf_dir):
 
 
 @query(
-    """select event_id, user_id, event_type, value, 'XXXXX' as props from events
+    """select event_id, ts, user_id, event_type, value, 'XXXXX' as props from events
        where event_type not in ('error', 'click')"""
 )
 def stream_loaded_records(spark, sf_dir):
@@ -773,13 +778,13 @@ def _sql_numbered(name: str, rows: str, key: str, draw: str, n: int, order_seed:
 @query(
     f"""with words as (
           select distinct unnest(string_split(text, ' ')) as noun from documents),
-        plain as (select noun from words where regexp_full_match(noun, '[A-Za-z_-]+')
-          and not contains(noun, '-')
+        plain as (select noun from words where not contains(noun, '-')
           and not contains(noun, '_') and lower(noun) = noun),
         {_sql_numbered('a', 'plain', 'noun', _sql_draw('5:first', 'noun'), 40, '5:first')},
         {_sql_numbered('b', 'plain', 'noun', _sql_draw('5:second', 'noun'), 40, '5:second')}
-        select upper(a.noun[1]) || substr(a.noun, 2) || '-' ||
-               upper(b.noun[1]) || substr(b.noun, 2) as surname
+        select case when a.noun[1] = 'ß' then 'Ss' else upper(a.noun[1]) end || substr(a.noun, 2)
+               || '-' || case when b.noun[1] = 'ß' then 'Ss' else upper(b.noun[1]) end
+               || substr(b.noun, 2) as surname
         from a join b on a.i = b.i"""
 )
 def compound_names(spark, sf_dir):
@@ -787,7 +792,7 @@ def compound_names(spark, sf_dir):
     words = table(spark, sf_dir, "documents").select(
         F.explode(F.split("text", " ")).alias("noun")
     )
-    nouns = words.distinct().where(F.col("noun").rlike("^[A-Za-z_-]+$"))
+    nouns = words.distinct()
     # Four passes read the nouns, so they are a table and not a plan.
     path = scratch_path(spark, "nouns")
     jobs.write_parquet(nouns, path)
@@ -825,13 +830,13 @@ def assemble_records(spark, sf_dir):
 
 
 @query(
-    """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+    """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
               case when o_orderstatus <> 'F' then o_orderpriority end as open_priority
        from orders"""
 )
 def ndjson_roundtrip(spark, sf_dir):
     """Records written one per line, nulls included, and read back as declared."""
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = table(spark, sf_dir, "orders")
     open_priority = F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority"))
     records = orders.withColumn("open_priority", open_priority)
     path = scratch_path(spark, "ndjson")
@@ -866,3 +871,207 @@ def viewer_counts(spark, sf_dir):
     }
     counts = [df.agg(F.lit(s).alias("side"), F.count("*").alias("n")) for s, df in sides.items()]
     return counts[0].unionAll(counts[1]).unionAll(counts[2])
+
+
+# --- what pipelines, loaders and sinks do beside the usual run ----------------------
+
+_BAD_SQL = """select case when event_type = 'error' then '{"event_id": ' || event_id
+         else '{"event_id":' || event_id || ',"user_id":"user ' || user_id
+              || '","event_type":"click"}' end as value
+       from events where event_type in ('error', 'click')"""
+
+
+def _event_store(source: dict, sink: dict, audit: dict, loader_quarantine: bool = False):
+    """A specification over the events: one transformer and one loader."""
+    from .spec import Store
+
+    kinds = {"event_id": "long", "ts": "timestamp_ntz", "user_id": "long", "event_type": "string"}
+    fields = kinds | {"value": "double", "props": "string"}
+    redact = {
+        "transform_type": "redact",
+        "source_column": "props",
+        "destination_column": "props",
+        "replace_with": "XXXXX",
+    }
+    loaded = {
+        "id": "loader",
+        "pipeline_type": "kafka_producer",
+        "source_filepath_env": "LINES",
+        "sink_topic": "bus.events",
+    }
+    if loader_quarantine:
+        loaded["quarantine_filepath_env"] = "QUARANTINE"
+    return Store.model_validate(
+        {
+            "schemas": [{"name": "event", "primary_field": "event_id", "fields": fields}],
+            "connectors": [
+                {
+                    "id": "bus",
+                    "connector_type": "kafka",
+                    "broker_env": "BROKERS",
+                    "topics": [{"topic_name": "events", "topic_schema": "event"}],
+                }
+            ],
+            "pipelines": [
+                {
+                    "id": "events",
+                    "pipeline_type": "transformer",
+                    "source": {
+                        "source_type": "file",
+                        "filepath_env": "LINES",
+                        "source_schema": "event",
+                        "format": "json",
+                        **source,
+                    },
+                    "sink": sink,
+                    "audit": audit,
+                    "transforms": [redact],
+                },
+                loaded,
+            ],
+        }
+    )
+
+
+def _event_env(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    root = scratch_path(spark, "events")
+    names = {"DATA": "data", "AUDIT": "audit", "QUARANTINE": "bad", "CHECKPOINT": "checkpoint"}
+    return {k: f"{root}/{v}" for k, v in names.items()} | {"LINES": _lines(spark, sf_dir)}
+
+
+def _file_sink(env: str, trigger_seconds: int = 60, **options) -> dict:
+    sink = {"sink_type": "file", "filepath_env": env, "format": "json"}
+    return sink | {"trigger_seconds": trigger_seconds, **options}
+
+
+@query(f"select 'bad' as side, value from ({_BAD_SQL}) union all "
+       "select 'good', cast(event_id as varchar) from events where event_type not in ('error', 'click')")
+def loader_quarantine(spark, sf_dir):
+    """A loader run to a folder: what was loaded, and every line that was not."""
+    env = _event_env(spark, sf_dir)
+    store = _event_store({}, _file_sink("DATA"), _file_sink("AUDIT"), loader_quarantine=True)
+    bad = loader.run_loader(spark, store, "loader", env, folder=env["DATA"])
+    good = decode_json(spark.read.text(env["DATA"]), _EVENT)
+    return bad.select(F.lit("bad").alias("side"), "value").unionAll(
+        good.select(F.lit("good"), F.col("event_id").cast("string"))
+    )
+
+
+def _run_events(spark, sf_dir, source: dict, sink: dict, audit: dict, starts: int = 1):
+    from .plans.pipeline import run_stream
+
+    env = _event_env(spark, sf_dir)
+    store = _event_store(source, sink, audit)
+    for _ in range(starts):
+        run = run_stream(
+            spark, store, "events", env, available_now=True, checkpoint=env["CHECKPOINT"]
+        )
+        run.await_termination()
+    return run, env
+
+
+@query(f"select 'bad' as side, value, 0 as entries from ({_BAD_SQL}) union all "
+       "select 'good', cast(event_id as varchar), 1 from events "
+       "where event_type not in ('error', 'click')")
+def stream_quarantine(spark, sf_dir):
+    """Good rows with their audit entries, and malformed rows, of one query."""
+    source = {"on_malformed": "quarantine", "quarantine_filepath_env": "QUARANTINE"}
+    run, env = _run_events(spark, sf_dir, source, _file_sink("DATA"), _file_sink("AUDIT"))
+    entries = run.audit_sink.read(spark).groupBy("event_id").agg(
+        F.count("*").cast("int").alias("entries")
+    )
+    good = run.data_sink.read(spark).join(entries, "event_id", "left")
+    bad = spark.read.schema("value string").json(f"{env['QUARANTINE']}/*/*")
+    return bad.select(F.lit("bad").alias("side"), "value", F.lit(0).alias("entries")).unionAll(
+        good.select(F.lit("good"), F.col("event_id").cast("string"), "entries")
+    )
+
+
+@query("select event_type, count(*) as records, count(*) as entries from events "
+       "where event_type not in ('error', 'click') group by event_type")
+def stream_two_paces(spark, sf_dir):
+    """Sinks with paces of their own share one query, so every record has its entry."""
+    source = {"on_malformed": "quarantine", "quarantine_filepath_env": "QUARANTINE"}
+    data = _file_sink("DATA", trigger_seconds=1, coalesce=1)
+    run, _ = _run_events(spark, sf_dir, source, data, _file_sink("AUDIT", trigger_seconds=5))
+    entries = run.audit_sink.read(spark).select("event_id")
+    records = run.data_sink.read(spark).select("event_id", "event_type")
+    joined = records.join(entries.withColumnRenamed("event_id", "entry"), F.col("event_id") == F.col("entry"), "left")
+    return joined.groupBy("event_type").agg(
+        F.count("event_id").alias("records"), F.count("entry").alias("entries")
+    )
+
+
+@query("select count(*) as n, count(*) as entries from events where event_type not in ('error', 'click')")
+def stream_memory_restart(spark, sf_dir):
+    """A memory pipeline started twice on one checkpoint still shows all its rows."""
+    source = {"on_malformed": "quarantine", "quarantine_filepath_env": "QUARANTINE"}
+    sinks = [
+        {"sink_type": "memory", "query_name": n, "query_interval": 1, "duration_seconds": 1}
+        for n in ("events_now", "event_trail_now")
+    ]
+    run, _ = _run_events(spark, sf_dir, source, *sinks, starts=2)
+    trail = run.audit_sink.snapshot(spark).agg(F.count("*").alias("entries"))
+    return run.data_sink.snapshot(spark).agg(F.count("*").alias("n")).crossJoin(trail)
+
+
+@query("select count(*) as n, 0 as failed from events")
+def stream_processing_time(spark, sf_dir):
+    """A run by processing time that is stopped when the source is used up."""
+    from .plans.pipeline import run_stream
+
+    env = _event_env(spark, sf_dir)
+    store = _event_store({}, _file_sink("DATA", trigger_seconds=1), _file_sink("AUDIT", trigger_seconds=1))
+    run = run_stream(spark, store, "events", env, checkpoint=env["CHECKPOINT"])
+    for each in run.queries:
+        each.processAllAvailable()
+    failed = sum(each.exception() is not None for each in run.queries)
+    run.stop()
+    return run.data_sink.read(spark).agg(F.count("*").alias("n"), F.lit(failed).alias("failed"))
+
+
+@query(
+    """select o_orderkey, o_custkey, case when o_orderkey % 2 = 0 then 'new' else o_orderstatus end as o_orderstatus
+       from orders"""
+)
+def upsert_latest(spark, sf_dir):
+    """Several source rows for a key: the one with the greatest version counts."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    even = orders.where("o_orderkey % 2 = 0")
+    source = even.withColumns({"o_orderstatus": F.lit("old"), "version": F.lit(1)}).unionByName(
+        even.withColumns({"o_orderstatus": F.lit("new"), "version": F.lit(2)})
+    )
+    return op.upsert(orders, source, ["o_orderkey"], latest="version")
+
+
+@query(
+    """with w as (select *, case when o_orderkey % 5 = 0 then null when o_orderkey % 5 = 1 then 0.0
+                        when o_orderkey % 5 = 2 then 'nan'::double else o_totalprice end as w from orders)
+       select count(*) as n, 0 as odd from w where w > 0 and not isnan(w)"""
+)
+def weighted_sample_odd(spark, sf_dir):
+    """Null, zero and NaN weights are never drawn, however large the sample."""
+    rest = F.col("o_orderkey") % 5
+    weight = F.when(rest == 1, 0.0).when(rest == 2, float("nan")).when(rest > 2, F.col("o_totalprice"))
+    orders = table(spark, sf_dir, "orders").withColumn("w", weight)
+    drawn = op.sample_weighted(orders, 1 << 40, "o_orderkey", "w", 7)
+    odd = F.count_if(F.col("w").isNull() | F.isnan("w") | (F.col("w") <= 0)).cast("int")
+    return drawn.agg(F.count("*").alias("n"), odd.alias("odd"))
+
+
+@query(
+    """select cast(o_orderkey % 128 as tinyint)::int as b, cast(o_orderkey % 1000 as smallint) as s,
+              cast(o_custkey as integer) as i, o_orderkey as l, cast(o_totalprice as float) as f,
+              o_totalprice as d, o_orderkey % 2 = 0 as t, o_orderstatus as v,
+              cast(o_orderdate as date) as day, cast(o_orderdate as timestamp) as at, o_orderdate as local
+       from orders"""
+)
+def json_declared_types(spark, sf_dir):
+    """Every type that a specification may declare, written as JSON and decoded."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "cast(o_orderkey % 128 as int) b", "cast(o_orderkey % 1000 as short) s", "cast(o_custkey as int) i",
+        "o_orderkey l", "cast(o_totalprice as float) f", "o_totalprice d", "o_orderkey % 2 = 0 t",
+        "o_orderstatus v", "cast(o_orderdate as date) day", "cast(o_orderdate as timestamp) at",
+        "cast(o_orderdate as timestamp_ntz) local",
+    )
+    return decode_json(orders.select(F.to_json(F.struct("*")).alias("value")), orders.schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import named
@@ -26,43 +26,52 @@ def most_common(df: DataFrame, key: str, value: str) -> DataFrame:
     return best.select(named(key), F.col("__best.v").alias(value))
 
 
-def n_rarest(
-    df: DataFrame,
-    group: str,
-    name: str,
-    measure: str,
-    n_by_group: dict,
-    salts: int | None = None,
-) -> DataFrame:
+def n_rarest(df: DataFrame, group: str, name: str, measure: str, n_by_group: dict) -> DataFrame:
     """For each listed group, the n names whose greatest measure is smallest.
 
-    Returns ``(group, name, peak)``; ties are settled by name. Groups are few
-    and large, so each is ranked in ``salts`` parts first, and the final rank
-    sees at most n rows of each part.
+    Returns ``(group, name, peak)``; ties are settled by name. Groups are few and
+    large, so a first pass counts each group's names on a logarithmic scale of the
+    measure, and only names up to the level that reaches n are ranked: about n of a
+    group, and those that share the last level.
     """
     wanted = {g: n for g, n in n_by_group.items() if n > 0}
-    if salts is None:
-        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     peaks = (
         df.where(named(group).isin(list(wanted)))
         .groupBy(named(group), named(name))
         .agg(F.max(named(measure)).alias("peak"))
         .where(F.col("peak").isNotNull() & named(name).isNotNull())
     )
-    order = [F.col("peak"), named(name)]
-    part = F.pmod(F.xxhash64(named(name)), F.lit(salts))
-    within_part = Window.partitionBy(named(group), F.col("__part")).orderBy(*order)
-    heads = (
-        peaks.withColumn("__part", part)
-        .withColumn("__rank", F.row_number().over(within_part))
-        .where(F.col("__rank") <= max(wanted.values(), default=0))
-    )
     limit = F.lit(None).cast("int")
     for g, n in wanted.items():
         limit = F.when(named(group) == F.lit(g), F.lit(n)).otherwise(limit)
-    overall = Window.partitionBy(named(group)).orderBy(*order)
+    marked = peaks.withColumns({"__level": _level(F.col("peak").cast("double")), "__limit": limit})
+    # Some thousand levels at most in a group, as doubles have no more.
+    counts = marked.groupBy(named(group).alias("__group"), "__level").agg(
+        F.count("*").alias("__n"), F.min("__limit").alias("__most")
+    )
+    upto = F.sum("__n").over(Window.partitionBy("__group").orderBy("__level"))
+    needed = counts.withColumn("__upto", upto).where(F.col("__upto") - F.col("__n") < F.col("__most"))
+    last = needed.groupBy("__group").agg(F.max("__level").alias("__last"))
+    near = marked.join(F.broadcast(last), named(group) == F.col("__group")).where(
+        F.col("__level") <= F.col("__last")
+    )
+    overall = Window.partitionBy(named(group)).orderBy(F.col("peak"), named(name))
     return (
-        heads.withColumn("__rank", F.row_number().over(overall))
-        .where(F.col("__rank") <= limit)
+        near.withColumn("__rank", F.row_number().over(overall))
+        .where(F.col("__rank") <= F.col("__limit"))
         .select(named(group), named(name), "peak")
     )
+
+
+def _level(value: Column) -> Column:
+    """A number of some thousand values that rises with ``value``: sign, then magnitude."""
+    size = F.greatest(F.floor(F.log2(F.abs(value)) * 16) + 20_000, F.lit(1)).cast("long")
+    infinite = F.abs(value) == float("inf")
+    size = F.when(infinite, F.lit(50_000)).otherwise(size)
+    return (
+        F.when(F.isnan(value), F.lit(60_000))
+        .when(value > 0, size)
+        .when(value < 0, -size)
+        .otherwise(F.lit(0))
+        .cast("long")
+    )

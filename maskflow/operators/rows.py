@@ -32,9 +32,7 @@ def row_id(
     up to ``ONE_TASK_ROWS`` they are numbered in one task, without the folder.
     """
     order_by = [named(o) if isinstance(o, str) else o for o in order]
-    content = [
-        named(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)
-    ]
+    content = [named(f.name) for f in df.schema.fields if not _has_map(f.dataType)]
     if at_most is not None and at_most <= ONE_TASK_ROWS:
         whole = Window.orderBy(*order_by, F.xxhash64(*content))
         return df.withColumn(name, F.row_number().over(whole).cast("long") - 1)
@@ -67,6 +65,15 @@ def row_id(
     )
 
 
+def _has_map(kind: T.DataType) -> bool:
+    """Maps have no hash, wherever in a column they are."""
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)
+
+
 def zip_rows(
     left: DataFrame,
     right: DataFrame,

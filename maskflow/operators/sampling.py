@@ -16,6 +16,7 @@ from .rows import ONE_TASK_ROWS, row_id
 _DRAW = "__draw"
 _LEVELS_PER_OCTAVE = 16
 _LAST_LEVEL = 1 << 20  # above every level a double can have
+_LEAST = 2.2250738585072014e-308  # of normal doubles
 
 
 def sample_uniform(
@@ -40,11 +41,15 @@ def sample_weighted(
     """n rows, drawn one after the other with chances in proportion to weight.
 
     Exponential keys (Efraimidis and Spirakis 2006): -ln(u) / weight, smallest
-    first. Rows whose weight is null, zero or negative are never chosen.
+    first. Rows whose weight is null, NaN, zero or negative are never chosen;
+    rows of infinite weight come before all others.
     """
     w = named(weight).cast("double")
+    # The smallest of doubles stands for zero, so an infinite weight has a measure too,
+    # and the greatest one for what a tiny weight would make infinite.
     drawn = -F.ln(unit_hash(seed, named(key), algorithm=algorithm)) / w
-    return smallest(df.where(w > 0), n, drawn, key)
+    drawn = F.greatest(F.least(drawn, F.lit(1.7976931348623157e308)), F.lit(_LEAST))
+    return smallest(df.where((w > 0) & ~F.isnan(w)), n, drawn, key)
 
 
 def smallest(df: DataFrame, n: int, measure: Column, *ties: str) -> DataFrame:

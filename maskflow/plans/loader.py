@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +58,13 @@ def write_folder(records: DataFrame, path: str) -> None:
     records.select("value").write.mode("append").text(path)
 
 
+def write_quarantine(bad: DataFrame, path: str) -> DataFrame:
+    """Add rejected lines to a folder under an id of their own; returns those of this run."""
+    leaf = f"{path.rstrip('/')}/run_id={uuid.uuid4()}"
+    bad.write.json(leaf)
+    return bad.sparkSession.read.schema(bad.schema).json(leaf)
+
+
 def run_loader(
     spark: SparkSession,
     store: spec.Store,
@@ -63,9 +72,11 @@ def run_loader(
     default_env: dict[str, str] | None = None,
     folder: str | None = None,
 ) -> DataFrame:
-    """Load the pipeline's file; returns the lines that were left out.
+    """Load the pipeline's file; returns the lines that were left out, all of them.
 
-    With ``folder`` the records go there instead of the topic.
+    With ``folder`` the records go there instead of the topic. Where the pipeline
+    names a quarantine, the lines left out are written there as JSON with their
+    file, and what is returned reads them back.
     """
     pipeline = store.pipeline(pipeline_id)
     if not isinstance(pipeline, spec.LoaderPipeline):
@@ -79,4 +90,7 @@ def run_loader(
     else:
         brokers = spec.from_env(store.connector(connector_id).broker_env, default_env)
         write_topic(good, brokers, topic_name)
-    return bad
+    if pipeline.quarantine_filepath_env is None:
+        return bad
+    kept = spec.from_env(pipeline.quarantine_filepath_env, default_env)
+    return write_quarantine(bad, kept)

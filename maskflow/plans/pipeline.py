@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from pathlib import PurePosixPath
 
@@ -26,7 +27,6 @@ from ..session import shared_root
 from ..sources import decode_json, flag_malformed, read_files, read_kafka, read_lookup
 from ..sources.decode import CORRUPT
 from ..streaming import FileSink, MemorySink, Run, TableSink, start_pipeline
-from ..streaming.runs import start_append
 from ..streaming.sinks import Sink
 
 _VALUE = T.StructType([T.StructField("value", T.StringType())])
@@ -45,13 +45,20 @@ class Plan:
     rejected_sink: FileSink | None = None
     lookups: list[Lookup] = field(default_factory=list)
 
+    @property
+    def good(self) -> DataFrame:
+        """The audited records; a stream with a quarantine has malformed rows among them."""
+        if CORRUPT not in self.audited.columns:
+            return self.audited
+        return self.audited.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
     @property
     def data(self) -> DataFrame:
-        return split_audit(self.audited, self.primary)[0]
+        return split_audit(self.good, self.primary)[0]
 
     @property
     def audit(self) -> DataFrame:
-        return split_audit(self.audited, self.primary)[1]
+        return split_audit(self.good, self.primary)[1]
 
     def explain(self, mode: str = "formatted") -> None:
         self.data.explain(mode=mode)
@@ -99,14 +106,16 @@ def run_batch(
     store: spec.Store,
     pipeline_id: str,
     default_env: dict[str, str] | None = None,
-    run_id: str = "batch",
+    run_id: str | None = None,
 ) -> Plan:
     """Transform everything the source holds now, and write both outputs.
 
-    A second run under the same ``run_id`` replaces the first. Each output
+    Every run adds its rows, under an id of its own. A run given the ``run_id`` of
+    an earlier one replaces it, so that a failed run can be repeated. Each output
     reads only the columns it needs, so the source is scanned twice rather than
     stored: the trail touches few columns and no copy of the input is kept.
     """
+    run_id = run_id or f"batch-{uuid.uuid4()}"
     plan = build(spark, store, pipeline_id, default_env, streaming=False)
     outputs = [(plan.data_sink, plan.data), (plan.audit_sink, plan.audit)]
     if plan.rejected is not None:
@@ -130,28 +139,34 @@ def run_stream(
     available_now: bool = False,
     checkpoint: str | None = None,
 ) -> Run:
-    """Start the pipeline; a restart on the same checkpoint goes on where it was."""
+    """Start the pipeline; a restart on the same checkpoint goes on where it was.
+
+    Sinks that outlast the session need a checkpoint that does: ``checkpoint``, or
+    the folder in ``spark.checkpoint.dir``. A new one at every start would read the
+    source again and add every row again.
+    """
     plan = build(spark, store, pipeline_id, default_env)
-    checkpoint = checkpoint or f"{shared_root(spark)}/streams/{pipeline_id}"
-    run = start_pipeline(
-        plan.audited,
-        plan.primary,
-        plan.data_sink,
-        plan.audit_sink,
-        checkpoint,
-        pipeline_id,
-        available_now,
-    )
-    if plan.rejected is not None:
-        run.queries.append(
-            start_append(
-                plan.rejected,
-                plan.rejected_sink,
-                f"{checkpoint}_rejected",
-                f"{pipeline_id}_rejected",
-                available_now,
+    try:
+        kept = not isinstance(plan.data_sink, MemorySink) or not isinstance(plan.audit_sink, MemorySink)
+        if checkpoint is None and kept and not spark.conf.get("spark.checkpoint.dir", None):
+            raise ValueError(
+                f"pipeline {pipeline_id!r} writes files: give a checkpoint, or set spark.checkpoint.dir"
             )
+        checkpoint = checkpoint or f"{shared_root(spark)}/streams/{pipeline_id}"
+        run = start_pipeline(
+            plan.audited,
+            plan.primary,
+            plan.data_sink,
+            plan.audit_sink,
+            checkpoint,
+            pipeline_id,
+            available_now,
+            plan.rejected_sink,
+            CORRUPT,
         )
+    except Exception:
+        plan.close()
+        raise
     run.on_stop.append(plan.close)
     return run
 
@@ -189,6 +204,11 @@ def _records(
     if source.on_malformed == "keep":
         return decode_json(raw, schema), None
     flagged = flag_malformed(raw, schema)
+    if streaming:
+        # One query writes both; a malformed row has no values that a lookup could multiply.
+        whole = F.col(CORRUPT).isNull()
+        fields = [F.when(whole, named(f.name)).alias(f.name) for f in schema.fields]
+        return flagged.select(*fields, CORRUPT), None
     good = flagged.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = flagged.where(F.col(CORRUPT).isNotNull())
     return good, bad.select(named(CORRUPT).alias("value"))
@@ -223,7 +243,8 @@ def _step(
 
 
 def _data(audited: DataFrame) -> list[str]:
-    return audited.columns[:-1]  # the audit array comes last
+    # The audit array comes last.
+    return [c for c in audited.columns[:-1] if c != CORRUPT]
 
 
 def _sink(

@@ -44,5 +44,14 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; never used twice."""
-    return f"{shared_root(spark)}/maskflow/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; never used twice.
+
+    All paths of an application lie in one folder, which is deleted when its JVM ends.
+    """
+    context = spark.sparkContext
+    home = f"{shared_root(spark)}/maskflow/{context.applicationId}"
+    folder = context._jvm.org.apache.hadoop.fs.Path(home)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{home}/{name}-{uuid.uuid4().hex}"

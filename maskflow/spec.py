@@ -208,13 +208,15 @@ class LoaderPipeline(SpecModel):
     """Loads a file of records into a topic, given as ``connector.topic``.
 
     The pacing keys are accepted and not used: records are loaded as fast as
-    the cluster goes.
+    the cluster goes. Lines that don't fit the schema go to the quarantine folder,
+    if one is named.
     """
 
     id: str
     pipeline_type: Literal["kafka_producer"]
     source_filepath_env: str
     sink_topic: str
+    quarantine_filepath_env: str | None = None
     interval_seconds_mean: float | None = None
     interval_seconds_sd: float | None = None
 

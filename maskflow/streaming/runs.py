@@ -1,4 +1,4 @@
-"""Streaming queries: one per pipeline where both sinks keep the same pace."""
+"""Streaming queries: one per pipeline, for everything that it writes."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import named
 from ..operators import audit_tags, split_audit
 from .sinks import MemorySink, Sink
 
@@ -40,15 +41,26 @@ class Run:
                 if pending and end is not None and time.monotonic() >= end:
                     return False
         except Exception:
-            self.stop()
+            for query in self.queries:
+                query.stop()
+            self._release()
             raise
         self._release()
         return True
 
     def stop(self) -> None:
+        """Stop every query; raises the error of one that had failed before."""
+        failed = [e for e in (query.exception() for query in self.queries) if e is not None]
         for query in self.queries:
             query.stop()
         self._release()
+        if failed:
+            raise failed[0]
+
+    def check(self) -> None:
+        """Stop all and raise if a query has failed."""
+        if any(query.exception() is not None for query in self.queries):
+            self.stop()
 
     def snapshots(self, n: int | None = None, of: str = "data") -> Iterator[DataFrame]:
         """A snapshot of a memory sink after every interval of its duration."""
@@ -57,6 +69,7 @@ class Run:
             raise ValueError(f"the {of} sink keeps no snapshots")
         for _ in range(sink.duration_seconds // sink.query_interval):
             time.sleep(sink.query_interval)
+            self.check()
             yield sink.snapshot(self.spark, n)
 
     def _release(self) -> None:
@@ -72,48 +85,47 @@ def start_pipeline(
     checkpoint: str,
     name: str,
     available_now: bool = False,
+    rejected_sink: Sink | None = None,
+    malformed: str | None = None,
 ) -> Run:
-    """Start writing an audited stream to its two sinks.
+    """Start writing an audited stream to its sinks.
 
-    With one pace for both sinks there is one query: records and audit trail of
-    a micro-batch are written together, under the same query and batch id, and
-    cannot drift apart. Otherwise each sink has a query of its own.
+    There is one query: records, audit trail and, with ``rejected_sink``, the
+    rows that have text in the column ``malformed`` come from the same
+    micro-batch and are written under the same query and batch id. They cannot
+    drift apart, nor start at different offsets. Sinks of different pace are all
+    written at the shortest.
     """
     spark = audited.sparkSession
     tags = audit_tags(audited)
-    data, trail = split_audit(audited, primary)
-    data_sink.prepare(spark)
-    audit_sink.prepare(spark)
+    sinks = [s for s in (data_sink, audit_sink, rejected_sink) if s is not None]
+    for sink in sinks:
+        if isinstance(sink, MemorySink) and sink.path is None:
+            sink.path = f"{checkpoint.rstrip('/')}_memory/{sink.query_name}"
+        sink.prepare(spark)
 
-    def both(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
         query_id = _query_id(batch)
-        # Both writes read the batch; fetching and decoding it once is worth
+        # All writes read the batch; fetching and decoding it once is worth
         # the storage. What an executor loses is computed again.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            records, entries = split_audit(batch, primary, tags)
+            good = batch
+            if rejected_sink is not None:
+                text = named(malformed)
+                bad = batch.where(text.isNotNull()).select(text.alias("value"))
+                rejected_sink.write(bad, query_id, batch_id)
+                good = batch.where(text.isNull()).drop(malformed)
+            records, entries = split_audit(good, primary, tags)
             data_sink.write(records, query_id, batch_id)
             audit_sink.write(entries, query_id, batch_id)
         finally:
             batch.unpersist()
 
-    if data_sink.trigger_seconds == audit_sink.trigger_seconds:
-        started = [
-            _start(audited, both, checkpoint, name, data_sink.trigger_seconds, available_now)
-        ]
-    else:
-        started = [
-            _start(
-                frame,
-                _only(sink),
-                f"{checkpoint}/{part}",
-                f"{name}_{part}",
-                sink.trigger_seconds,
-                available_now,
-            )
-            for part, frame, sink in (("data", data, data_sink), ("audit", trail, audit_sink))
-        ]
-    return Run(spark, started, data_sink, audit_sink)
+    paces = [s.trigger_seconds for s in (data_sink, audit_sink)]
+    pace = None if None in paces else min(paces)
+    query = _start(audited, write, checkpoint, name, pace, available_now)
+    return Run(spark, [query], data_sink, audit_sink)
 
 
 def start_append(

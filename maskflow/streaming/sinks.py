@@ -63,9 +63,11 @@ class FileSink:
 class MemorySink:
     """A named table to look at while the query runs.
 
-    It is kept in the shared scratch folder and not in the driver's memory,
-    where Spark's own memory sink would gather every row. ``snapshot`` gives
-    what has been committed so far, also as a view under the query's name.
+    It is kept as files and not in the driver's memory, where Spark's own memory
+    sink would gather every row. A stream keeps it beside its checkpoint, so a
+    restart that resumes there finds the rows of the runs before; a batch keeps
+    it in the scratch folder. ``snapshot`` gives what has been committed so far,
+    also as a view under the query's name.
     """
 
     query_name: str
@@ -77,7 +79,7 @@ class MemorySink:
     trigger_seconds = None
 
     def prepare(self, spark: SparkSession) -> None:
-        self.path = scratch_path(spark, self.query_name)
+        self.path = self.path or scratch_path(spark, self.query_name)
         ensure_table(spark, self.path, self.schema, "parquet")
 
     def write(self, df: DataFrame, query_id: str, batch_id: int) -> None:

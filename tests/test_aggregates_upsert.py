@@ -1,3 +1,4 @@
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -53,9 +54,35 @@ def test_n_rarest_against_sorting(spark):
             for sex, n in wanted.items()
             for peak, name in sorted((p, m) for m, p in peaks[sex].items())[:n]
         }
-        for salts in (None, 1, 5):
-            found = n_rarest(df, "sex", "name", "percent", wanted, salts)
-            assert {tuple(r) for r in found.collect()} == expected
+        found = n_rarest(df, "sex", "name", "percent", wanted)
+        assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_n_rarest_of_odd_measures(spark):
+    values = [float("inf"), float("nan"), -1.5, 0.0, -0.0, 5e-324, -float("inf"), 1e300, 2.0, -2.0]
+    df = spark.createDataFrame([("g", f"n{i}", v) for i, v in enumerate(values)], "g string, n string, v double")
+    found = n_rarest(df, "g", "n", "v", {"g": 6})
+    assert {r.n for r in found.collect()} == {"n6", "n9", "n2", "n3", "n4", "n5"}
+
+
+def test_n_rarest_ranks_few_rows(spark):
+    """Of 100,000 names about n reach the last sort."""
+    df = spark.range(100_000).selectExpr("'g' as g", "cast(id as string) as n", "id + 1.0 as v")
+    found = n_rarest(df, "g", "n", "v", {"g": 50})
+    assert found.count() == 50
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"__level#\d+L? <= __last#\d+L?", plan)
+
+
+def test_upsert_with_repeated_source_keys(spark):
+    target = spark.createDataFrame([(1, "old", 0), (4, "old", 0)], "id int, v string, at int")
+    source = spark.createDataFrame(
+        [(1, "a", 1), (1, "b", 2), (2, "c", 1), (2, "c", 1), (None, "d", 1), (None, "e", 1)], "id int, v string, at int"
+    )
+    with pytest.raises(ValueError, match="several rows"):
+        upsert(target, source, ["id"])
+    found = Counter((r.id, r.v) for r in upsert(target, source, ["id"], latest="at").collect())
+    assert found == Counter([(4, "old"), (1, "b"), (2, "c"), (None, "d"), (None, "e")])
 
 
 def test_upsert_updates_and_adds(spark):

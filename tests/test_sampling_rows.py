@@ -159,3 +159,21 @@ def test_unit_hash_stays_inside_the_open_interval(spark):
     low, high, mean = found.agg(F.min("u"), F.max("u"), F.avg("u")).first()
     assert 0 < low < 0.001 and 0.999 < high < 1 and math.isclose(mean, 0.5, abs_tol=0.01)
     assert Counter(found.select(F.isnull("u")).collect())[(False,)] == 20_000
+
+
+def test_weighted_sample_of_odd_weights(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, 1.0) for i in range(20)] + [(100, nan), (101, None), (102, 0.0), (103, -1.0)]
+    df = spark.createDataFrame(rows, "id int, w double")
+    for seed in range(5):
+        assert all(r.id < 20 for r in sample_weighted(df, 1, "id", "w", seed).collect())
+    assert sample_weighted(df, 50, "id", "w", 1).count() == 20
+    more = df.unionAll(spark.createDataFrame([(200, inf), (201, 1e-320)], "id int, w double"))
+    first = [r.id for r in sample_weighted(more, 1, "id", "w", 3).collect()]
+    assert first == [200]
+    assert {r.id for r in sample_weighted(more, 50, "id", "w", 3).collect()} == {*range(20), 200, 201}
+
+
+def test_row_id_with_maps_inside(spark):
+    df = spark.sql("select id, array(map('a', id)) as m, struct(map(id, 1) as x) as s from range(5)")
+    assert sorted(r.row_id for r in row_id(df, "id").collect()) == [0, 1, 2, 3, 4]

@@ -196,11 +196,32 @@ def test_loader_then_stream_then_read(spark, raw, env):
     assert {r.transform_tag for r in audit.collect()} == TAGS
 
 
-def test_batch_run_twice_is_the_same_as_once(spark, raw, env):
+def test_two_batch_runs_keep_both(spark, raw, env):
     store = Store.model_validate(from_files(raw))
     env["TOPIC_FOLDER"] = env["MEMBER_FILE"]
+    counts = []
     for _ in range(2):
         plan = run_batch(spark, store, "member_masker", env)
+        counts.append((plan.data_sink.read(spark).count(), plan.audit_sink.read(spark).count()))
+    assert counts[1] == (2 * counts[0][0], 2 * counts[0][1])
+
+
+def test_durable_stream_needs_a_checkpoint(spark, raw, env):
+    store = Store.model_validate(from_files(raw))
+    root = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        with pytest.raises(ValueError, match="give a checkpoint"):
+            run_stream(spark, store, "member_masker", env, available_now=True)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", root)
+
+
+def test_batch_run_twice_is_the_same_as_once(spark, raw, env):
+    store = Store.model_validate(from_files(raw))
+    env["TOPIC_FOLDER"] = env["MEMBER_FILE"]
+    for _ in range(2):
+        plan = run_batch(spark, store, "member_masker", env, run_id="monday")
     # Malformed lines are kept as rows of nulls, and nothing is audited for them.
     assert plan.data_sink.read(spark).count() == len(MEMBERS) + 2
     assert plan.audit_sink.read(spark).count() == 3 * len(MEMBERS)

@@ -144,12 +144,38 @@ def test_same_record_in_two_batches_is_two_rows(job):
     assert job.audit.read(job.spark).where("patient_id = 0").count() == 6
 
 
-def test_sinks_at_different_paces_run_as_two_queries(job):
+def test_sinks_at_different_paces_share_one_query(job):
     run = job.run(audit=FileSink(job.audit.path, AUDIT, trigger_seconds=1))
-    assert len(run.queries) == 2
+    assert len(run.queries) == 1
     assert job.tables() == job.expected()
 
 
+def test_memory_sink_keeps_its_rows_over_a_restart(job):
+    schema = T.StructType([f for f in PSEUDO if f.name in FIELDS])
+    sizes = []
+    for _ in range(2):
+        run = job.run(MemorySink("seen", 1, 1, schema=schema), MemorySink("seen_audit", 1, 1, schema=AUDIT))
+        sizes += [s.count() for s in run.snapshots()]
+    assert sizes == [8, 8]
+
+
+def test_a_failed_query_is_raised(job):
+    class Broken(MemorySink):
+        def write(self, df, query_id, batch_id):
+            raise RuntimeError("the sink is broken")
+
+    schema = T.StructType([f for f in PSEUDO if f.name in FIELDS])
+    job.arrive("c.json", PATIENTS[:1])
+    records = decode_json(job.spark.readStream.text(f"{job.root}/in"), SCHEMA)
+    audited = apply_audited(records, [], "patient_id", "p")
+    run = start_pipeline(
+        audited, "patient_id", Broken("broken", 1, 3, schema=schema), MemorySink("trail", 1, 3, schema=AUDIT),
+        job.checkpoint + "_broken", "broken",
+    )
+    with pytest.raises(Exception, match="broken"):
+        list(run.snapshots())
+
+
 def test_table_divided_by_a_column(spark, tmp_path):
     job = Job(spark, tmp_path, partition_on="region", coalesce=1)
     job.arrive("a.json", PATIENTS)
