@@ -3,13 +3,12 @@
 One logistic classifier sees the text only, the other the page's metadata only. Over
 some rounds each names the unlabelled documents that it is most sure of, and the
 other learns from them. Both are then calibrated on labelled documents that neither
-has learnt from, their calibrated scores are combined by a third logistic fit, and
-every document is scored.
+has learnt from, their calibrated log odds are added up, and every document is scored.
 
 Learning is done on bounded samples (``LABELLED`` and ``UNLABELLED`` rows, chosen by
 hash of the id, so they are even and repeatable); scoring reads every whole text.
-The threshold keeps at least ``KEEP_GOOD`` of the good calibration rows; where both
-labels separate it lies midway between the classes.
+The threshold is one half, or lower where ``KEEP_GOOD`` of the good calibration rows
+would not stay otherwise.
 
 Defined cases: a null text is empty, null metadata is a value of its own. Documents
 without words are scored like others. Labels that are null, or contradict one another
@@ -38,14 +37,21 @@ ROUNDS = 3
 #: Of the unlabelled rows, the share that each view passes on in a round, by class.
 SURE = 0.05
 KEEP_GOOD = 0.995
+#: How strongly weights are drawn to zero.
+PULL = 1e-4
 WORD_BUCKETS = 1 << 12
 META_BUCKETS = 1 << 10
 _SHAPES = 16
-TEXT_SIZE = 256 + _SHAPES + WORD_BUCKETS
+#: Measures that are also given in steps, so that a middle value can count by itself.
+_STEPPED, _STEPS = (2, 3, 5, 9, 11, 12, 15), 8
+_FORM = _SHAPES + len(_STEPPED) * _STEPS
+#: A single word says less than the form of a text, in a short text above all.
+WORD_WEIGHT = 0.3
+TEXT_SIZE = 256 + _FORM + WORD_BUCKETS
 
 
 def _shape(raw: bytes, words: np.ndarray) -> np.ndarray:
-    """Measures of form: length, repetition, line structure, kinds of characters."""
+    """Measures of form: length, repetition, line structure, kinds of characters; some in steps."""
     lines = raw.split(b"\n")
     n = max(1, len(words))
     buffer = np.frombuffer(raw, np.uint8)
@@ -53,7 +59,8 @@ def _shape(raw: bytes, words: np.ndarray) -> np.ndarray:
     size = max(1, len(buffer))
     upper, lower, digit = kinds[65:91].sum(), kinds[97:123].sum(), kinds[48:58].sum()
     other = kinds[33:127].sum() - upper - lower - digit
-    return np.array(
+    again = float((words[1:] == words[:-1]).sum()) / n
+    found = np.array(
         [
             1.0,
             np.log1p(len(words)) / 8,
@@ -65,9 +72,13 @@ def _shape(raw: bytes, words: np.ndarray) -> np.ndarray:
             kinds[128:].sum() / size,
             other / n, upper / n, digit / n,
             float(len(words) == 0),
-            kinds[10] / n,
+            again,
         ]
     )
+    steps = np.zeros((len(_STEPPED), _STEPS))
+    at = np.clip(found[list(_STEPPED)] * _STEPS, 0, _STEPS - 1).astype(int)
+    steps[np.arange(len(_STEPPED)), at] = 1
+    return np.concatenate([found, steps.ravel()])
 
 
 def text_rows(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -80,10 +91,10 @@ def text_rows(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
             chars = np.flatnonzero(kinds)
             weight = np.sqrt(kinds[chars] / max(1, len(raw)))
             buckets, count = np.unique(words >> np.uint64(52), return_counts=True)
-            part = np.sqrt(count / max(1, len(words)))
+            part = WORD_WEIGHT * np.sqrt(count / max(1, len(words)))
             out.append(
                 (
-                    np.concatenate([chars, np.arange(256, 256 + _SHAPES), buckets.astype(np.int64) + 256 + _SHAPES]),
+                    np.concatenate([chars, np.arange(256, 256 + _FORM), buckets.astype(np.int64) + 256 + _FORM]),
                     np.concatenate([weight, _shape(raw, words), part]).astype(np.float32),
                 )
             )
@@ -129,13 +140,16 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def fit(rows: Sparse, target: np.ndarray, weight: np.ndarray, steps: int = 150) -> np.ndarray:
-    """Logistic weights by Adam on the whole sample, classes of equal weight."""
+def fit(
+    rows: Sparse, target: np.ndarray, weight: np.ndarray, steps: int = 150, even: bool = True
+) -> np.ndarray:
+    """Logistic weights by Adam on the whole sample; ``even`` gives classes equal weight."""
     w, m, v = np.zeros(rows.size), np.zeros(rows.size), np.zeros(rows.size)
     good = target > 0.5
     balance = np.where(good, 0.5 / max(weight[good].sum(), 1e-9), 0.5 / max(weight[~good].sum(), 1e-9))
+    balance = balance if even else np.full(len(target), 1 / weight.sum())
     for t in range(1, steps + 1):
-        g = rows.back(balance * weight * (sigmoid(rows.dot(w)) - target)) + 1e-5 * w
+        g = rows.back(balance * weight * (sigmoid(rows.dot(w)) - target)) + PULL * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
     return w
@@ -199,14 +213,15 @@ def train(text: list, meta: list, label: np.ndarray) -> Model:
     seen = np.column_stack(
         [Sparse([rows[i] for i in held], size).dot(w) for (rows, size), w in zip(views, weights)]
     )
-    target, even = label[held].astype(float), np.ones(len(held))
-    scale = np.array([fit(_plane(seen[:, [k]]), target, even, 300) for k in range(2)])
-    joint = fit(_plane(scale[:, 0] + scale[:, 1] * seen), target, even, 300)
-    model = Model(weights[0], weights[1], scale, joint, 0.5)
+    target, ones = label[held].astype(float), np.ones(len(held))
+    scale = np.array([fit(_plane(seen[:, [k]]), target, ones, 400, even=False) for k in range(2)])
+    # The calibrated log odds of both views add up, the odds beforehand counted once; a
+    # view that knows nothing changes nothing.
+    before = np.log(target.sum() / (len(target) - target.sum()))
+    model = Model(weights[0], weights[1], scale, np.array([-before, 1.0, 1.0]), 0.5)
     score = model.score(seen[:, 0], seen[:, 1])
-    good, bad = score[target > 0.5], score[target < 0.5]
-    least, most = float(np.quantile(good, 1 - KEEP_GOOD, method="lower")), float(bad.max())
-    model.threshold = (least + most) / 2 if most < least else least
+    # Never above one half: what is good more likely than not stays.
+    model.threshold = min(0.5, float(np.quantile(score[target > 0.5], 1 - KEEP_GOOD, method="lower")))
     return model
 
 

@@ -132,7 +132,7 @@ def lines(page: str) -> Iterator[tuple[str, bool, int]]:
             if page.startswith("<![CDATA[", stop) and not apart:
                 parts.append(page[stop + 9 : at - 3 if page.endswith("]]>", stop, at) else at])
             continue
-        if name not in INLINE:
+        if name not in INLINE and name not in RAW:
             if name == "br":
                 parts.append(" ")
             elif (found := line()) is not None:
