@@ -148,7 +148,7 @@ def run_stream(
     plan = build(spark, store, pipeline_id, default_env)
     try:
         kept = not isinstance(plan.data_sink, MemorySink) or not isinstance(plan.audit_sink, MemorySink)
-        if checkpoint is None and kept and not spark.conf.get("spark.checkpoint.dir", None):
+        if checkpoint is None and kept and not _shared_setting(spark):
             raise ValueError(
                 f"pipeline {pipeline_id!r} writes files: give a checkpoint, or set spark.checkpoint.dir"
             )
@@ -171,6 +171,10 @@ def run_stream(
     return run
 
 
+def _shared_setting(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def explain(
     spark: SparkSession,
     store: spec.Store,

@@ -206,15 +206,11 @@ def test_two_batch_runs_keep_both(spark, raw, env):
     assert counts[1] == (2 * counts[0][0], 2 * counts[0][1])
 
 
-def test_durable_stream_needs_a_checkpoint(spark, raw, env):
+def test_durable_stream_needs_a_checkpoint(spark, raw, env, monkeypatch):
     store = Store.model_validate(from_files(raw))
-    root = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        with pytest.raises(ValueError, match="give a checkpoint"):
-            run_stream(spark, store, "member_masker", env, available_now=True)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", root)
+    monkeypatch.setattr("maskflow.plans.pipeline._shared_setting", lambda spark: None)
+    with pytest.raises(ValueError, match="give a checkpoint"):
+        run_stream(spark, store, "member_masker", env, available_now=True)
 
 
 def test_batch_run_twice_is_the_same_as_once(spark, raw, env):
