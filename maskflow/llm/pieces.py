@@ -32,8 +32,12 @@ from maskflow.llm.tables import lean_batches
 
 META = "▁"
 #: Characters of distinct words in one suffix array; words kept between batches.
-SLICE = 1 << 20
-KEPT_WORDS = 300_000
+SLICE = 1 << 18
+KEPT_WORDS = 200_000
+#: Pairs of pieces whose answer is kept.
+PAIRS = 1 << 20
+#: Characters of texts that are split into words at once.
+GROUP = 1 << 21
 _NEVER = np.int64(1) << 40
 
 
@@ -146,6 +150,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.known: dict[str, bytes] = {}
+        self.pair_key, self.pair_answer = np.full(PAIRS, -1, np.int64), np.zeros(PAIRS, bool)
         free = "".join(c for c in "\t\n\r\x0b\x0c" if c not in vocabulary.alphabet)
         self.split = re.compile(f"{META}+[^{META}{free}]*|[{free}]|[^{META}{free}]+").findall
         lengths = np.array([len(p) for p in vocabulary.texts])
@@ -158,6 +163,19 @@ class Encoder:
         self.low = self._packed(codes)
         self.high = self._packed(np.where(inside, codes, np.uint64(0xFFFF)))
 
+    def beside(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """As the vocabulary's, with the answers of pairs met before; a newer pair takes the place."""
+        key = a * np.int64(len(self.lengths)) + b
+        slot = (key * np.int64(0x9E3779B1) >> np.int64(7)) & np.int64(PAIRS - 1)
+        new = np.flatnonzero(self.pair_key[slot] != key)
+        out = self.pair_answer[slot]
+        if len(new):
+            out[new] = self.v.beside(a[new], b[new])
+            self.pair_key[slot[new]] = key[new]
+            # Of pairs that fall on one slot the last key stays; so must its answer.
+            self.pair_answer[slot[new]] = out[new]
+        return out
+
     @staticmethod
     def _packed(codes: np.ndarray) -> list[np.ndarray]:
         words = codes.astype(np.uint64)
@@ -216,20 +234,22 @@ class Encoder:
         order, fours = self.suffixes(codes)
         lo, hi = self.bound(order, fours, self.low, False), self.bound(order, fours, self.high, True)
         count = np.maximum(hi - lo, 0)
-        piece = np.repeat(np.arange(len(count)), count)
-        at = np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)
-        begin = order[at]
+        # Edges are many: 32 bits each, and no more columns at a time than needed.
+        piece = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        at = np.arange(len(piece), dtype=np.int32)
+        at += np.repeat((lo - np.cumsum(count) + count).astype(np.int32), count)
+        begin = order.astype(np.int32)[at]
+        del at
         # A character without a code is an edge of its own, beside anything.
         odd = np.flatnonzero(codes == 0)
         odd = np.setdiff1d(odd, separators, assume_unique=True)
-        begin = np.r_[begin, odd]
-        piece = np.r_[piece, np.full(len(odd), -2)]
-        end = begin + np.r_[np.repeat(self.lengths, count), np.ones(len(odd), np.int64)]
+        size = np.concatenate([np.repeat(self.lengths.astype(np.int32), count), np.ones(len(odd), np.int32)])
+        begin = np.concatenate([begin, odd.astype(np.int32)])
+        piece = np.concatenate([piece, np.full(len(odd), -2, np.int32)])
+        end = begin + size
         # Sorted by how far the end is into its word: all words are relaxed abreast.
-        base = np.zeros(len(codes) + 1, np.int64)
-        base[starts] = 1
-        word_at = np.cumsum(base[:-1]) - 1
-        depth = end - starts[word_at[begin]]
+        first = np.repeat(starts, np.diff(np.r_[starts, len(codes)])).astype(np.int32)
+        depth = end - first[begin]
         # Small numbers are sorted by radix.
         by_end = np.argsort(depth.astype(np.uint16) if depth.max() < 1 << 16 else depth, kind="stable")
         begin, piece, end = begin[by_end], piece[by_end], end[by_end]
@@ -243,7 +263,7 @@ class Encoder:
             before = last[s]
             good = before != -3
             test = good & (before >= 0) & (p >= 0)
-            good[test] = v.beside(before[test], p[test])
+            good[test] = self.beside(before[test], p[test])
             # A word's end is the next word's separator, so its slot is free.
             last[e[good]], came[e[good]] = p[good], s[good]
         self._collect(words, points, starts, sizes, last, came)
@@ -287,7 +307,7 @@ class Encoder:
         for text in texts:
             group.append(text)
             size += len(text or "")
-            if size > 4 * SLICE:
+            if size > GROUP:
                 out += self._group(group)
                 group, size = [], 0
         return out + self._group(group)
