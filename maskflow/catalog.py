@@ -1075,3 +1075,24 @@ def json_declared_types(spark, sf_dir):
         "cast(o_orderdate as timestamp_ntz) local",
     )
     return decode_json(orders.select(F.to_json(F.struct("*")).alias("value")), orders.schema)
+
+
+@query(
+    """select p_name as disease, cast(p_size as bigint) as usage from part where p_size % 2 = 1
+       union all select 'x', count(*) from part where p_size % 2 = 1"""
+)
+def job_list(spark, sf_dir):
+    """Two jobs of a configuration, the second on what the first one wrote."""
+    root = scratch_path(spark, "jobs")
+    part = table(spark, sf_dir, "part")
+    codes = part.select(
+        F.concat("p_name", F.when(F.col("p_size") % 2 == 1, " (disorder)").otherwise(" (finding)")).alias("Description"),
+        F.when(F.col("p_size") == 1, "*").otherwise(F.col("p_size").cast("string")).alias("Usage"),
+    )
+    codes.write.option("header", "true").csv(f"{root}/codes.csv")
+    written = f"{root}/usage"
+    listed = [{"function": "snomed_transform", "params": {"input": f"{root}/codes.csv", "output": written}}]
+    jobs.run_jobs(spark, {"transform": listed})
+    again = spark.read.parquet(written)
+    total = again.agg(F.lit("x").alias("disease"), F.count("*").alias("usage"))
+    return again.unionAll(total)

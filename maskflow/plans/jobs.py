@@ -122,22 +122,30 @@ def assemble_records(
     number: int,
     seed: int | str,
     algorithm: str = "xxhash64",
+    keys: dict[str, str] | None = None,
 ) -> DataFrame:
     """Sample records: names and places drawn evenly, diseases by their usage.
 
     ``(patient_id, patient_name, city, postcode, disease)``, numbered from 0.
+
+    Rows are drawn by ``forename``, ``surname``, ``postcode`` and ``disease``. Where
+    one of these occurs in several rows, name a column in ``keys`` that tells its rows
+    apart, such as ``{"forename": "row"}``: rows of one key come or stay away together.
     """
+    keys = keys or {}
 
-    def numbered(sample: DataFrame, key: str, *columns: str) -> DataFrame:
-        order = _draw_order(f"{seed}:{key}", key)
-        return row_id(sample.select(key, *columns), order, name="patient_id", at_most=number)
+    def numbered(sample: DataFrame, name: str, *columns: str) -> DataFrame:
+        order = _draw_order(f"{seed}:{name}", keys.get(name, name))
+        ranked = row_id(sample, order, name="patient_id", at_most=number)
+        return ranked.select(name, *columns, "patient_id")
 
-    def evenly(table: DataFrame, key: str, *columns: str) -> DataFrame:
-        drawn = sample_uniform(table, number, key, f"{seed}:{key}:draw", algorithm)
-        return numbered(drawn, key, *columns)
+    def evenly(table: DataFrame, name: str, *columns: str) -> DataFrame:
+        key = keys.get(name, name)
+        drawn = sample_uniform(table, number, key, f"{seed}:{name}:draw", algorithm)
+        return numbered(drawn, name, *columns)
 
     by_usage = sample_weighted(
-        diseases, number, "disease", "usage", f"{seed}:disease:draw", algorithm
+        diseases, number, keys.get("disease", "disease"), "usage", f"{seed}:disease:draw", algorithm
     )
     parts = [
         evenly(forenames, "forename"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MICRO_BATCH_BYTES = 64 << 30
+MICRO_BATCH_RECORDS = 50_000_000
 
 
 def read_kafka(
@@ -19,16 +20,20 @@ def read_kafka(
     """The values of one topic as text, in a column ``value``.
 
     Without ``startingOffsets`` a stream starts at the latest record, as Spark
-    does, and a batch at the earliest. ``maxOffsetsPerTrigger`` bounds a
-    micro-batch and ``minPartitions`` spreads few topic partitions over more
+    does, and a batch at the earliest. A stream takes ``MICRO_BATCH_RECORDS`` at a
+    time unless ``maxOffsetsPerTrigger`` says otherwise, so that a restart after a
+    long stop is not one micro-batch; ``minPartitions`` spreads few topic partitions over more
     tasks. Headers are not fetched, since no column is made of them.
     """
+    options = dict(options or {})
+    if streaming:
+        options.setdefault("maxOffsetsPerTrigger", str(MICRO_BATCH_RECORDS))
     reader = spark.readStream if streaming else spark.read
     return (
         reader.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
         .option("subscribe", topic)
-        .options(**(options or {}))
+        .options(**options)
         .load()
         .select(F.col("value").cast("string").alias("value"))
     )

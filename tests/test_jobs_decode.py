@@ -200,3 +200,19 @@ def test_samples_put_side_by_side_do_not_follow_each_other(spark):
     assert sum(a == b for a, b in pairs) < 10
     again = jobs.compound_names(words.orderBy(F.desc("noun")), "noun", 26, 1).collect()
     assert sorted(r.surname for r in again) == sorted("-".join(p) for p in pairs)
+
+
+def test_equal_forenames_are_drawn_one_by_one(spark):
+    from maskflow.plans.jobs import assemble_records
+
+    forenames = spark.createDataFrame([(i, "Ada" if i < 50 else f"n{i}") for i in range(100)], "row int, forename string")
+    surnames = spark.createDataFrame([(f"s{i}",) for i in range(100)], "surname string")
+    places = spark.createDataFrame([(f"p{i}", "c") for i in range(100)], "postcode string, city string")
+    diseases = spark.createDataFrame([(f"d{i}", 1 + i) for i in range(100)], "disease string, usage int")
+    tables = (forenames, surnames, places, diseases)
+    counts = set()
+    for seed in range(4):
+        rows = assemble_records(*tables, 30, seed, keys={"forename": "row"}).collect()
+        assert len(rows) == 30
+        counts.add(sum(r.patient_name.startswith("Ada ") for r in rows))
+    assert all(5 <= n <= 25 for n in counts)

@@ -206,7 +206,8 @@ def test_two_batch_runs_keep_both(spark, raw, env):
     assert counts[1] == (2 * counts[0][0], 2 * counts[0][1])
 
 
-def test_durable_stream_needs_a_checkpoint(spark, raw, env, monkeypatch):
+def test_durable_stream_needs_a_checkpoint(spark, raw, env, monkeypatch, tmp_path):
+    (tmp_path / "topic").mkdir()
     store = Store.model_validate(from_files(raw))
     monkeypatch.setattr("maskflow.plans.pipeline._shared_setting", lambda spark: None)
     with pytest.raises(ValueError, match="give a checkpoint"):
@@ -296,6 +297,7 @@ def test_kafka_is_asked_for_its_topic(spark, raw, env, monkeypatch):
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "members",
         "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "50000000",
     }
     assert plan.data.columns == ["member_id", "town", "phone", "area", "alias"]
     plan.close()
