@@ -61,9 +61,14 @@ _ENDS_P = {
 _OTHER = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav\w*|navigation|menu\w*|breadcrumbs?|side-?bar\w*|footer|"
     r"site-?header|page-?header|masthead|cookies?\w*|consent|notice|notification|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login|"
-    r"share|sharing|social|related|recommend\w*|comments?|comment-?\w*|disqus\w*|respond|replies|reply|complementary|contentinfo|search|gdpr|paywall|toolbar|widget\w*|pagination|pager)(?:$|[\s_-])",
+    r"share|sharing|social|related|recommend\w*|comments?|comment-?\w*|disqus\w*|respond|replies|reply|discussion|complementary|contentinfo|search|skip-?link|copyright|gdpr|paywall|toolbar|widget\w*|pagination|pager)(?:$|[\s_-])",
     re.I,
 )
+#: An article that is a comment or a teaser of another one.
+_LESSER = re.compile(r"(?:^|[\s_-])(?:comments?|reply|replies|related|teaser|recommend\w*)(?:$|[\s_-])", re.I)
+_PAGE_HEADER = re.compile(r"(?:^|\s)(?:header|top-?bar)(?:$|\s)", re.I)
+#: Layout names that tell what a part has beside it, not what it is.
+_BESIDE = re.compile(r"(?<![^\s])(?:with|has|no|without|is|js)[-_]\S+", re.I)
 #: A line of rights, as pages have at their foot.
 _LEGAL = re.compile(r"(?:©|\(c\)\s|copyright\b|all rights reserved)", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -78,14 +83,16 @@ def _attributes(raw: str) -> dict[str, str]:
 def _is_apart(name: str, attributes: dict[str, str], inside_article: bool) -> bool:
     if name in APART or (name in {"header", "footer"} and not (name == "header" and inside_article)):
         return True
-    if name in {"html", "body", "article", "main"}:
+    if name in {"html", "body", "main"}:
         return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or _HIDDEN.search(attributes.get("style", "")):
         return True
     named = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
     # Camel case and joined words are read as words.
-    named = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", named)
-    return bool(named.strip() and _OTHER.search(named))
+    named = _BESIDE.sub(" ", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", named))
+    if name == "article":
+        return bool(_LESSER.search(named))
+    return bool(_OTHER.search(named)) or not inside_article and bool(_PAGE_HEADER.search(named))
 
 
 def lines(page: str) -> Iterator[tuple[str, bool, int]]:

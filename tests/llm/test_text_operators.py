@@ -66,6 +66,8 @@ LONG = "A long story about things that happened one day. " * 6
         ("<article>x  y\n z<p>open", "x y z open"),
         ("<article><div hidden>h</div><div style='display: none'>n</div><p title='a > b'>t</p></article>", "t"),
         ("<article>cut <b", "cut"),
+        ("<div class='layout with-sidebar'><article>x</article><article class='comment'>c</article></div>", "x"),
+        (f"<div class=header>Site name</div><div class='page has-nav'><p>{LONG}</p></div>", LONG.strip()),
     ],
 )
 def test_main_text(page, text):
