@@ -326,6 +326,24 @@ class Store(SpecModel):
                         f"pipeline {pipeline.id!r} makes no column {missing}"
                         f" of table {table.table_name!r}"
                     )
+                texts = _texts_made(pipeline) if sink is pipeline.sink else set(trail[1:])
+                wrong = [c for c in texts if c in declared and declared[c] != "string"]
+                if wrong:
+                    raise ValueError(
+                        f"pipeline {pipeline.id!r} puts text into {sorted(wrong)}, which"
+                        f" table {table.table_name!r} does not declare as string"
+                    )
+
+
+def _texts_made(pipeline: TransformerPipeline) -> set[str]:
+    """Columns that end as text: redacted or split last, not looked up after that."""
+    made: set[str] = set()
+    for transform in pipeline.transforms:
+        if isinstance(transform, Redact | SplitPick):
+            made.add(transform.destination_column)
+        else:
+            made.discard(transform.destination_column)
+    return made
 
 
 def split_topic(name: str) -> tuple[str, str]:

@@ -336,3 +336,10 @@ def test_command_line(spark, env, tmp_path, monkeypatch, capsys):
     )
     out = capsys.readouterr().out
     assert "Running 'member_watch'" in out and "hidden" in out
+
+
+def test_text_into_a_number_column_is_refused_on_load(raw):
+    [table] = [s for s in raw["schemas"] if "alias" in s["fields"]]
+    table["fields"]["alias"] = "integer"
+    with pytest.raises(ValidationError, match="does not declare as string"):
+        Store.model_validate(raw)
