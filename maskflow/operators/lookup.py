@@ -112,10 +112,10 @@ def prepare_lookup(
     marked = mark_first and copies > 1
     chunks = None
     if chunked:
+        # From the plain rows: they need not be divided for their number.
+        per_key = F.ceil(F.count("*") / group_rows).cast("int").alias(_CHUNKS)
+        chunks = rows.groupBy(KEY).agg(per_key).where(F.col(_CHUNKS) > 1)
         rows = _divide(rows, salts, group_rows)
-        chunks = (
-            rows.groupBy(KEY).agg((F.max(_CHUNK) + 1).alias(_CHUNKS)).where(F.col(_CHUNKS) > 1)
-        )
     elif marked:
         # Keys have few rows each, or the whole table is small: both measured.
         within_key = Window.partitionBy(KEY).orderBy(VALUE)
