@@ -275,6 +275,17 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str],
     )
 
 
+def _lowest(ids: DataFrame, limit: int) -> DataFrame:
+    """The ids with the lowest hashes, ``limit`` at most.
+
+    Hashes are even, so a bound on them leaves little more than ``limit`` rows to sort.
+    """
+    share = min(1.0, (1.2 * limit + 200) / max(1, ids.count()))
+    cut = min(int(share * (1 << 64)) - (1 << 63), (1 << 63) - 1)
+    hashed = ids.withColumn("_h", F.xxhash64("_did")).filter(F.col("_h") <= cut)
+    return hashed.orderBy("_h", "_did").limit(limit).drop("_h")
+
+
 def learn(
     spark: SparkSession,
     docs: DataFrame,
@@ -295,8 +306,7 @@ def learn(
     ids = docs.select(F.col(id_col).cast("bigint").alias("_did")).filter("_did is not null")
     known = ids.join(clear, F.col("_did") == F.col("_lid")).select("_did", "_y")
     other = ids.join(clear, F.col("_did") == F.col("_lid"), "left_anti").withColumn("_y", F.lit(-1))
-    order = [F.xxhash64("_did"), "_did"]
-    chosen = known.orderBy(*order).limit(LABELLED).unionByName(other.orderBy(*order).limit(UNLABELLED))
+    chosen = _lowest(known, LABELLED).unionByName(_lowest(other, UNLABELLED))
     chosen = stored(spark, chosen.dropDuplicates(["_did"]), "quality-sample")  # bounded, so it is sent to all tasks
     picked = docs.join(F.broadcast(chosen), F.col(id_col).cast("bigint") == F.col("_did"))
     rows = _numbered(picked, id_col, text_col, meta_cols, F.col("_y")).mapInArrow(
