@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from maskflow.llm.run_index import RunIndex
-from maskflow.llm.tables import lean_batches, stored
+from maskflow.llm.tables import lean_batches, small, stored
 from maskflow.llm.words import BYTES, PIECE, hashes, mix
 
 ANCHOR = 32
 #: Bytes of contexts in one index, and contexts of one anchor that it may hold.
 INDEX_BYTES = 1 << 20
-INDEX_CONTEXTS = 2048
+INDEX_CONTEXTS = 512
 _U = np.uint64
 _BASE = 0xD1342543DE82EF95
 
@@ -177,35 +177,39 @@ def _repeated_places(places: DataFrame) -> DataFrame:
     return found.filter("whole or rep")
 
 
-def _send_contexts(length: int):
+def _send_contexts():
     """The bytes of the contexts that a text is asked for."""
 
     def run(batches):
         for batch in batches:
             texts = batch.column(0).cast(pa.binary()).to_pylist()
             keys, wanted = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            anchor, k, lo, data, size = [], [], [], [], 0
+            anchor, part, parts, k, lo, data, size = [], [], [], [], [], [], 0
             for text, key, places in zip(texts, keys, wanted):
                 for place in places:
                     anchor.append(place["anchor"])
+                    part.append(place["part"])
+                    parts.append(place["parts"])
                     k.append(key)
                     lo.append(place["lo"])
                     data.append(text[place["lo"] : place["hi"]])
                     size += len(data[-1])
                 if size > 4 << 20:
-                    yield _context_rows(anchor, k, lo, data)
-                    anchor, k, lo, data, size = [], [], [], [], 0
+                    yield _context_rows(anchor, part, parts, k, lo, data)
+                    anchor, part, parts, k, lo, data, size = [], [], [], [], [], [], 0
             if anchor:
-                yield _context_rows(anchor, k, lo, data)
+                yield _context_rows(anchor, part, parts, k, lo, data)
 
     return run
 
 
-def _context_rows(anchor, k, lo, data):
-    return pa.record_batch(
-        [pa.array(anchor, pa.int64()), pa.array(k, pa.int64()), pa.array(lo, pa.int64()), pa.array(data, pa.binary())],
-        ["anchor", "k", "lo", "data"],
-    )
+_CONTEXTS = "anchor bigint, part int, parts int, k bigint, lo bigint, data binary"
+
+
+def _context_rows(*columns):
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["anchor", "part", "parts", "k", "lo", "data"]
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
 
 _MARKS = "k bigint, lo bigint, hi bigint, window bigint, twice boolean"
@@ -214,9 +218,10 @@ _MARKS = "k bigint, lo bigint, hi bigint, window bigint, twice boolean"
 def _index(length: int):
     """Marks of repeated windows, by one index after the other.
 
-    Contexts come sorted by anchor. An index closes at an anchor's end; where one
-    anchor has more contexts than an index may hold, the windows that its part does
-    not mark are passed on by hash, with one of each kind that it does.
+    Contexts come sorted by anchor and part. An index closes at an anchor's end. An
+    anchor in several parts has an index for each, in whichever task the part is; the
+    windows that it does not mark are passed on by hash, with one of each kind that it
+    does.
     """
     names = ["k", "lo", "hi", "window", "twice"]
 
@@ -249,20 +254,14 @@ def _index(length: int):
         )
 
     def run(batches):
-        k, lo, data, size, group, current, split = [], [], [], 0, 0, None, False
+        k, lo, data, size, current, split = [], [], [], 0, None, False
         for batch in batches:
-            for anchor, own, at, text in zip(*(batch.column(c).to_pylist() for c in range(4))):
-                if anchor != current:
-                    if data and (size > INDEX_BYTES or split):
+            for anchor, part, parts, own, at, text in zip(*(batch.column(c).to_pylist() for c in range(6))):
+                if (anchor, part) != current:
+                    if data and (size > INDEX_BYTES or split or parts > 1):
                         yield indexed(k, lo, data, split)
                         k, lo, data, size = [], [], [], 0
-                    current, group, split = anchor, len(data), False
-                elif len(data) - group >= INDEX_CONTEXTS:
-                    if group:  # what came before this anchor is complete
-                        yield indexed(k[:group], lo[:group], data[:group], False)
-                        k, lo, data = k[group:], lo[group:], data[group:]
-                    yield indexed(k, lo, data, True)
-                    k, lo, data, size, group, split = [], [], [], 0, 0, True
+                    current, split = (anchor, part), parts > 1
                 k.append(own)
                 lo.append(at)
                 data.append(text)
@@ -329,16 +328,26 @@ def repeated_spans(
     texts = _keyed(docs, id_col, text_col)
     places = texts.select("k", "text").mapInArrow(_send_places(length), _PLACES)
     found = stored(spark, _repeated_places(places), "places")
-    asked = (
-        found.filter("rep").groupBy("k").agg(F.collect_list(F.struct("anchor", "lo", "hi")).alias("wanted"))
-        .withColumnRenamed("k", "_k")
+    reps = found.filter("rep").select("anchor", "k", "lo", "hi")
+    # Anchors with more contexts than an index may hold are dealt out in parts.
+    many = reps.groupBy("anchor").agg(
+        F.ceil(F.count(F.lit(1)) / INDEX_CONTEXTS).cast("int").alias("parts")
+    ).filter("parts > 1")
+    many = stored(spark, many.withColumnRenamed("anchor", "_anchor"), "many-contexts")
+    dealt = reps.join(small(many, many.count(), 24), F.col("anchor") == F.col("_anchor"), "left")
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = dealt.select(
+        "anchor", "k", "lo", "hi", parts.alias("parts"), F.pmod(F.xxhash64("k", "lo"), parts).cast("int").alias("part")
+    )
+    asked = dealt.groupBy(F.col("k").alias("_k")).agg(
+        F.collect_list(F.struct("anchor", "part", "parts", "lo", "hi")).alias("wanted")
     )
     # The side grows with the documents, so it is always met by a shuffle.
     sent = texts.select("text", "k").join(asked.hint("merge"), F.col("k") == F.col("_k")).select("text", "k", "wanted")
     marks = stored(
         spark,
-        sent.mapInArrow(_send_contexts(length), "anchor bigint, k bigint, lo bigint, data binary")
-        .repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_index(length), _MARKS),
+        sent.mapInArrow(_send_contexts(), _CONTEXTS)
+        .repartition("anchor", "part").sortWithinPartitions("anchor", "part").mapInArrow(_index(length), _MARKS),
         "marks",
     )
     # Windows of anchors that were indexed in parts: repeated when any part says so.
