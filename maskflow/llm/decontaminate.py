@@ -12,11 +12,16 @@ With a containment of 0.8 their similarity is at least 0.19, and the chance that
 all 64 minima differ is below 2e-6; for a whole copy it is below 1e-7. A passage torn
 apart into distant halves is still a candidate by each half.
 
+No window is small enough for items of fewer than ``EXACT`` distinct shingles. Their
+shingles are one sorted list, every shingle of a document is looked up in it, and
+nothing is left to chance.
+
 Items are taken in blocks of bounded size that are sent to all tasks; documents are
 read once for each block and never shuffled.
 
-Defined cases: null and empty items match nothing, null and empty documents contain
-nothing. An item with fewer words than the width is one shingle of its own length.
+Defined cases: items whose text is null or empty match nothing, null and empty
+documents contain nothing. An item without an id is matched like any other and its
+rows have a null ``item_id``. An item with fewer words than the width is one shingle of its own length.
 Repeated items and documents each give their rows. Other columns are ignored.
 """
 
@@ -33,6 +38,9 @@ from maskflow.llm.tables import lean_batches, small, stored
 from maskflow.llm.words import mix, shingle_rows, word_hashes
 
 HASHES = 64
+#: Items with fewer distinct shingles are found without minima.
+EXACT = 8
+_LOW = (1 << 20) - 1
 #: Bytes of item text in one block; a longer item is a block of its own.
 BLOCK_BYTES = 8 << 20
 _FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -50,20 +58,53 @@ class Items:
         self.ids: list[int] = []
         self.sets: list[np.ndarray] = []
         self.classes: dict[tuple[int, int], list[int]] = {}
+        short: dict[int, list[int]] = {}
         words = [w for group in word_hashes(text for _, text in rows) for w in group]
         for (item, _), found in zip(rows, words):
             if not len(found):
                 continue
             own = min(width, len(found))
             unique = np.unique(shingle_rows(found, own))
-            step = max(16, 1 << int(len(unique)).bit_length())
-            self.classes.setdefault((own, step), []).append(len(self.ids))
+            if len(unique) < EXACT:
+                short.setdefault(own, []).append(len(self.ids))
+            else:
+                step = 1 << int(len(unique)).bit_length()
+                self.classes.setdefault((own, step), []).append(len(self.ids))
             self.ids.append(item)
             self.sets.append(unique)
         self.tables = {
             key: [self._table(members, k) for k in range(HASHES)]
             for key, members in self.classes.items()
         }
+        self.short = {own: self._list(members) for own, members in short.items()}
+        self.widths = sorted({own for own, _ in self.classes} | set(short))
+
+    def _list(self, members: list[int]):
+        """The shingles of short items in order, each with its item."""
+        tokens = np.concatenate([self.sets[i] for i in members])
+        owner = np.repeat(members, [len(self.sets[i]) for i in members])
+        order = np.argsort(tokens, kind="stable")
+        low = np.zeros(_LOW + 1, bool)
+        low[tokens & np.uint64(_LOW)] = True
+        return low, tokens[order], owner[order]
+
+    def short_matches(self, rows: np.ndarray, offsets: np.ndarray, width: int):
+        """(text, item, shared) for every short item that has a shingle in common with a text."""
+        if width not in self.short or not len(rows):
+            return
+        low, values, owner = self.short[width]
+        places = np.flatnonzero(low[rows & np.uint64(_LOW)])
+        at = np.minimum(np.searchsorted(values, rows[places]), len(values) - 1)
+        places = places[values[at] == rows[places]]
+        texts = np.searchsorted(offsets, places, "right") - 1
+        cut = np.flatnonzero(np.diff(texts, prepend=-1, append=-1)) if len(texts) else []
+        for first, last in zip(cut[:-1], cut[1:]):
+            own = np.unique(rows[places[first:last]])
+            lo, hi = np.searchsorted(values, own), np.searchsorted(values, own, "right")
+            count = hi - lo
+            met = owner[np.arange(count.sum()) + np.repeat(lo - np.cumsum(count) + count, count)]
+            for item, shared in zip(*(x.tolist() for x in np.unique(met, return_counts=True))):
+                yield int(texts[first]), item, shared
 
     def _table(self, members: list[int], k: int):
         least = np.array([_minima(self.sets[i], k).min() for i in members])
@@ -104,16 +145,20 @@ def _search(items, num: int, den: int):
 
     def run(batches):
         block = items.value
-        widths = sorted({width for width, _ in block.classes})
         for batch in batches:
             ids = batch.column(0).to_pylist()
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             out, at = [], 0
             for group in word_hashes(texts):
-                for width in widths:
+                for width in block.widths:
                     rows = [shingle_rows(words, width) for words in group]
                     offsets = np.cumsum([0, *map(len, rows)])
-                    pairs = block.candidates(np.concatenate(rows), offsets, width)
+                    joined = np.concatenate(rows)
+                    for d, i, shared in block.short_matches(joined, offsets, width):
+                        n = len(block.sets[i])
+                        if den * shared >= num * n:
+                            out.append((ids[at + d], block.ids[i], n, shared, shared / n))
+                    pairs = block.candidates(joined, offsets, width)
                     for d in sorted({d for d, _ in pairs}):
                         whole = np.unique(rows[d])
                         for i in sorted(i for e, i in pairs if e == d):
@@ -155,14 +200,14 @@ def contaminated(
     )
     queries = items.select(
         F.col(item_col).cast("bigint").alias("item_id"), F.col(item_text_col).cast("string").alias("text")
-    ).filter("text is not null and item_id is not null")
+    ).filter("text is not null")
     total = queries.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = total // BLOCK_BYTES + 1
     dealt = queries.withColumn("block", F.expr(f"pmod(xxhash64(item_id, text), {blocks})"))
     found = []
     for k in range(blocks):
         rows = [(r.item_id, r.text.encode()) for r in dealt.filter(f"block = {k}").toLocalIterator()]
-        sent = spark.sparkContext.broadcast(Items(sorted(rows), width))
+        sent = spark.sparkContext.broadcast(Items(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])), width))
         found.append(texts.mapInArrow(_search(sent, num, den), _SCHEMA))
     return reduce(DataFrame.unionByName, found)
 

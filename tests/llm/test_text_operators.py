@@ -178,6 +178,26 @@ def test_contamination_of_changed_passages_and_odd_rows(spark):
     assert pairs(found) == brute_containment(docs, queries)
 
 
+def test_contamination_by_short_items(spark):
+    g = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(500)]
+    queries = [(i, " ".join(g.choice(vocabulary) for _ in range(1 + i % 11))) for i in range(440)]
+    queries += [(None, "no id here"), (None, queries[5][1])]
+    docs = []
+    for i in range(25):
+        parts = [q for _, q in g.sample(queries, 30)]
+        docs.append((i, " ".join(p + " " + " ".join(g.choice(vocabulary) for _ in range(g.choice([0, 3, 60]))) for p in parts)))
+    docs += [(30, queries[4][1]), (31, queries[0][1]), (32, "")]
+    found = contaminated(spark, spark.createDataFrame(docs, TEXTS), spark.createDataFrame(queries, "item_id long, text string"))
+    assert pairs(found) == brute_containment(docs, queries)
+
+
+def test_item_without_id_is_removed_too(spark):
+    docs = spark.createDataFrame([(1, "x one two three four five six"), (2, "clean")], TEXTS)
+    items = spark.createDataFrame([(None, "one two three four five six")], "item_id long, text string")
+    assert [r.doc_id for r in remove_contaminated(spark, docs, items).collect()] == [2]
+
+
 def test_remove_contaminated(spark):
     df = spark.createDataFrame([(1, "one two three four five six"), (2, "clean"), (None, "one two three four five six")], TEXTS)
     items = spark.createDataFrame([(1, "One two three four five SIX")], "item_id long, text string")
