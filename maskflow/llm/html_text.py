@@ -11,7 +11,8 @@ are those of the article.
 Defined cases: null and empty pages have empty text. Markup that is cut off, nested
 wrongly or left open is read as browsers do: a part that is never closed ends with the
 element around it. Pages without any block keep their plain text as one line. Text is
-whole: no line between a surge and a dive is dropped for being short. Repeated rows
+whole: no line between a surge and a dive is dropped for being short, and lines that lead
+to a surge belong to it. Short lines of rights behind the last surge go. Repeated rows
 each give a row; other columns are kept.
 """
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from statistics import median
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +34,11 @@ from maskflow.llm.tables import lean_batches
 WINDOW = 3
 #: A block of main text starts where the sum is at least this share of the largest.
 SURGE = 0.15
-#: It also starts at this many characters, so that pages of short lines are not lost.
-SURGE_CHARS = 120
+#: The share is of no less and no more than so many characters, so that neither pages
+#: of short lines nor the lines beside a very long one are lost.
+SURGE_CHARS, SURGE_MOST = 120, 300
+#: A line of rights is no longer than this.
+LEGAL_CHARS = 160
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -70,7 +75,9 @@ _PAGE_HEADER = re.compile(r"(?:^|\s)(?:header|top-?bar)(?:$|\s)", re.I)
 #: Layout names that tell what a part has beside it, not what it is.
 _BESIDE = re.compile(r"(?<![^\s])(?:with|has|no|without|is|js)[-_]\S+", re.I)
 #: A line of rights, as pages have at their foot.
-_LEGAL = re.compile(r"(?:©|\(c\)\s|copyright\b|all rights reserved)", re.I)
+_LEGAL = re.compile(
+    r"(?:copyright\s*)?(?:©|\(c\)\s*(?:copyright\s*)?\d{4})|copyright\s+\d{4}|copyright\b(?![^.!?]*[.!?]$)|all rights reserved", re.I
+)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -95,12 +102,12 @@ def _is_apart(name: str, attributes: dict[str, str], inside_article: bool) -> bo
     return bool(_OTHER.search(named)) or not inside_article and bool(_PAGE_HEADER.search(named))
 
 
-def lines(page: str) -> Iterator[tuple[str, bool, int]]:
-    """The page's lines in order: text, whether it is in an article, and the length of link text."""
+def lines(page: str) -> Iterator[tuple[str, int, int, bool]]:
+    """The page's lines in order: text, the number of its article (0: none), the length of link text, and whether it is an h1."""
     stack: list[tuple[str, bool, bool]] = []  # name, apart, article
     parts: list[str] = []
-    link, article, line_article = 0, 0, False
-    apart = 0
+    link, article, line_article, title = 0, 0, 0, False
+    apart = count = 0
     at, end = 0, len(page)
 
     def close(to: int) -> None:
@@ -113,7 +120,7 @@ def lines(page: str) -> Iterator[tuple[str, bool, int]]:
     def line():
         nonlocal link
         text = " ".join("".join(parts).split())
-        out = (text, line_article, link)
+        out = (text, line_article, link, title)
         parts.clear()
         link = 0
         return out if text else None
@@ -127,7 +134,8 @@ def lines(page: str) -> Iterator[tuple[str, bool, int]]:
         if stop > at and not apart:
             text = html.unescape(page[at:stop])
             if not parts or not "".join(parts).strip():
-                line_article = article > 0
+                line_article = count if article else 0
+                title = any(name == "h1" for name, _, _ in stack)
             parts.append(text)
             if any(name == "a" for name, _, _ in stack):
                 link += len(text.strip())
@@ -167,6 +175,7 @@ def lines(page: str) -> Iterator[tuple[str, bool, int]]:
         is_apart = _is_apart(name, _attributes(tag[3]), inside)
         stack.append((name, is_apart, is_article))
         apart += is_apart
+        count += is_article and not inside
         article += is_article
     if (found := line()) is not None:
         yield found
@@ -195,36 +204,65 @@ def _open_scopes(name: str, stack: list[tuple[str, bool, bool]], close) -> None:
             close(lowest)
 
 
-def between_surges(sizes: list[int], threshold: float) -> list[bool]:
-    """Which lines lie between a surge and the dive after it."""
+def between_surges(sizes: list[int], threshold: float, titles: list[bool] | None = None) -> list[bool]:
+    """Which lines lie between a surge and the dive after it.
+
+    A surge begins with the lines before it that have some weight, and at the title of
+    the page if that is among them.
+    """
     n = len(sizes)
     sums = [sum(sizes[k : k + WINDOW]) for k in range(n + 1)]
     keep, inside = [False] * n, False
     for k in range(n):
         if not inside and sizes[k] and sums[k] >= threshold:
-            # Of the lines of the window the surge is at the first that has some weight.
-            inside = sizes[k] * 2 * WINDOW >= threshold or sums[k + 1] < threshold
+            inside = True
+            before = k - 1
+            while before >= 0 and sizes[before] and not keep[before] and not (titles and titles[before + 1]):
+                keep[before] = True
+                before -= 1
         elif inside and not sizes[k] and not sums[k]:
             inside = False
         keep[k] = inside
     return keep
 
 
+def _threshold(sizes: list[int]) -> float:
+    """The sum at which a block begins; one long line does not lift it."""
+    most = max((sum(sizes[k : k + WINDOW]) for k in range(len(sizes))), default=0)
+    usual = median([s for s in sizes if s] or [0]) * WINDOW / 2
+    return min(max(SURGE_CHARS, min(SURGE * most, usual, SURGE_MOST)), most)
+
+
+def _legal_tail(texts: list[str], sizes: list[int], threshold: float) -> set[int]:
+    """The short lines of rights behind the last window that has the weight of a surge."""
+    tail: set[int] = set()
+    weights = list(sizes)
+    for k in range(len(texts) - 1, -1, -1):
+        if sum(weights[k + 1 : k + 1 + WINDOW]) >= threshold:
+            break
+        if len(texts[k]) <= LEGAL_CHARS and _LEGAL.match(texts[k]):
+            weights[k] = 0
+            tail.add(k)
+    return tail
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page: its lines joined by single spaces."""
     found = list(lines(page or ""))
-    if any(article for _, article, _ in found):
+    tail: set[int] = set()
+    if any(article for _, article, _, _ in found):
         # The article is named: only its lines weigh, and its first one is the surge.
-        sizes = [len(text) if article else 0 for text, article, _ in found]
+        sizes = [len(text) if article else 0 for text, article, _, _ in found]
         allowed, threshold = [bool(s) for s in sizes], 1.0
     else:
         # Lines that are links for the most part weigh nothing, like menus without a name.
-        sizes = [0 if link * 2 > len(text) or _LEGAL.match(text) else len(text) for text, _, link in found]
-        allowed = [not _LEGAL.match(text) for text, _, _ in found]
-        most = max((sum(sizes[k : k + WINDOW]) for k in range(len(sizes))), default=0)
-        threshold = min(max(SURGE_CHARS, SURGE * most), most)
-    keep = between_surges(sizes, threshold)
-    return " ".join(text for (text, _, _), k, a in zip(found, keep, allowed) if k and a)
+        sizes = [0 if link * 2 > len(text) else len(text) for text, _, link, _ in found]
+        threshold = _threshold(sizes)
+        tail = _legal_tail([text for text, _, _, _ in found], sizes, threshold)
+        sizes = [0 if k in tail else s for k, s in enumerate(sizes)]
+        allowed = [k not in tail for k in range(len(found))]
+    keep = between_surges(sizes, threshold, [title for _, _, _, title in found])
+    return " ".join(line[0] for line, k, a in zip(found, keep, allowed) if k and a)
 
 
 def _extract(batches):

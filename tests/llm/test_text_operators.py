@@ -74,6 +74,20 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+def test_one_long_block_lifts_no_threshold():
+    short = [f"Paragraph {i}: " + "something happened here. " * 12 for i in range(4)]
+    long = "A very long report of a meeting. " * 600
+    law = "Copyright law in the region was changed after the third session of the court."
+    parts = [*short, law, long, *short, "Copyright law stays."]
+    page = "<div><h1>A title</h1>" + "".join(f"<p>{p}</p>" for p in parts) + "<p>(c) 2024 Example</p></div>"
+    assert main_text(page) == " ".join(["A title", *(p.strip() for p in parts)])
+
+
+def test_titles_lead_to_the_surge_and_menus_do_not():
+    page = f"<div><a>Home</a> <a>News page</a></div><div>Site name</div><h1>T</h1><div>By A. B.</div><p>{LONG}</p><div>(c) 2024 E</div>"
+    assert main_text(page) == f"T By A. B. {LONG.strip()}"
+
+
 def test_extract_keeps_columns_and_repeated_rows(spark):
     rows = [(1, "u", "<p>x</p>"), (1, "u", "<p>x</p>"), (None, None, None)]
     df = clashing(spark.createDataFrame(rows, "page_id long, url string, html string"))
