@@ -5,8 +5,8 @@ are summed over a sliding window; where the sum surges above the threshold of th
 page a block of main text begins, where it dives to nothing it ends, and the lines
 between are kept. Before that, parts that the markup itself names as something else
 are taken out (navigation, headers and footers of the page, asides, forms, scripts,
-notices, adverts, comments of readers), and when the page names its article the lines
-are those of the article.
+notices, adverts, comments of readers). Lines of an article or main element weigh more
+and are windows of their own, so the story beside a teaser is found by its weight.
 
 Defined cases: null and empty pages have empty text. Markup that is cut off, nested
 wrongly or left open is read as browsers do: a part that is never closed ends with the
@@ -21,6 +21,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import groupby
 from statistics import median
 
 import pyarrow as pa
@@ -37,6 +38,8 @@ SURGE = 0.15
 #: The share is of no less and no more than so many characters, so that neither pages
 #: of short lines nor the lines beside a very long one are lost.
 SURGE_CHARS, SURGE_MOST = 120, 300
+#: A line in an article weighs as much as so many of its length outside.
+ARTICLE = 4
 #: A line of rights is no longer than this.
 LEGAL_CHARS = 160
 
@@ -249,20 +252,35 @@ def _legal_tail(texts: list[str], sizes: list[int], threshold: float) -> set[int
 def main_text(page: str | None) -> str:
     """The main text of one page: its lines joined by single spaces."""
     found = list(lines(page or ""))
-    tail: set[int] = set()
-    if any(article for _, article, _, _ in found):
-        # The article is named: only its lines weigh, and its first one is the surge.
-        sizes = [len(text) if article else 0 for text, article, _, _ in found]
-        allowed, threshold = [bool(s) for s in sizes], 1.0
-    else:
-        # Lines that are links for the most part weigh nothing, like menus without a name.
-        sizes = [0 if link * 2 > len(text) else len(text) for text, _, link, _ in found]
-        threshold = _threshold(sizes)
-        tail = _legal_tail([text for text, _, _, _ in found], sizes, threshold)
-        sizes = [0 if k in tail else s for k, s in enumerate(sizes)]
-        allowed = [k not in tail for k in range(len(found))]
-    keep = between_surges(sizes, threshold, [title for _, _, _, title in found])
-    return " ".join(line[0] for line, k, a in zip(found, keep, allowed) if k and a)
+    # Lines that are links for the most part weigh nothing, like menus without a name,
+    # but in an article they are text.
+    weights = [
+        len(text) * (1 if link * 2 > len(text) else ARTICLE) if article else 0 if link * 2 > len(text) else len(text)
+        for text, article, link, _ in found
+    ]
+    # No window reaches over the border of an article; what is around one is read on.
+    parts: dict[int, list[int]] = {}
+    for k, (_, article, _, _) in enumerate(found):
+        parts.setdefault(article, []).append(k)
+    blocks: list[tuple[bool, int, list[int]]] = []  # in an article, weight, lines
+    for article, own in parts.items():
+        sizes, titles = [weights[k] for k in own], [found[k][3] for k in own]
+        threshold, tail = _threshold(sizes), set()
+        if not article:
+            tail = _legal_tail([found[k][0] for k in own], sizes, threshold)
+            sizes = [0 if k in tail else s for k, s in enumerate(sizes)]
+        kept = [k not in tail and inside for k, inside in enumerate(between_surges(sizes, threshold, titles))]
+        for inside, block in groupby(range(len(own)), key=lambda k: kept[k]):
+            if inside:
+                block = list(block)
+                blocks.append((bool(article), sum(sizes[k] for k in block), [own[k] for k in block]))
+    if not blocks:
+        return ""
+    # The heaviest block says whether the story is in an article; of the other kind only
+    # blocks stay that weigh half as much.
+    main, most, _ = max(blocks, key=lambda b: b[1])
+    stay = [k for article, weight, own in blocks if article == main or 2 * weight >= most for k in own]
+    return " ".join(found[k][0] for k in sorted(stay))
 
 
 def _extract(batches):

@@ -74,6 +74,26 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+TEASER = "<article class=card><h2>Next week</h2><p>Ten things to read.</p></article>"
+
+
+@pytest.mark.parametrize("around", ["{} " + TEASER, TEASER + " {}", TEASER * 4 + "{}" + TEASER * 4])
+def test_story_beside_a_teaser(around):
+    story = f"<h1>The title</h1><p>Opening.</p><p>{LONG}</p><p>{LONG}</p><p>The end.</p>"
+    page = f"<nav>Home</nav><div class=story>{around.format(story)}</div>"
+    assert main_text(page) == " ".join(["The title Opening.", LONG.strip(), LONG.strip(), "The end."])
+
+
+def test_story_goes_on_behind_a_teaser():
+    page = f"<div><p>{LONG}</p><p>{LONG}</p>{TEASER}<p>The end.</p></div>"
+    assert main_text(page) == " ".join([LONG.strip(), LONG.strip(), "The end."])
+
+
+def test_article_beside_lesser_text():
+    page = f"<div>Buy now, offers of the week</div><article><h1>T</h1><p>{LONG}</p><p>x</p></article><div><p>{LONG}</p></div>"
+    assert main_text(page) == f"T {LONG.strip()} x"
+
+
 def test_one_long_block_lifts_no_threshold():
     short = [f"Paragraph {i}: " + "something happened here. " * 12 for i in range(4)]
     long = "A very long report of a meeting. " * 600
