@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskflow.llm.tables import lean_batches, small, stored
+from maskflow.llm.tables import lean_batches, stored, without
 from maskflow.llm.words import mix, shingle_rows, word_hashes
 
 HASHES = 64
@@ -44,7 +44,7 @@ _LOW = (1 << 20) - 1
 #: Bytes of item text in one block; a longer item is a block of its own.
 BLOCK_BYTES = 8 << 20
 _FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
-_SCHEMA = "doc_id bigint, item_id bigint, n_item int, n_shared int, containment double"
+_SCHEMA = "doc_id bigint, item_id bigint, n_item int, n_shared int, containment double, digest bigint"
 
 
 def _minima(rows: np.ndarray, k: int) -> np.ndarray:
@@ -141,12 +141,12 @@ class Items:
 
 
 def _search(items, num: int, den: int):
-    names = ["doc_id", "item_id", "n_item", "n_shared", "containment"]
+    names = ["doc_id", "item_id", "n_item", "n_shared", "containment", "digest"]
 
     def run(batches):
         block = items.value
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            ids, digests = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             out, at = [], 0
             for group in word_hashes(texts):
@@ -157,7 +157,7 @@ def _search(items, num: int, den: int):
                     for d, i, shared in block.short_matches(joined, offsets, width):
                         n = len(block.sets[i])
                         if den * shared >= num * n:
-                            out.append((ids[at + d], block.ids[i], n, shared, shared / n))
+                            out.append((ids[at + d], block.ids[i], n, shared, shared / n, digests[at + d]))
                     pairs = block.candidates(joined, offsets, width)
                     for d in sorted({d for d, _ in pairs}):
                         whole = np.unique(rows[d])
@@ -168,10 +168,10 @@ def _search(items, num: int, den: int):
                             where = np.minimum(np.searchsorted(whole, item), len(whole) - 1)
                             shared = int((whole[where] == item).sum())
                             if den * shared >= num * len(item):
-                                out.append((ids[at + d], block.ids[i], len(item), shared, shared / len(item)))
+                                out.append((ids[at + d], block.ids[i], len(item), shared, shared / len(item), digests[at + d]))
                 at += len(group)
             if out:
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64()]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
     return run
@@ -194,9 +194,18 @@ def contaminated(
     A pair is found when ``den * n_shared >= num * n_item``, counted over the item's
     distinct shingles.
     """
+    return _pairs(spark, docs, items, width, num, den, id_col, text_col, item_col, item_text_col).drop("digest")
+
+
+def _pairs(
+    spark: SparkSession, docs: DataFrame, items: DataFrame, width: int, num: int, den: int,
+    id_col: str, text_col: str, item_col: str, item_text_col: str,
+) -> DataFrame:
+    """The rows of :func:`contaminated` with the hash of the document's text, ``digest``."""
     lean_batches(spark)
+    text = F.col(text_col).cast("string")
     texts = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("digest")
     )
     queries = items.select(
         F.col(item_col).cast("bigint").alias("item_id"), F.col(item_text_col).cast("string").alias("text")
@@ -213,11 +222,21 @@ def contaminated(
 
 
 def remove_contaminated(
-    spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options
+    spark: SparkSession,
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 5,
+    num: int = 8,
+    den: int = 10,
+    item_col: str = "item_id",
+    item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` that contain no item; rows with a null id stay."""
-    pairs = contaminated(spark, docs, items, id_col=id_col, **options)
-    gone = stored(spark, pairs.select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
-    return docs.join(
-        small(gone, gone.count(), 16), F.col(id_col).cast("bigint") == F.col("_gone"), "left_anti"
-    )
+    """The rows of ``docs`` that contain no item; rows with a null id stay.
+
+    Of several texts under one id only those go that contain an item.
+    """
+    pairs = _pairs(spark, docs, items, width, num, den, id_col, text_col, item_col, item_text_col)
+    gone = pairs.select(F.col("doc_id").alias("_gone"), F.col("digest").alias("_digest")).distinct()
+    return without(docs, stored(spark, gone, "contaminated"), id_col, text_col)

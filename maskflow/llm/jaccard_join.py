@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from maskflow.llm.components import components
-from maskflow.llm.tables import lean_batches, small, stored
+from maskflow.llm.tables import lean_batches, small, stored, without
 from maskflow.llm.words import mix, shingles, word_hashes
 
 #: The part of the hash space whose shingles are counted over all documents at first.
@@ -69,7 +69,7 @@ def _prefix(n, num: int, den: int):
 
 
 def shingle_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n, gid``: size and identity of each document's shingle set."""
+    """``doc_id, n, gid, digest``: size and identity of each document's shingle set, hash of its text."""
 
     def run(batches):
         for batch in batches:
@@ -78,12 +78,13 @@ def shingle_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> Dat
                 sizes.append(len(found))
                 ids.append(_set_id(found) if len(found) else None)
             yield pa.record_batch(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())],
-                ["doc_id", "n", "gid"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), batch.column(2)],
+                ["doc_id", "n", "gid", "digest"],
             )
 
-    plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string"))
-    return plain.mapInArrow(run, "doc_id bigint, n bigint, gid bigint")
+    text = F.col(text_col).cast("string")
+    plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text, F.xxhash64(text).alias("digest"))
+    return plain.mapInArrow(run, "doc_id bigint, n bigint, gid bigint, digest bigint")
 
 
 def _planes(tokens: np.ndarray) -> tuple[bytes, bytes]:
@@ -265,7 +266,10 @@ def _choose_prefixes(num: int, den: int, counted: float, ids_only: bool):
 
 
 def _send_sets(width: int):
-    """The set of each text, to every cell that asks for it."""
+    """The set of each text, to every cell that asks for it.
+
+    Texts are met by id; of several under one id only the one whose set is asked for counts.
+    """
     names = ["hub", "cell", "role", "gid", "high", "low"]
 
     def run(batches):
@@ -273,6 +277,8 @@ def _send_sets(width: int):
             out, size = [], 0
             ids, cells = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for gid, own, found in zip(ids, cells, _sets(_texts(batch.column(0)), width)):
+                if _set_id(found) != gid:
+                    continue
                 high = (found >> np.uint64(32)).astype(np.uint32).tobytes()
                 low = (found >> np.uint64(16)).astype(np.uint16).tobytes()
                 for c in own:
@@ -460,6 +466,13 @@ def near_classes(
     ``component_id`` is the smallest id that can be reached by links, the row itself
     included.
     """
+    return _classes(spark, docs, width, num, den, id_col, text_col).drop("digest")
+
+
+def _classes(
+    spark: SparkSession, docs: DataFrame, width: int, num: int, den: int, id_col: str, text_col: str
+) -> DataFrame:
+    """The rows of :func:`near_classes` with the hash of each text, ``digest``."""
     lean_batches(spark)
     sizes = stored(spark, shingle_sets(docs, width, id_col, text_col), "shingle-sets")
     members = stored(
@@ -518,6 +531,7 @@ def near_classes(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
+        "digest",
     )
 
 
@@ -577,12 +591,12 @@ def keep_one(
 ) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component is kept.
 
-    The smallest id stays. Rows with a null id, and rows that repeat an id, stay.
+    The smallest id stays. Rows with a null id stay, and so do rows that repeat the id
+    that stays. Of several texts under one id only those go that have a smaller id in
+    their component.
     """
-    classes = near_classes(spark, docs, width, num, den, id_col, text_col)
+    classes = _classes(spark, docs, width, num, den, id_col, text_col).filter("doc_id != component_id")
     gone = stored(
-        spark, classes.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone"
-    )
-    return docs.join(
-        small(gone, gone.count(), 16), F.col(id_col).cast("bigint") == F.col("_gone"), "left_anti"
+        spark, classes.select(F.col("doc_id").alias("_gone"), F.col("digest").alias("_digest")).distinct(), "gone"
     )
+    return without(docs, gone, id_col, text_col)

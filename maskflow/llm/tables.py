@@ -61,6 +61,16 @@ def small(frame: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(frame) if rows * row_bytes <= BROADCAST_BYTES else frame
 
 
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id and hash of the text are not in ``gone`` (``_gone``, ``_digest``)."""
+    return docs.join(
+        small(gone, gone.count(), 24),
+        (F.col(id_col).cast("bigint") == F.col("_gone"))
+        & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_digest")),
+        "left_anti",
+    )
+
+
 def join_hot(rows: DataFrame, keyed: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """Left join ``rows`` with ``keyed`` (one row per key, ``size`` rows each) on ``key``.
 

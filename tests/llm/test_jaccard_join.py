@@ -110,3 +110,18 @@ def test_components(spark):
     found = {r.node: r.component for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 50: 50, 51: 50, 52: 50}
     assert components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_several_texts_under_one_id(spark):
+    g = random.Random(17)
+    bases = [" ".join(f"w{g.randrange(4000)}" for _ in range(60)) for _ in range(8)]
+    texts = [t for k, b in enumerate(bases) for t in variants(k, b, 9, 2)]
+    g.shuffle(texts)
+    check(spark, [(i % 12, t) for i, t in enumerate(texts)])
+
+
+def test_keep_one_leaves_clean_text_under_a_repeated_id(spark):
+    copied, clean = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, copied), (5, copied + " more"), (5, clean), (6, None), (7, clean + " more")]
+    found = keep_one(spark, spark.createDataFrame(rows, TEXTS), 5, 80, 100)
+    assert Counter(map(tuple, found.collect())) == Counter([rows[0], rows[2], rows[3]])

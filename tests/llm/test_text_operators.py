@@ -237,3 +237,9 @@ def test_remove_contaminated(spark):
     items = spark.createDataFrame([(1, "One two three four five SIX")], "item_id long, text string")
     assert Counter(r.doc_id for r in remove_contaminated(spark, df, items).collect()) == Counter([2, None])
     assert remove_contaminated(spark, df, items.limit(0)).count() == 3
+
+
+def test_clean_text_under_the_id_of_a_contaminated_one_stays(spark):
+    rows = [(1, "one two three four five six"), (1, "clean"), (1, None)]
+    items = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    assert Counter(r.text for r in remove_contaminated(spark, spark.createDataFrame(rows, TEXTS), items).collect()) == Counter(["clean", None])
