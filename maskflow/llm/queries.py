@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskflow.llm import cotraining, decontaminate, exact_dedup, html_text, jaccard_join, maxent_lm, pieces, secret_scan, suffix_dedup, warc
+from maskflow.llm import collocations, cotraining, decontaminate, exact_dedup, html_text, jaccard_join, maxent_lm, periodic_runs, pieces, private_data, secret_scan, suffix_dedup, warc
 from maskflow.session import scratch_path
 
 #: The vocabulary file of the piece encoder: a file that the driver can read.
@@ -124,3 +124,64 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(spark, table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.scan(spark, table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs.detect(spark, docs, prepare=periodic_runs.looped)
+    names = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256"]
+    return found.select(*names, F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query(
+    r"""
+    WITH texts AS (
+      SELECT coalesce(lang, 'und') AS lang,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+      FROM documents
+    ), pieces AS (
+      SELECT lang, unnest(regexp_split_to_array(low, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts
+    ), rows AS (
+      SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces
+    ), grams AS (
+      SELECT lang, 1 AS m, unnest(ws) AS phrase FROM rows
+      UNION ALL
+      SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: array_to_string(ws[i:i + 1], ' '))) FROM rows
+      UNION ALL
+      SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) FROM rows
+    ), f AS (
+      SELECT lang, m, phrase, count(*)::HUGEINT AS a FROM grams GROUP BY ALL
+    ), total AS (
+      SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang
+    ), cand AS (
+      SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND a >= 10
+    ), cuts AS (
+      SELECT lang, m, phrase, a, k, array_to_string(ws[1:k], ' ') AS p, array_to_string(ws[k + 1:], ' ') AS q
+      FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)
+    ), scored AS (
+      SELECT c.lang, c.m, c.phrase, c.a, c.k, x.a AS l, y.a AS r, (1000000 * c.a * c.a) // (x.a * y.a) AS score
+      FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.p JOIN f y ON y.lang = c.lang AND y.phrase = c.q
+    ), lowest AS (
+      SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), within AS (
+      SELECT lang, part, max(a) AS most
+      FROM (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS part FROM cand WHERE m = 3)
+      GROUP BY ALL
+    ), kept AS (
+      SELECT s.* FROM lowest s LEFT JOIN within w ON w.lang = s.lang AND w.part = s.phrase
+      WHERE s.m = 3 OR w.most IS NULL OR 100 * w.most < 50 * s.a
+    )
+    SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY k.score DESC, k.a DESC, k.phrase) AS rank,
+           k.phrase, k.a::BIGINT AS a, k.l::BIGINT AS l, k.r::BIGINT AS r, t.n, k.score::BIGINT AS score
+    FROM kept k JOIN total t USING (lang)
+    QUALIFY rank <= 2000
+    """
+)
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(spark, table(spark, sf_dir, "documents"))
