@@ -10,7 +10,8 @@ of at most ``2 length`` bytes. Only anchors that occur more than once go on. Equ
 contexts are settled by their hash. Contexts that share an anchor and differ are put
 together in a run-length index of bounded size, whose matching statistics mark the
 windows that occur twice. An anchor with more contexts than one index may hold is
-indexed in parts, and its remaining windows are counted over all parts by hash.
+indexed in parts; the hashes of its remaining windows leave a part as packed blocks,
+one for each share of the hashes, and are compared over all parts as sorted arrays.
 
 Within a batch of texts equal contexts are combined before the shuffle, so a passage
 in a third of all documents sends one row per batch, not one per document.
@@ -40,6 +41,8 @@ ANCHOR = 32
 #: Bytes of contexts in one index, and contexts of one anchor that it may hold.
 INDEX_BYTES = 1 << 20
 INDEX_CONTEXTS = 512
+#: Windows of anchors in parts that are compared in one share, about.
+SHARE_WINDOWS = 1 << 20
 _U = np.uint64
 _BASE = 0xD1342543DE82EF95
 
@@ -212,18 +215,18 @@ def _context_rows(*columns):
     return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
 
-_MARKS = "k bigint, lo bigint, hi bigint, window bigint, twice boolean"
+_MARKS = "k bigint, lo bigint, hi bigint, share int, block binary"
 
 
-def _index(length: int):
+def _index(length: int, shares: int):
     """Marks of repeated windows, by one index after the other.
 
     Contexts come sorted by anchor and part. An index closes at an anchor's end. An
     anchor in several parts has an index for each, in whichever task the part is; the
     windows that it does not mark are passed on by hash, with one of each kind that it
-    does.
+    does: a block for each share of the hashes.
     """
-    names = ["k", "lo", "hi", "window", "twice"]
+    names = ["k", "lo", "hi", "share", "block"]
 
     def indexed(k, lo, data, partial):
         index = RunIndex(data)
@@ -233,25 +236,31 @@ def _index(length: int):
         keys = np.array(k)[owner]
         start = np.flatnonzero(np.diff(np.r_[0, hit.view(np.int8)]) == 1)
         stop = np.flatnonzero(np.diff(np.r_[hit.view(np.int8), 0]) == -1)
-        blank = np.zeros(len(start), np.int64)
-        out = [keys[start], at[start], at[stop] + length, blank, blank.astype(bool)]
+        out = [pa.array(keys[start]), pa.array(at[start]), pa.array(at[stop] + length)]
+        yield pa.record_batch(
+            [*out, pa.nulls(len(start), pa.int32()), pa.nulls(len(start), pa.binary())], names
+        )
         if partial:
             text = np.frombuffer(b"\xff".join(data) + b"\xff", np.uint8)
             windows = np.flatnonzero(index.left >= length)
-            value = hashes(text, windows, windows + length, BYTES).view(np.int64)
+            value = hashes(text, windows, windows + length, BYTES)
             marked = hit[windows]
             _, one = np.unique(value[marked], return_index=True)
             send = np.r_[windows[~marked], windows[marked][one]]
             value = np.r_[value[~marked], value[marked][one]]
             twice = np.r_[np.zeros(int((~marked).sum()), bool), np.ones(len(one), bool)]
-            more = [keys[send], at[send], at[send] + length, value, twice]
-            out = [np.r_[a, b] for a, b in zip(out, more)]
-        mask = np.zeros(len(out[0]), bool)
-        mask[: len(start)] = True
-        window = pa.array(out[3], pa.int64(), mask=mask)
-        return pa.record_batch(
-            [pa.array(out[0]), pa.array(out[1]), pa.array(out[2]), window, pa.array(out[4])], names
-        )
+            share = (value % _U(shares)).astype(np.int64)
+            order = np.argsort(share, kind="stable")
+            share, value, twice, send = share[order], value[order], twice[order], send[order]
+            cut = np.flatnonzero(np.diff(share, prepend=-1))
+            blocks = [
+                b"".join(x[a:b].tobytes() for x in (value, keys[send], at[send], twice))
+                for a, b in zip(cut, np.append(cut[1:], len(share)))
+            ]
+            none = pa.nulls(len(cut), pa.int64())
+            yield pa.record_batch(
+                [none, none, none, pa.array(share[cut].astype(np.int32)), pa.array(blocks, pa.binary())], names
+            )
 
     def run(batches):
         k, lo, data, size, current, split = [], [], [], 0, None, False
@@ -259,7 +268,7 @@ def _index(length: int):
             for anchor, part, parts, own, at, text in zip(*(batch.column(c).to_pylist() for c in range(6))):
                 if (anchor, part) != current:
                     if data and (size > INDEX_BYTES or split or parts > 1):
-                        yield indexed(k, lo, data, split)
+                        yield from indexed(k, lo, data, split)
                         k, lo, data, size = [], [], [], 0
                     current, split = (anchor, part), parts > 1
                 k.append(own)
@@ -267,7 +276,45 @@ def _index(length: int):
                 data.append(text)
                 size += len(text)
         if data:
-            yield indexed(k, lo, data, split)
+            yield from indexed(k, lo, data, split)
+
+    return run
+
+
+def _compare(length: int):
+    """Windows of anchors in parts that occur again in any part, as spans of their texts."""
+
+    def found(blocks):
+        columns = []
+        for block in blocks:
+            n = len(block) // 25
+            kinds = (np.uint64, 0), (np.int64, 8 * n), (np.int64, 16 * n), (bool, 24 * n)
+            columns.append([np.frombuffer(block, kind, n, place) for kind, place in kinds])
+        value, k, lo, twice = (np.concatenate(c) for c in zip(*columns))
+        order = np.argsort(value, kind="stable")
+        value, k, lo, twice = value[order], k[order], lo[order], twice[order]
+        at = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
+        size = np.diff(np.append(at, len(value)))
+        again = np.repeat((size > 1) | np.logical_or.reduceat(twice, at), size) & ~twice
+        k, lo = k[again], lo[again]
+        order = np.lexsort((lo, k))
+        k, lo = k[order], lo[order]
+        # Windows that touch are one span.
+        first = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (lo[1:] > lo[:-1] + length)]) if len(k) else order
+        last = np.append(first[1:], len(k)) - 1 if len(k) else order
+        return pa.record_batch([pa.array(k[first]), pa.array(lo[first]), pa.array(lo[last] + length)], ["k", "lo", "hi"])
+
+    def run(batches):
+        current, blocks = None, []
+        for batch in batches:
+            for share, block in zip(*(c.to_pylist() for c in batch.columns)):
+                if share != current and blocks:
+                    yield found(blocks)
+                    blocks = []
+                current = share
+                blocks.append(block)
+        if blocks:
+            yield found(blocks)
 
     return run
 
@@ -344,20 +391,22 @@ def repeated_spans(
     )
     # The side grows with the documents, so it is always met by a shuffle.
     sent = texts.select("text", "k").join(asked.hint("merge"), F.col("k") == F.col("_k")).select("text", "k", "wanted")
+    # Each part has at most so many windows; the shares grow with the parts.
+    parted = many.agg(F.sum("parts")).first()[0] or 0
+    shares = 1 + parted * INDEX_CONTEXTS * length // SHARE_WINDOWS
     marks = stored(
         spark,
         sent.mapInArrow(_send_contexts(), _CONTEXTS)
-        .repartition("anchor", "part").sortWithinPartitions("anchor", "part").mapInArrow(_index(length), _MARKS),
+        .repartition("anchor", "part").sortWithinPartitions("anchor", "part").mapInArrow(_index(length, shares), _MARKS),
         "marks",
     )
     # Windows of anchors that were indexed in parts: repeated when any part says so.
-    windows = marks.filter("window is not null")
-    known = windows.groupBy("window").agg((F.count(F.lit(1)) > 1).alias("many"), F.max("twice").alias("t"))
-    late = windows.join(known.filter("many or t").select("window"), "window")
+    blocks = marks.filter("share is not null").select("share", "block")
+    late = blocks.repartition("share").sortWithinPartitions("share").mapInArrow(_compare(length), "k bigint, lo bigint, hi bigint")
     spans = (
         found.filter("whole").select("k", "lo", "hi")
-        .unionByName(marks.filter("window is null").select("k", "lo", "hi"))
-        .unionByName(late.select("k", "lo", "hi"))
+        .unionByName(marks.filter("share is null").select("k", "lo", "hi"))
+        .unionByName(late)
     )
     lists = spans.groupBy("k").agg(F.collect_list(F.struct("lo", "hi")).alias("all"))
     return lists.mapInArrow(_merged, "k bigint, spans binary")

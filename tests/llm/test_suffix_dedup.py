@@ -67,6 +67,15 @@ def test_one_passage_with_different_neighbours(spark, monkeypatch):
     check(spark, [(i, text() + passage + text()) for i in range(40)])
 
 
+def test_two_thousand_contexts_of_one_anchor(spark):
+    """More contexts than an index holds, at its real size; only marks and blocks leave it."""
+    g = random.Random(8)
+    draw = lambda n, kinds: "".join(g.choice(kinds) for _ in range(n))
+    passage = draw(230, "abcdefghij ")
+    cut = lambda: passage[g.randint(0, 20) : 230 - g.randint(0, 20)]
+    check(spark, [(i, draw(g.randint(0, 90), "uvwxyz ") + cut() + draw(g.randint(0, 90), "uvwxyz ")) for i in range(2_000)])
+
+
 def test_run_index_against_counting():
     g = random.Random(3)
     for _ in range(150):
