@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from maskflow.llm.tables import join_hot, lean_batches, stored
+from maskflow.llm.tables import join_hot, lean_batches, small, stored
 from maskflow.llm.words import PIECE, hashes, mix
 
 #: Share of all words above which a word's stripes are dealt by next word too.
@@ -41,6 +41,8 @@ HOT = 1 / 10_000
 FLUSH, BUCKET_WORDS = 1_500_000, 1_000_000
 #: Distinct words that a task holds before it sends their counts.
 DISTINCT = 200_000
+#: Scores that are counted as one at first.
+STEP = 1_000
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".,;:!?\n\x0b\x0c\r")] = True
 _OUTSIDE = _ENDS.copy()
@@ -326,21 +328,30 @@ def mine(
         F.when(F.col("s1") <= F.col("s2"), F.col("f23")).otherwise(F.col("f3")).alias("r"),
         F.least("s1", "s2").alias("score"),
     )
-    return _ranked(stored(spark, short.unionByName(long), "phrases"), top).join(F.broadcast(per_lang), "lang").select(
+    per_lang = stored(spark, per_lang, "languages")
+    langs = per_lang.count()
+    ranked = _ranked(stored(spark, short.unionByName(long), "phrases"), top, langs)
+    return ranked.join(small(per_lang, langs, 64), "lang").select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score"
     )
 
 
-def _ranked(phrases: DataFrame, top: int) -> DataFrame:
+def _ranked(phrases: DataFrame, top: int, langs: int) -> DataFrame:
     """The first ``top`` of each language.
 
-    Scores are whole numbers up to a million: counting them first finds the score that reaches
-    ``top``, so that about so many phrases, and the ties of the last score, are ranked.
+    Scores are whole numbers up to a million: counting them first, by thousands and then one by
+    one, finds the score that reaches ``top``, so that about so many phrases, and the ties of
+    the last score, are ranked. A language has some thousand counts in either step.
     """
-    levels = phrases.groupBy("lang", "score").agg(F.count(F.lit(1)).alias("m"))
-    above = F.sum("m").over(Window.partitionBy("lang").orderBy(F.col("score").desc()))
-    needed = levels.withColumn("upto", above).filter(F.col("upto") - F.col("m") < top)
-    last = needed.groupBy("lang").agg(F.min("score").alias("last"))
-    near = phrases.join(last, "lang").filter(F.col("score") >= F.col("last")).drop("last")
+    near = phrases.withColumn("level", F.floor(F.col("score") / STEP))
+    for _ in range(2):
+        levels = near.groupBy("lang", "level").agg(F.count(F.lit(1)).alias("m"))
+        above = F.sum("m").over(Window.partitionBy("lang").orderBy(F.col("level").desc()))
+        needed = levels.withColumn("upto", above).filter(F.col("upto") - F.col("m") < top)
+        last = needed.groupBy("lang").agg(F.min("level").alias("last"))
+        near = near.join(small(last, langs, 64), "lang").filter(F.col("level") >= F.col("last"))
+        # Above the last level all stay, so they are one level; within it each score is one.
+        near = near.withColumn("level", F.least("score", (F.col("last") + 1) * STEP)).drop("last")
+    near = near.drop("level")
     best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     return near.withColumn("rank", F.row_number().over(best).cast("bigint")).filter(F.col("rank") <= top)
