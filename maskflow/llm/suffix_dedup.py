@@ -42,7 +42,7 @@ ANCHOR = 32
 INDEX_BYTES = 1 << 20
 INDEX_CONTEXTS = 512
 #: Windows of anchors in parts that are compared in one share, about.
-SHARE_WINDOWS = 1 << 20
+SHARE_WINDOWS = 1 << 16
 _U = np.uint64
 _BASE = 0xD1342543DE82EF95
 
