@@ -38,7 +38,7 @@ from maskflow.llm.words import PIECE, hashes, mix
 #: Share of all words above which a word's stripes are dealt by next word too.
 HOT = 1 / 10_000
 #: Words that a task gathers before it sends stripes, and words whose stripes share a bucket.
-FLUSH, BUCKET_WORDS = 1_500_000, 1_000_000
+FLUSH, BUCKET_WORDS = 1_000_000, 1_000_000
 #: Distinct words that a task holds before it sends their counts.
 DISTINCT = 200_000
 #: Scores that are counted as one at first.
