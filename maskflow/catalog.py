@@ -108,6 +108,51 @@ def translate_large_lookup(spark, sf_dir):
     )
 
 
+_HOT_SQL = """
+    select l_orderkey, l_linenumber, o_orderpriority as priority
+    from (select l_orderkey, l_linenumber, case when l_linenumber % 3 = 0 then 1 when l_linenumber % 3 = 1 then l_orderkey end as k
+          from lineitem) l left join orders o on l.k = o.o_orderkey"""
+
+
+def _hot_lines(lineitem: DataFrame) -> DataFrame:
+    """Lines of which a third have one key and a third have none."""
+    rest = F.col("l_linenumber") % 3
+    key = F.when(rest == 0, F.lit(1).cast("long")).when(rest == 1, F.col("l_orderkey"))
+    return lineitem.select("l_orderkey", "l_linenumber", key.alias("k"))
+
+
+@query(_HOT_SQL)
+def translate_hot_key(spark, sf_dir):
+    """A lookup past the broadcast limit, pinned: a sketch finds the hot key, its row is broadcast."""
+    lookup = op.prepare_lookup(
+        table(spark, sf_dir, "orders"), "o_orderkey", "o_orderpriority", broadcast_limit=0, cache=True, mark_first=False
+    )
+    lines = _hot_lines(table(spark, sf_dir, "lineitem"))
+    return op.translate(lines, "k", "priority", lookup).drop("k")
+
+
+@query(_HOT_SQL)
+def stream_hot_key(spark, sf_dir):
+    """The same in a stream: every micro-batch is joined as a batch, with hot keys of its own."""
+    lookup = op.prepare_lookup(
+        table(spark, sf_dir, "orders"), "o_orderkey", "o_orderpriority", broadcast_limit=0, cache=True, salts=1
+    )
+    step = op.translate_step("k", "priority", lookup, "orders", "o_orderkey", "o_orderpriority")
+    schema = table(spark, sf_dir, "lineitem").schema
+    records = _hot_lines(spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parq*"))
+    audited = op.apply_audited(records, [step], "l_orderkey", "p")
+    root = scratch_path(spark, "hot-stream")
+    data, trail = op.split_audit(audited, "l_orderkey")
+    sinks = TableSink(f"{root}/data", data.schema), FileSink(f"{root}/audit", trail.schema)
+    run = start_pipeline(
+        audited, "l_orderkey", *sinks, f"{root}/checkpoint", "hot-key", available_now=True,
+        records=records, prepare=lambda batch: op.apply_audited(batch, [step], "l_orderkey", "p"),
+    )
+    run.await_termination()
+    lookup.close()
+    return sinks[0].read(spark).drop("k")
+
+
 @query(
     """select o.o_orderkey, l.l_partkey as part
        from orders o left join lineitem l on o.o_orderkey = l.l_orderkey"""

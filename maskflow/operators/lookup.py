@@ -9,11 +9,13 @@ columns. The measurement decides what must not be guessed:
 
 Beyond the limit the join shuffles, and a key may be hot on either side.
 
-Many records with one key: both sides are left as shuffles of a sort-merge
-join, the form in which adaptive execution splits a partition that is too
-large. Where that is switched off, or a stream keeps the lookup laid out by
-key, the lookup is copied under several salts and the records are spread over
-them. Records without a key match nothing and are spread over all tasks.
+Many records with one key: a sketch of the records' keys names those with more than
+``HOT_SHARE`` of the rows, a thousand at most. Their lookup rows alone are broadcast; the
+records that they serve, and those without a key, have nothing to meet in the shuffle
+and are spread over all tasks. So no key is hot there, whatever the lookup's size, whether
+or not adaptive execution runs and however the lookup is laid out. A streaming frame
+cannot be sketched beforehand: pipelines join each micro-batch as a batch, and where a
+lookup is joined to a stream directly it is copied under several salts.
 
 Many lookup rows with one key: past ``GROUP_ROWS`` they are divided into chunks,
 and a record is first told how many chunks its key has, then joined to each.
@@ -21,11 +23,12 @@ and a record is first told how many chunks its key has, then joined to each.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import named
 
@@ -33,6 +36,12 @@ BROADCAST_LIMIT_BYTES = 64 << 20
 REPLICATION_BUDGET_BYTES = 16 << 30
 MAX_SALTS = 16
 GROUP_ROWS = 100_000
+#: A key is hot with more than this share of the records; at most 1 / HOT_SHARE keys can be.
+HOT_SHARE = 1 / 1000
+#: Keys the sketch tracks. Its error is 3.5 / 16384 of the records, a fifth of HOT_SHARE.
+SKETCH_KEYS = 10_000
+#: A task's share of the lookup that may be built into a hash table; sorted beyond it.
+HASH_BUILD_BYTES = 64 << 20
 
 # Bytes a row costs in a broadcast hash table beyond its own text.
 _ROW_OVERHEAD = 64
@@ -62,6 +71,10 @@ class Lookup:
     salts: int
     chunks: DataFrame | None = None
     cached: list[DataFrame] = field(default_factory=list)
+    bytes: int = 0
+    key_bytes: int = 0  # the most that the rows of one key take
+    limit: int = BROADCAST_LIMIT_BYTES
+    hot_share: float | None = HOT_SHARE
 
     def close(self) -> None:
         for table in self.cached:
@@ -78,13 +91,15 @@ def prepare_lookup(
     group_rows: int = GROUP_ROWS,
     cache: bool = False,
     mark_first: bool = True,
+    hot_share: float | None = HOT_SHARE,
 ) -> Lookup:
     """Measure a lookup table and fix how it is joined.
 
     ``mark_first`` tells one copy of each record apart where a key has several
     rows; the audit trail needs that. ``cache`` pins the snapshot for plans
     that read it many times, such as a stream that joins it in every
-    micro-batch; ``close()`` lets it go.
+    micro-batch; ``close()`` lets it go. ``hot_share`` None leaves the records'
+    keys unread, and hot ones to adaptive execution or salts.
     """
     if on_duplicate_key not in ("fanout", "error"):
         raise ValueError(f"on_duplicate_key must be 'fanout' or 'error', not {on_duplicate_key!r}")
@@ -99,10 +114,10 @@ def prepare_lookup(
     # Whether keys repeat matters for marks, for promises, and for hot keys in a
     # shuffle; a plain broadcast join need not count.
     counted = mark_first or on_duplicate_key == "error"
-    n_bytes, copies = _measure(rows, counted)
+    n_bytes, copies, key_bytes = _measure(rows, counted)
     small = n_bytes <= broadcast_limit
     if not (small or counted):
-        n_bytes, copies = _measure(rows, True)
+        n_bytes, copies, key_bytes = _measure(rows, True)
     if copies > 1 and on_duplicate_key == "error":
         raise ValueError(f"lookup key {key!r} is not unique: one key occurs {copies} times")
 
@@ -126,6 +141,10 @@ def prepare_lookup(
         marked,
         salts,
         chunks,
+        bytes=n_bytes,
+        key_bytes=key_bytes,
+        limit=max(broadcast_limit, BROADCAST_LIMIT_BYTES),
+        hot_share=hot_share,
     )
     return _pin(lookup) if cache else lookup
 
@@ -140,7 +159,7 @@ def join_lookup(df: DataFrame, source: str, destination: str, lookup: Lookup) ->
     if lookup.broadcast:
         joined = df.join(F.broadcast(lookup.rows), named(source) == F.col(KEY), "left")
     elif lookup.chunks is None:
-        joined = _spread_left_join(df, named(source), lookup.rows, lookup.salts)
+        joined = _shuffled_left_join(df, named(source), lookup)
     else:
         joined = _chunked_left_join(df, source, lookup)
     added = {destination: F.col(VALUE)}
@@ -149,15 +168,65 @@ def join_lookup(df: DataFrame, source: str, destination: str, lookup: Lookup) ->
     return joined.withColumns(added).drop(KEY, VALUE, _CHUNK, _CHUNKS, "__row_chunk")
 
 
-def _measure(rows: DataFrame, count_copies: bool) -> tuple[int, int]:
-    """Bytes the rows take as a hash table, and the most rows any key has."""
+def heavy_keys(df: DataFrame, key: Column, share: float = HOT_SHARE) -> list:
+    """All keys with more than ``share`` of the rows, and perhaps some that have nearly so many.
+
+    One pass that reads the key only, by a mergeable sketch of frequent items; its
+    size does not depend on the table. Keys of a type that it does not take are counted.
+    """
+    keys = df.select(key.alias("k")).where(F.col("k").isNotNull())
+    most = int(1 / share)
+    if isinstance(keys.schema["k"].dataType, (T.BinaryType, T.ArrayType, T.StructType)):
+        total = keys.count()
+        return [r.k for r in keys.groupBy("k").count().where(F.col("count") > share * total).collect()]
+    found = keys.agg(
+        F.count("*").alias("n"), F.call_function("approx_top_k", "k", F.lit(most), F.lit(max(SKETCH_KEYS, most))).alias("top")
+    ).first()
+    # An estimate is never below the true count.
+    return [item["item"] for item in found.top or [] if item["count"] > share * found.n]
+
+
+def _shuffled_left_join(df: DataFrame, key: Column, lookup: Lookup) -> DataFrame:
+    """Left join by shuffle, with hot keys met by a broadcast of their rows alone.
+
+    One pass over the records: those that a hot key has served go on without a key.
+    """
+    rows, laid_out = lookup.rows, _SALT in lookup.rows.columns
+    if df.isStreaming or lookup.hot_share is None:
+        return _spread_left_join(df, key, rows, lookup.salts)
+    salts = lookup.salts if laid_out else 1
+    hash_build = lookup.bytes // _partitions(df.sparkSession) <= HASH_BUILD_BYTES
+    hot = heavy_keys(df, key, lookup.hot_share)
+    # A key with more rows than fit is left to the shuffle, where its rows are in one task.
+    hot = hot[: lookup.limit // max(1, lookup.key_bytes)]
+    if not hot:
+        return _spread_left_join(df, key, rows, salts, hash_build=hash_build)
+    kept = [c for c in rows.columns if c != _SALT]
+    one = rows.where(F.col(_SALT) == 0) if laid_out else rows
+    few = one.where(F.col(KEY).isin(hot)).select(*[F.col(c).alias(f"__hot{c}") for c in kept])
+    met = df.join(F.broadcast(few), key == F.col(f"__hot{KEY}"), "left")
+    served = F.col(f"__hot{KEY}").isNotNull()
+    # A hot key that the lookup lacks matches nothing in the shuffle either.
+    missed = key.isin(hot)
+    rest = F.when(~served & ~missed, key)
+    joined = _spread_left_join(met, rest, rows, salts, hash_build=hash_build)
+    chosen = {c: F.when(served, F.col(f"__hot{c}")).otherwise(F.col(c)) for c in kept}
+    return joined.withColumns(chosen).drop(*[f"__hot{c}" for c in kept])
+
+
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _measure(rows: DataFrame, count_copies: bool) -> tuple[int, int, int]:
+    """Bytes the rows take as a hash table, and the most rows and bytes any key has."""
     width = F.sum(_width(KEY) + _width(VALUE) + F.lit(_ROW_OVERHEAD)).alias("bytes")
     if count_copies:
         per_key = rows.groupBy(KEY).agg(width, F.count("*").alias("n"))
-        found = per_key.agg(F.sum("bytes"), F.max("n")).first()
+        found = per_key.agg(F.sum("bytes"), F.max("n"), F.max("bytes")).first()
     else:
-        found = rows.agg(width, F.lit(0)).first()
-    return int(found[0] or 0), int(found[1] or 0)
+        found = rows.agg(width, F.lit(0), F.lit(0)).first()
+    return int(found[0] or 0), int(found[1] or 0), int(found[2] or 0)
 
 
 def _width(column: str) -> Column:
@@ -182,16 +251,15 @@ def _salts_for(spark: SparkSession, n_bytes: int, cache: bool) -> int:
 def _pin(lookup: Lookup) -> Lookup:
     """Keep the snapshot on the executors, a shuffled one laid out by the join keys."""
     rows = lookup.rows
-    if not lookup.broadcast and lookup.salts > 1 and lookup.chunks is None:
-        # Later joins then move only records. Without salts it is not laid out:
-        # adaptive execution must see a shuffle on both sides to split a hot key.
-        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    divided = lookup.salts > 1 or lookup.hot_share is not None
+    if not lookup.broadcast and divided and lookup.chunks is None:
+        # Later joins then move only records. Where nothing else divides a hot key it is not
+        # laid out: adaptive execution must see a shuffle on both sides to split it.
+        partitions = _partitions(rows.sparkSession)
         rows = _replicate(rows, lookup.salts).repartition(partitions, KEY, _SALT)
     tables = [rows] if lookup.chunks is None else [rows, lookup.chunks]
     pinned = [table.persist(StorageLevel.MEMORY_AND_DISK) for table in tables]
-    return Lookup(
-        rows, lookup.broadcast, lookup.marked, lookup.salts, lookup.chunks, pinned
-    )
+    return replace(lookup, rows=rows, cached=pinned)
 
 
 def _divide(rows: DataFrame, salts: int, group_rows: int) -> DataFrame:
@@ -236,6 +304,7 @@ def _spread_left_join(
     salts: int,
     right_key: str = KEY,
     also: Column | None = None,
+    hash_build: bool = False,
 ) -> DataFrame:
     """Left join on a key by shuffle, with the left side spread over the salts.
 
@@ -252,8 +321,10 @@ def _spread_left_join(
     if also is not None:
         on = on & also
     # The right side was measured as too large to broadcast; an estimate of
-    # Spark's must not decide otherwise.
-    joined = df.withColumn("__row_salt", salt).join(right.hint("merge"), on, "left")
+    # Spark's must not decide otherwise. Where a task's share of it is small,
+    # a hash table of that share saves sorting both sides.
+    hinted = right.hint("shuffle_hash" if hash_build else "merge")
+    joined = df.withColumn("__row_salt", salt).join(hinted, on, "left")
     return joined.drop("__row_salt", _SALT)
 
 

@@ -44,6 +44,13 @@ class Plan:
     rejected: DataFrame | None = None
     rejected_sink: FileSink | None = None
     lookups: list[Lookup] = field(default_factory=list)
+    records: DataFrame | None = None
+    steps: list[Step] = field(default_factory=list)
+
+    @property
+    def per_batch(self) -> bool:
+        """Whether a stream joins batch by batch: a batch's hot keys can be told, a stream's not."""
+        return any(not lookup.broadcast and lookup.hot_share is not None for lookup in self.lookups)
 
     @property
     def good(self) -> DataFrame:
@@ -98,6 +105,8 @@ def build(
         rejected=rejected,
         rejected_sink=_rejected_sink(pipeline, default_env),
         lookups=lookups,
+        records=records,
+        steps=steps,
     )
 
 
@@ -163,6 +172,8 @@ def run_stream(
             available_now,
             plan.rejected_sink,
             CORRUPT,
+            records=plan.records if plan.per_batch else None,
+            prepare=lambda batch: apply_audited(batch, plan.steps, plan.primary, pipeline_id),
         )
     except Exception:
         plan.close()
@@ -236,7 +247,8 @@ def _step(
         transform.key_column,
         transform.value_column,
         transform.on_duplicate_key,
-        # A stream joins the lookup again in every micro-batch.
+        # A stream joins the lookup again in every micro-batch, each one as a batch.
+        salts=1 if streaming else None,
         cache=streaming,
     )
     lookups.append(lookup)

@@ -87,6 +87,8 @@ def start_pipeline(
     available_now: bool = False,
     rejected_sink: Sink | None = None,
     malformed: str | None = None,
+    records: DataFrame | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Run:
     """Start writing an audited stream to its sinks.
 
@@ -95,6 +97,10 @@ def start_pipeline(
     micro-batch and are written under the same query and batch id. They cannot
     drift apart, nor start at different offsets. Sinks of different pace are all
     written at the shortest.
+
+    With ``records`` the stream is of those, and ``prepare`` makes each micro-batch
+    into the audited rows that ``audited`` describes: joins that first look at the
+    keys of what they join need a batch.
     """
     spark = audited.sparkSession
     tags = audit_tags(audited)
@@ -106,6 +112,10 @@ def start_pipeline(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         query_id = _query_id(batch)
+        whole = batch
+        if records is not None:
+            whole.persist(StorageLevel.MEMORY_AND_DISK)
+            batch = prepare(whole)
         # All writes read the batch; fetching and decoding it once is worth
         # the storage. What an executor loses is computed again.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -116,15 +126,16 @@ def start_pipeline(
                 bad = batch.where(text.isNotNull()).select(text.alias("value"))
                 rejected_sink.write(bad, query_id, batch_id)
                 good = batch.where(text.isNull()).drop(malformed)
-            records, entries = split_audit(good, primary, tags)
-            data_sink.write(records, query_id, batch_id)
+            cleaned, entries = split_audit(good, primary, tags)
+            data_sink.write(cleaned, query_id, batch_id)
             audit_sink.write(entries, query_id, batch_id)
         finally:
             batch.unpersist()
+            whole.unpersist()
 
     paces = [s.trigger_seconds for s in (data_sink, audit_sink)]
     pace = None if None in paces else min(paces)
-    query = _start(audited, write, checkpoint, name, pace, available_now)
+    query = _start(audited if records is None else records, write, checkpoint, name, pace, available_now)
     return Run(spark, [query], data_sink, audit_sink)
 
 

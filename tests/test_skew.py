@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from maskflow.operators import lookup as lookup_module
 from maskflow.operators import prepare_lookup, translate
 
 ROWS = 60_000
@@ -55,11 +56,53 @@ def expected(records):
 
 
 def test_adaptive_execution_splits_the_hot_key(spark, small_partitions, records, table):
-    out = translate(records, "k", "v", table, "key", "value", broadcast_limit=0)
+    out = translate(records, "k", "v", table, "key", "value", broadcast_limit=0, hot_share=None)
     assert sorted(map(tuple, out.collect())) == expected(records)
     assert "SortMergeJoin(skew=true)" in final_plan(out)
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("cache", [False, True])
+@pytest.mark.parametrize("budget", [0, 16 << 30])
+def test_hot_keys_are_broadcast_at_any_size(spark, records, table, monkeypatch, adaptive, cache, budget):
+    """With or without adaptive execution, pinned or not, with or without room for copies."""
+    monkeypatch.setattr(lookup_module, "REPLICATION_BUDGET_BYTES", budget)
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    lookup = prepare_lookup(table, "key", "value", broadcast_limit=0, cache=cache)
+    try:
+        out = translate(records, "k", "v", lookup)
+        assert sorted(map(tuple, out.collect())) == expected(records)
+        if adaptive == "false":
+            assert largest_share(out) < 0.15
+            # The lookup's rows of hot keys, and no others.
+            assert "BroadcastHashJoin" in final_plan(out)
+    finally:
+        lookup.close()
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_sketch_names_every_hot_key(spark):
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 4 == 0, F.concat(F.lit("hot"), F.col("id") % 100)).otherwise(F.col("id").cast("string")).alias("k")
+    )
+    found = set(lookup_module.heavy_keys(rows, F.col("k")))
+    assert {f"hot{k}" for k in range(0, 100, 4)} <= found and len(found) < 40
+    assert lookup_module.heavy_keys(rows.where("false"), F.col("k")) == []
+    assert lookup_module.heavy_keys(rows.select(F.array("k").alias("k")), F.col("k"))
+
+
+def test_hot_keys_missing_from_the_lookup_and_with_several_rows(spark, records):
+    table = spark.createDataFrame([(HOT, "a"), (HOT, None), (1, "b"), (4, None)], "key long, value string")
+    for share in (lookup_module.HOT_SHARE, None):
+        lookup = prepare_lookup(table, "key", "value", broadcast_limit=0, hot_share=share, salts=1)
+        counts = {r["v"]: r["count"] for r in translate(records, "k", "v", lookup).groupBy("v").count().collect()}
+        assert counts == {"a": 20_000, None: 60_000 - 1, "b": 1}
+    absent = prepare_lookup(table.where("key > 0"), "key", "value", broadcast_limit=0)
+    assert translate(records, "k", "v", absent).where("v is null").count() == ROWS - 1
+
+
 def test_salts_spread_the_hot_key_without_it(spark, records, table):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "40")
@@ -74,7 +117,7 @@ def test_salts_spread_the_hot_key_without_it(spark, records, table):
 
 
 def test_pinned_lookup_is_laid_out_once(spark, records, table):
-    lookup = prepare_lookup(table, "key", "value", broadcast_limit=0, cache=True)
+    lookup = prepare_lookup(table, "key", "value", broadcast_limit=0, cache=True, hot_share=None)
     assert lookup.salts > 1
     out = translate(records, "k", "v", lookup)
     assert sorted(map(tuple, out.collect())) == expected(records)
