@@ -177,3 +177,30 @@ def test_weighted_sample_of_odd_weights(spark):
 def test_row_id_with_maps_inside(spark):
     df = spark.sql("select id, array(map('a', id)) as m, struct(map(id, 1) as x) as s from range(5)")
     assert sorted(r.row_id for r in row_id(df, "id").collect()) == [0, 1, 2, 3, 4]
+
+
+def test_row_id_by_times_nested_values_and_directions(spark):
+    df = spark.sql(
+        """select id, timestamp_ntz '2024-03-31 02:30:00' + make_dt_interval(0, 0, 0, id % 50) as t, array(id % 7, id) as a,
+                  if(id % 5 = 0, null, id % 11) as v, struct(id) as s from range(0, 3000, 1, 5)"""
+    )
+    last, first = (lambda r: (r.v is None, -(r.v or 0))), (lambda r: (r.v is not None, -(r.v or 0)))
+    cases = [
+        (["t", "id"], lambda r: (r.t, r.id)),
+        (["a"], lambda r: tuple(r.a)),
+        (["v", "s"], lambda r: (r.v is not None, r.v or 0, r.id)),
+        ([F.desc("v"), "id"], lambda r: (*last(r), r.id)),
+        ([F.desc_nulls_first("v"), F.desc("id")], lambda r: (*first(r), -r.id)),
+        ([F.col("id") % 13, "id"], lambda r: (r.id % 13, r.id)),
+    ]
+    for order, key in cases:
+        found = row_id(df, *order).collect()
+        assert [r.row_id for r in sorted(found, key=key)] == list(range(3000)), order
+
+
+def test_row_id_writes_splitters_and_counts_only(spark, monkeypatch, tmp_path):
+    written = []
+    monkeypatch.setattr(rows_module, "scratch_path", lambda s, name: written.append(f"{tmp_path}/{name}{len(written)}") or written[-1])
+    df = spark.range(0, 200_000, 1, 8).withColumn("v", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")))
+    assert row_id(df, "v").agg(F.sum("row_id")).first()[0] == 200_000 * 199_999 // 2
+    assert sum(spark.read.parquet(p).count() for p in written) < 100
