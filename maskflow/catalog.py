@@ -1047,6 +1047,28 @@ def stream_two_paces(spark, sf_dir):
     )
 
 
+@query("select event_id, event_type, 1 as entries, 6 as fast_leaves, 1 as slow_leaves from events")
+def stream_own_paces(spark, sf_dir):
+    """Six batches: the faster sink has a leaf of each, the slower one writes them as one range."""
+    root = scratch_path(spark, "paces")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    events.repartition(6, "event_id").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    audited = op.apply_audited(stream, [op.redact_step("props", "props", "XXXXX")], "event_id", "p")
+    data, trail = op.split_audit(audited, "event_id")
+    fast = FileSink(f"{root}/data", data.schema, trigger_seconds=1)
+    late = FileSink(f"{root}/audit", trail.schema, trigger_seconds=3600)
+    start_pipeline(audited, "event_id", fast, late, f"{root}/checkpoint", "paces", available_now=True).await_termination()
+
+    def leaves(path: str, name: str) -> DataFrame:
+        return spark.read.json(path).agg(F.count_distinct("batch_id").cast("int").alias(name))
+
+    entries = late.read(spark).groupBy("event_id").agg(F.count("*").cast("int").alias("entries"))
+    counts = {n: leaves(f"{root}/{p}", n).first()[0] for n, p in (("fast_leaves", "data"), ("slow_leaves", "audit"))}
+    joined = fast.read(spark).select("event_id", "event_type").join(entries, "event_id", "left")
+    return joined.withColumns({n: F.lit(c) for n, c in counts.items()})
+
+
 @query("select count(*) as n, count(*) as entries from events where event_type not in ('error', 'click')")
 def stream_memory_restart(spark, sf_dir):
     """A memory pipeline started twice on one checkpoint still shows all its rows."""
@@ -1123,8 +1145,8 @@ def json_declared_types(spark, sf_dir):
 
 
 @query(
-    """select p_name as disease, cast(p_size as bigint) as usage from part where p_size % 2 = 1
-       union all select 'x', count(*) from part where p_size % 2 = 1"""
+    """select p_name as disease, cast(p_size as bigint) as usage, cast(count(*) over (partition by p_name) as int) as records
+       from part where p_size % 2 = 1"""
 )
 def job_list(spark, sf_dir):
     """Two jobs of a configuration, the second on what the first one wrote."""
@@ -1136,8 +1158,18 @@ def job_list(spark, sf_dir):
     )
     codes.write.option("header", "true").csv(f"{root}/codes.csv")
     written = f"{root}/usage"
-    listed = [{"function": "snomed_transform", "params": {"input": f"{root}/codes.csv", "output": written}}]
-    jobs.run_jobs(spark, {"transform": listed})
-    again = spark.read.parquet(written)
-    total = again.agg(F.lit("x").alias("disease"), F.count("*").alias("usage"))
-    return again.unionAll(total)
+    names = part.select(F.concat(F.lit("n"), "p_partkey").alias("n"))
+    names.select(F.col("n").alias("forename")).write.parquet(f"{root}/forenames")
+    names.select(F.col("n").alias("surname")).write.parquet(f"{root}/surnames")
+    names.select(F.col("n").alias("postcode"), F.col("n").alias("city")).write.parquet(f"{root}/cities")
+    inputs = {f"{n}_filename": f"{root}/{f}" for n, f in (("forenames", "forenames"), ("surnames", "surnames"), ("city", "cities"))}
+    # More records than there are rows of diseases: each row is drawn once.
+    records = {"number": 900_000, "snomed_filename": written, "output": f"{root}/records", **inputs}
+    listed = [
+        {"function": "snomed_transform", "params": {"input": f"{root}/codes.csv", "output": written}},
+        {"function": "sample_data_transform", "params": records},
+    ]
+    assert jobs.run_jobs(spark, {"transform": listed}) == ["snomed_transform", "sample_data_transform"]
+    drawn = spark.read.schema("disease string").json(f"{root}/records").groupBy("disease")
+    per_disease = drawn.agg(F.count("*").cast("int").alias("records"))
+    return spark.read.parquet(written).join(per_disease, "disease", "left")

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import named
 from ..operators import audit_tags, split_audit
-from .sinks import MemorySink, Sink
+from .sinks import MemorySink, Paced, Sink
 
 
 @dataclass
@@ -95,8 +95,8 @@ def start_pipeline(
     There is one query: records, audit trail and, with ``rejected_sink``, the
     rows that have text in the column ``malformed`` come from the same
     micro-batch and are written under the same query and batch id. They cannot
-    drift apart, nor start at different offsets. Sinks of different pace are all
-    written at the shortest.
+    drift apart, nor start at different offsets. Batches come at the shortest of the
+    sinks' paces; a slower sink follows them at its own and gets a range of batches as one.
 
     With ``records`` the stream is of those, and ``prepare`` makes each micro-batch
     into the audited rows that ``audited`` describes: joins that first look at the
@@ -109,6 +109,12 @@ def start_pipeline(
         if isinstance(sink, MemorySink) and sink.path is None:
             sink.path = f"{checkpoint.rstrip('/')}_memory/{sink.query_name}"
         sink.prepare(spark)
+    paces = [s.trigger_seconds for s in (data_sink, audit_sink)]
+    pace = None if None in paces else min(paces)
+    records_to, entries_to = (
+        Paced(spark, s) if s.trigger_seconds and (pace is None or s.trigger_seconds > pace) else s
+        for s in (data_sink, audit_sink)
+    )
 
     def write(batch: DataFrame, batch_id: int) -> None:
         query_id = _query_id(batch)
@@ -127,16 +133,17 @@ def start_pipeline(
                 rejected_sink.write(bad, query_id, batch_id)
                 good = batch.where(text.isNull()).drop(malformed)
             cleaned, entries = split_audit(good, primary, tags)
-            data_sink.write(cleaned, query_id, batch_id)
-            audit_sink.write(entries, query_id, batch_id)
+            records_to.write(cleaned, query_id, batch_id)
+            entries_to.write(entries, query_id, batch_id)
         finally:
             batch.unpersist()
             whole.unpersist()
 
-    paces = [s.trigger_seconds for s in (data_sink, audit_sink)]
-    pace = None if None in paces else min(paces)
     query = _start(audited if records is None else records, write, checkpoint, name, pace, available_now)
-    return Run(spark, [query], data_sink, audit_sink)
+    late = [s for s in (records_to, entries_to) if isinstance(s, Paced)]
+    for sink in late:
+        sink.resume(str(query.id))
+    return Run(spark, [query], data_sink, audit_sink, [s.flush for s in late])
 
 
 def start_append(

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+import time
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .tables import conform, ensure_table, read_table, with_batch_metadata, write_batch
+from .tables import BATCH_ID, QUERY_ID, conform, ensure_table, read_table, with_batch_metadata, write_batch
 
 
 @dataclass(frozen=True)
@@ -95,3 +97,76 @@ class MemorySink:
 
 
 Sink = TableSink | FileSink | MemorySink
+
+
+@dataclass
+class Paced:
+    """A sink that is slower than the batches it gets: it writes a range of them as one.
+
+    Each batch is put aside in a folder of its own that readers do not see. When the sink's
+    time has come, the batches after its last leaf are written as one leaf under the id of the
+    newest. A range begins where the leaf before it ended, which the folders tell, so a
+    batch that is replayed, or a run that goes on after a failure, writes the same range
+    again. Rows that are put aside stay until the leaf after theirs is there.
+    """
+
+    spark: SparkSession
+    sink: Sink
+    written: float = field(default_factory=time.monotonic)
+    newest: tuple[str, int] | None = None
+
+    def resume(self, query_id: str) -> None:
+        """Take up what an earlier run put aside and did not write."""
+        waiting = self._ids(self._aside(query_id))
+        if self.newest is None and waiting:
+            self.newest = query_id, waiting[-1]
+
+    def write(self, df: DataFrame, query_id: str, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self._aside(query_id)}/{BATCH_ID}={batch_id}")
+        self.newest = query_id, batch_id
+        due = time.monotonic() - self.written >= self.sink.trigger_seconds
+        # A leaf of this id is there when the batch is replayed.
+        if due or batch_id in self._ids(f"{self.sink.path}/{QUERY_ID}={query_id}"):
+            self.flush()
+
+    def flush(self) -> None:
+        """Write what was put aside since the last leaf."""
+        if self.newest is None:
+            return
+        query_id, batch_id = self.newest
+        leaves = self._ids(f"{self.sink.path}/{QUERY_ID}={query_id}")
+        last = max((i for i in leaves if i < batch_id), default=-1)
+        aside = self._aside(query_id)
+        waiting = [i for i in self._ids(aside) if last < i <= batch_id]
+        if waiting:
+            first = self.spark.read.parquet(f"{aside}/{BATCH_ID}={waiting[-1]}").schema
+            rows = self.spark.read.schema(first).parquet(*[f"{aside}/{BATCH_ID}={i}" for i in waiting])
+            self.sink.write(rows, query_id, batch_id)
+        for done in self._ids(aside):
+            if done <= last:
+                self._delete(f"{aside}/{BATCH_ID}={done}")
+        self.written, self.newest = time.monotonic(), None
+
+    def _aside(self, query_id: str) -> str:
+        return f"{self.sink.path.rstrip('/')}/_aside/{QUERY_ID}={query_id}"
+
+    def _folder(self, path: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _ids(self, path: str) -> list[int]:
+        """Ids of the batches that were written whole, in order."""
+        folder, files = self._folder(path)
+        if not files.exists(folder):
+            return []
+        found = []
+        for entry in files.listStatus(folder):
+            own = re.fullmatch(rf"{BATCH_ID}=(\d+)", entry.getPath().getName())
+            done = self.spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
+            if own and files.exists(done):
+                found.append(int(own[1]))
+        return sorted(found)
+
+    def _delete(self, path: str) -> None:
+        folder, files = self._folder(path)
+        files.delete(folder, True)

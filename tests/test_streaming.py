@@ -150,6 +150,55 @@ def test_sinks_at_different_paces_share_one_query(job):
     assert job.tables() == job.expected()
 
 
+def leaves(path):
+    return sorted(int(p.name.split("=")[1]) for p in Path(path).glob("query_id=*/batch_id=*"))
+
+
+def slow(job, seconds=3600):
+    return FileSink(job.audit.path, AUDIT, trigger_seconds=seconds)
+
+
+def test_a_slower_sink_gets_a_range_of_batches_as_one(job):
+    job.arrive("c.json", PATIENTS[:2])
+    job.run(audit=slow(job))
+    assert leaves(job.data.path) == [0, 1, 2] and leaves(job.audit.path) == [2]
+    assert job.tables() == job.expected()
+    job.arrive("d.json", PATIENTS[2:])
+    job.run(audit=slow(job))
+    assert leaves(job.audit.path) == [2, 3]
+    assert job.tables() == job.expected()
+
+
+def test_a_replayed_batch_changes_no_range(job):
+    job.arrive("c.json", PATIENTS[:2])
+    job.run(audit=slow(job))
+    before = job.tables()
+    for name in ("2", ".2.crc"):
+        (Path(job.checkpoint) / "commits" / name).unlink(missing_ok=True)
+    for seconds in (3600, 1):
+        job.run(audit=slow(job, seconds))
+        assert job.tables() == before and leaves(job.audit.path) == [2]
+
+
+def test_what_a_failed_run_put_aside_is_written_by_the_next(job):
+    class Broken(TableSink):
+        def write(self, df, query_id, batch_id):
+            if batch_id == 1:
+                raise OSError("disk gone")
+            super().write(df, query_id, batch_id)
+
+    class Unwritten(FileSink):
+        def write(self, df, query_id, batch_id):
+            raise OSError("no place")
+
+    # The records of the second batch fail; what the trail put aside cannot be written either.
+    with pytest.raises(Exception, match="disk gone|no place"):
+        job.run(Broken(job.data.path, PSEUDO), Unwritten(job.audit.path, AUDIT, trigger_seconds=3600))
+    assert leaves(job.audit.path) == []
+    job.run(audit=slow(job))
+    assert job.tables() == job.expected() and leaves(job.audit.path) == [1]
+
+
 def test_memory_sink_keeps_its_rows_over_a_restart(job):
     schema = T.StructType([f for f in PSEUDO if f.name in FIELDS])
     sizes = []
