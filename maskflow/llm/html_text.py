@@ -12,7 +12,9 @@ Defined cases: null and empty pages have empty text. Markup that is cut off, nes
 wrongly or left open is read as browsers do: a part that is never closed ends with the
 element around it. Pages without any block keep their plain text as one line. Text is
 whole: no line between a surge and a dive is dropped for being short, and lines that lead
-to a surge belong to it. Short lines of rights behind the last surge go. Repeated rows
+to a surge belong to it. Outside an article slight lines (short, no end of a sentence) are
+a dive where two or more of them end a block, and only one leads to it. Short lines of rights
+behind the last surge go. Time grows with the page's length, also where nothing is closed. Repeated rows
 each give a row; other columns are kept.
 """
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 from statistics import median
@@ -45,7 +48,8 @@ LEGAL_CHARS = 160
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)",
+    # A quote opens a value only behind an equals sign.
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
@@ -67,8 +71,8 @@ _ENDS_P = {
 }
 #: Words in a class, id or role that name a part as something else than the article.
 _OTHER = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav\w*|navigation|menu\w*|breadcrumbs?|side-?bar\w*|footer|"
-    r"site-?header|page-?header|masthead|cookies?\w*|consent|notice|notification|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login|"
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promos?|promoted|promotions?|nav|nav-?bar|navigation|menus?|menu-?bar|breadcrumbs?|side-?bars?|footer|"
+    r"site-?header|page-?header|masthead|cookies?|consent|notice|notification|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login|"
     r"share|sharing|social|related|recommend\w*|comments?|comment-?\w*|disqus\w*|respond|replies|reply|discussion|complementary|contentinfo|search|skip-?link|copyright|gdpr|paywall|toolbar|widget\w*|pagination|pager)(?:$|[\s_-])",
     re.I,
 )
@@ -90,7 +94,18 @@ def _attributes(raw: str) -> dict[str, str]:
     }
 
 
-def _is_apart(name: str, attributes: dict[str, str], inside_article: bool) -> bool:
+#: Names of readers' comments and adverts; a part so named is the story only where there is nothing else.
+_COMMENTS = re.compile(r"comment|repl(?:y|ies)|disqus|respond|discussion|ads?\b|advert|adsense|sponsor", re.I)
+#: A part that its name puts aside is read after all where the rest of the page has less than
+#: this share of its text; of comments where the rest has fewer characters than this.
+REST, REST_CHARS = 0.1, 60
+#: Shorter lines without an end of a sentence are slight: outside an article two of them
+#: behind a story end it, and no more than one leads to it.
+SLIGHT_CHARS = 40
+
+
+def _is_apart(name: str, attributes: dict[str, str], inside_article: bool) -> bool | str:
+    """Whether a part is something else than the story; its names where only these say so."""
     if name in APART or (name in {"header", "footer"} and not (name == "header" and inside_article)):
         return True
     if name in {"html", "body", "main"}:
@@ -100,32 +115,60 @@ def _is_apart(name: str, attributes: dict[str, str], inside_article: bool) -> bo
     named = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
     # Camel case and joined words are read as words.
     named = _BESIDE.sub(" ", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", named))
-    if name == "article":
-        return bool(_LESSER.search(named))
-    return bool(_OTHER.search(named)) or not inside_article and bool(_PAGE_HEADER.search(named))
+    other = _LESSER if name == "article" else _OTHER
+    found = other.search(named) or name != "article" and not inside_article and _PAGE_HEADER.search(named)
+    return found[0] if found else False
+
 
+def lines(page: str) -> list[tuple[str, int, int, bool]]:
+    """The page's lines in order: text, the number of its article (0: none), the length of link text, and whether it is an h1.
 
-def lines(page: str) -> Iterator[tuple[str, int, int, bool]]:
-    """The page's lines in order: text, the number of its article (0: none), the length of link text, and whether it is an h1."""
+    A part that only its names put aside stays where it has nearly all of the page's text.
+    """
+    stays: set[int] = set()
+    while True:
+        aside: dict[int, list] = {}
+        found = list(_lines(page, stays, aside))
+        rest = sum(len(text) for text, *_ in found)
+        whole = rest + sum(size for size, _, _ in aside.values())
+        # Beside an article nothing else is the story; inside it a part may be.
+        story = any(article for _, article, _, _ in found)
+        more = {
+            place for place, (size, named, inside) in aside.items()
+            if size > REST_CHARS and (inside or not story) and (whole - size < REST_CHARS or not _COMMENTS.search(named) and whole - size < REST * size)
+        }
+        if not more:
+            return found
+        stays |= more
+
+
+def _lines(page: str, stays: set[int], aside: dict[int, list]) -> Iterator[tuple[str, int, int, bool]]:
+    """Lines outside of the parts put aside; ``aside`` gets the size of those put aside by name, by place."""
     stack: list[tuple[str, bool, bool]] = []  # name, apart, article
+    open_: Counter = Counter()
     parts: list[str] = []
+    blank = True
+    named_at = -1  # the part put aside by name that is being read, if nothing else puts it aside
     link, article, line_article, title = 0, 0, 0, False
     apart = count = 0
     at, end = 0, len(page)
 
     def close(to: int) -> None:
-        nonlocal apart, article
+        nonlocal apart, article, named_at
         while len(stack) > to:
-            _, was_apart, was_article = stack.pop()
+            name, was_apart, was_article = stack.pop()
+            open_[name] -= 1
             apart -= was_apart
             article -= was_article
+        if not apart:
+            named_at = -1
 
     def line():
-        nonlocal link
+        nonlocal link, blank
         text = " ".join("".join(parts).split())
         out = (text, line_article, link, title)
         parts.clear()
-        link = 0
+        link, blank = 0, True
         return out if text else None
 
     while at < end:
@@ -134,13 +177,16 @@ def lines(page: str) -> Iterator[tuple[str, int, int, bool]]:
             stop = end
         else:
             stop = tag.start()
+        if stop > at and apart == 1 and named_at >= 0:
+            aside[named_at][0] += len(page[at:stop].strip())
         if stop > at and not apart:
             text = html.unescape(page[at:stop])
-            if not parts or not "".join(parts).strip():
+            if blank:
                 line_article = count if article else 0
-                title = any(name == "h1" for name, _, _ in stack)
+                title = open_["h1"] > 0
+                blank = not text.strip()
             parts.append(text)
-            if any(name == "a" for name, _, _ in stack):
+            if open_["a"]:
                 link += len(text.strip())
         if tag is None:
             break
@@ -156,6 +202,8 @@ def lines(page: str) -> Iterator[tuple[str, int, int, bool]]:
             elif (found := line()) is not None:
                 yield found
         if tag[1]:
+            if not open_[name]:
+                continue
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
                     close(k)
@@ -172,10 +220,15 @@ def lines(page: str) -> Iterator[tuple[str, int, int, bool]]:
             continue
         if name in VOID or tag[3].rstrip().endswith("/") and name not in {"p", "div"}:
             continue
-        _open_scopes(name, stack, close)
+        _open_scopes(name, stack, open_, close)
         inside = article > 0
         is_article = name in {"article", "main"}
-        is_apart = _is_apart(name, _attributes(tag[3]), inside)
+        named = _is_apart(name, _attributes(tag[3]), inside)
+        is_apart = bool(named) and stop not in stays
+        if is_apart and isinstance(named, str) and not apart:
+            named_at = stop
+            aside[stop] = [0, named, inside]
+        open_[name] += 1
         stack.append((name, is_apart, is_article))
         apart += is_apart
         count += is_article and not inside
@@ -184,9 +237,9 @@ def lines(page: str) -> Iterator[tuple[str, int, int, bool]]:
         yield found
 
 
-def _open_scopes(name: str, stack: list[tuple[str, bool, bool]], close) -> None:
+def _open_scopes(name: str, stack: list[tuple[str, bool, bool]], open_: Counter, close) -> None:
     """Closes what the start of an element ends: paragraphs, list items, cells."""
-    if name in _ENDS_P:
+    if name in _ENDS_P and open_["p"]:
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] == "p":
                 close(k)
@@ -195,7 +248,7 @@ def _open_scopes(name: str, stack: list[tuple[str, bool, bool]], close) -> None:
                 break
     ended = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
     own = ended.get(name)
-    if own:
+    if own and any(open_[k] for k in own):
         scope = {"ul", "ol", "dl", "table", "tbody", "thead", "tfoot"} - ({"tr"} if name == "tr" else set())
         lowest = None
         for k in range(len(stack) - 1, -1, -1):
@@ -207,11 +260,14 @@ def _open_scopes(name: str, stack: list[tuple[str, bool, bool]], close) -> None:
             close(lowest)
 
 
-def between_surges(sizes: list[int], threshold: float, titles: list[bool] | None = None) -> list[bool]:
+def between_surges(
+    sizes: list[int], threshold: float, titles: list[bool] | None = None, slight: list[bool] | None = None
+) -> list[bool]:
     """Which lines lie between a surge and the dive after it.
 
     A surge begins with the lines before it that have some weight, and at the title of
-    the page if that is among them.
+    the page if that is among them. With ``slight`` lines no more than one of these
+    leads to a surge, and where only such lines are left, two or more, the text has dived.
     """
     n = len(sizes)
     sums = [sum(sizes[k : k + WINDOW]) for k in range(n + 1)]
@@ -219,13 +275,24 @@ def between_surges(sizes: list[int], threshold: float, titles: list[bool] | None
     for k in range(n):
         if not inside and sizes[k] and sums[k] >= threshold:
             inside = True
-            before = k - 1
+            before, led = k - 1, 0
             while before >= 0 and sizes[before] and not keep[before] and not (titles and titles[before + 1]):
+                led += bool(slight and slight[before] and not (titles and titles[before]))
+                if led > 1:
+                    break
                 keep[before] = True
                 before -= 1
         elif inside and not sizes[k] and not sums[k]:
             inside = False
         keep[k] = inside
+    if slight:
+        for block in (list(b) for kept, b in groupby(range(n), key=lambda k: keep[k]) if kept):
+            last = len(block)
+            while last and (slight[block[last - 1]] or not sizes[block[last - 1]]):
+                last -= 1
+            if last and sum(slight[k] for k in block[last:]) > 1:
+                for k in block[last:]:
+                    keep[k] = False
     return keep
 
 
@@ -269,7 +336,11 @@ def main_text(page: str | None) -> str:
         if not article:
             tail = _legal_tail([found[k][0] for k in own], sizes, threshold)
             sizes = [0 if k in tail else s for k, s in enumerate(sizes)]
-        kept = [k not in tail and inside for k, inside in enumerate(between_surges(sizes, threshold, titles))]
+        slight = None if article else [
+            len(found[k][0]) < SLIGHT_CHARS and found[k][0][-1] not in ".!?…\"'”’»)" and not found[k][3] for k in own
+        ]
+        surged = between_surges(sizes, threshold, titles, slight)
+        kept = [k not in tail and inside for k, inside in enumerate(surged)]
         for inside, block in groupby(range(len(own)), key=lambda k: kept[k]):
             if inside:
                 block = list(block)

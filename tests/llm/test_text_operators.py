@@ -243,3 +243,42 @@ def test_clean_text_under_the_id_of_a_contaminated_one_stays(spark):
     rows = [(1, "one two three four five six"), (1, "clean"), (1, None)]
     items = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
     assert Counter(r.text for r in remove_contaminated(spark, spark.createDataFrame(rows, TEXTS), items).collect()) == Counter(["clean", None])
+
+
+_STORY = "".join(f"<p>Paragraph {k} of a story that goes on for a while, with words enough to count.</p>" for k in range(6))
+_PLAIN = " ".join(f"Paragraph {k} of a story that goes on for a while, with words enough to count." for k in range(6))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div class='layout-sidebar-right'>{_STORY}</div></body>",
+        f"<body><div class='navy'>{_STORY}</div></body>",
+        f"<article><div class='cookie-recipe'>{_STORY}</div></article>",
+        f"<article><section class='discussion'>{_STORY}</section></article>",
+        f"<body class='x'><div class='widget'><div class='sidebar'><ul><li>One</li></ul></div>{_STORY}</div></body>",
+        f"<article>{_STORY}</article><div class='comments'><p>{'I do not agree with this at all. ' * 40}</p></div>",
+        f"<div>{_STORY}</div><div><p>Posted in Sport</p><p>Weather 12 C</p><p>Sign in</p><p>Terms of use</p><p>Contact us</p></div>",
+        f"<div><p>Sign in</p><p>Weather 12 C</p><p>Contact us</p></div><p>Some links</p><div class=nav>Home</div><div>{_STORY}</div>",
+    ],
+)
+def test_no_story_is_lost_by_the_names_around_it(page):
+    text = main_text(page)
+    assert _PLAIN in text
+    for other in ("agree", "One", "Weather", "Terms of use", "Posted", "Sign in"):
+        assert other not in text
+
+
+def test_quotes_in_tags():
+    assert main_text("<p class=it's>Hello there</p><p>I don't go</p><p>Last</p>") == "Hello there I don't go Last"
+    assert main_text('<p title="5" tall">Hello there, all of you.</p>') == "Hello there, all of you."
+    assert main_text('<p title="a > b">Hello</p><p data-x=\'>\'>there</p>') == "Hello there"
+
+
+def test_time_grows_with_the_page():
+    import time
+
+    for page in ("<div>word " * 20_000, "<b>word " * 20_000 + "</i>" * 20_000, "<li>word <div>" * 10_000, "<p a=" * 20_000):
+        begun = time.monotonic()
+        main_text(page)
+        assert time.monotonic() - begun < 5
