@@ -36,8 +36,9 @@ def main(arguments: list[str] | None = None) -> None:
             bad = run_loader(spark, store, args.run)
             where = "in the quarantine" if pipeline.quarantine_filepath_env else "not kept"
             print(f"Lines left out: {bad.count()}, {where}")
-            for line in bad.toLocalIterator():
-                print(line["value"])
+            for line in bad.take(_PREVIEW_ROWS):
+                why = "; ".join(": ".join(filter(None, reason)) for reason in line["reasons"])
+                print(f"{line['value']}  [{why}]")
         else:
             run = run_stream(
                 spark,

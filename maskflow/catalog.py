@@ -17,7 +17,16 @@ from . import operators as op
 from .plans import jobs, loader
 from .session import scratch_path
 from .sources import decode_json
-from .streaming import FileSink, MemorySink, TableSink, start_pipeline, write_batch
+from .streaming import (
+    FactLookup,
+    FileSink,
+    MemorySink,
+    SampleSink,
+    TableSink,
+    merge_batches,
+    start_pipeline,
+    write_batch,
+)
 from .streaming.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1173,3 +1182,145 @@ def job_list(spark, sf_dir):
     drawn = spark.read.schema("disease string").json(f"{root}/records").groupBy("disease")
     per_disease = drawn.agg(F.count("*").cast("int").alias("records"))
     return spark.read.parquet(written).join(per_disease, "disease", "left")
+
+
+# --- tables kept by batches ---------------------------------------------------------
+
+
+@query(
+    """select o_orderkey, o_custkey,
+              case when o_orderkey = (select min(o_orderkey) from orders) then 'new' else o_orderstatus end
+                as o_orderstatus, 1 as buckets_written, 15 as buckets_untouched
+       from orders"""
+)
+def upsert_one_bucket(spark, sf_dir):
+    """A source that hits one bucket of a table by key: the files of the others stay."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    kept = op.BucketTable.create(orders, scratch_path(spark, "orders-by-key"), ["o_orderkey"], 16)
+    before = kept.files()
+    first = orders.orderBy("o_orderkey").limit(1).withColumn("o_orderstatus", F.lit("new"))
+    hit = kept.upsert(first)
+    same = sum(before[b] == names for b, names in kept.files().items())
+    return kept.read().withColumns({"buckets_written": F.lit(len(hit)), "buckets_untouched": F.lit(same)})
+
+
+@query(
+    """select o_orderkey, o_custkey, case when o_orderkey % 10 = 0 then 'two' when o_orderkey % 2 = 0 then 'one'
+              else o_orderstatus end as o_orderstatus from orders
+       union all select -o_orderkey, o_custkey, 'one' from orders where o_orderkey % 2 = 0"""
+)
+def upsert_versions(spark, sf_dir):
+    """Two upserts of a table by key, the second written twice, old buckets deleted."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    kept = op.BucketTable.create(orders, scratch_path(spark, "orders-by-key"), ["o_orderkey"], 8)
+    even = orders.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("one"))
+    kept.upsert(even.unionByName(even.withColumn("o_orderkey", -F.col("o_orderkey"))))
+    for _ in range(2):
+        kept.upsert(orders.where("o_orderkey % 10 = 0").withColumn("o_orderstatus", F.lit("two")), version=2)
+    kept.tidy()
+    return kept.read()
+
+
+@query(
+    """select event_id, event_type, cast(event_id % 40 as int) as batch_id, 1 as leaves from events"""
+)
+def merged_batches(spark, sf_dir):
+    """Forty batches of a query, merged but for the newest; a merged one comes again."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    path, schema = scratch_path(spark, "batches"), T.StructType([*events.schema, T.StructField("batch_id", T.IntegerType())])
+    for number in range(40):
+        write_batch(events.where(F.col("event_id") % 40 == number), path, "q", number)
+        if number in (19, 39):
+            merge_batches(spark, path, schema)
+    write_batch(events.where("event_id % 40 = 7"), path, "q", 7)
+    leaves = spark.read.parquet(path).select("batch_id").distinct().count()
+    return read_table(spark, path, schema).withColumn("leaves", F.lit(leaves))
+
+
+@query(
+    f"""select value, case when value like '%click%' then 'user_id' end as field,
+               case when value like '%click%' then 'wrong type: STRING' else 'no JSON' end as reason
+        from ({_BAD_SQL})
+        union all select '{{"user_id":' || user_id || '}}', 'event_id', 'missing' from events
+        union all select '{{"event_id":null,"user_id":' || user_id || '}}', 'event_id', 'null' from events"""
+)
+def quarantine_reasons(spark, sf_dir):
+    """Lines that are cut off, mistyped, or have no primary: each with field and reason."""
+    users = table(spark, sf_dir, "events").select("user_id")
+    missing = users.select(F.format_string('{"user_id":%d}', "user_id").alias("value"))
+    null = users.select(F.format_string('{"event_id":null,"user_id":%d}', "user_id").alias("value"))
+    lines = _faulty_envelopes(spark, sf_dir).unionByName(missing).unionByName(null)
+    _, bad = loader.check_records(lines.withColumn("file", F.lit("lines")), _EVENT, "event_id")
+    return bad.select("value", F.explode("reasons").alias("r")).select("value", "r.field", "r.reason")
+
+
+@query(
+    f"""select o_orderkey, o_totalprice from orders
+        order by {_sql_draw("5", "o_orderkey")}, o_orderkey limit 300"""
+)
+def running_sample(spark, sf_dir):
+    """The sample of a table that comes in nine batches, two of them twice."""
+    return _in_batches(spark, sf_dir)
+
+
+@query(
+    f"""select o_orderkey, o_totalprice from orders where o_totalprice > 0
+        order by -ln({_sql_draw("5", "o_orderkey")}) / o_totalprice, o_orderkey limit 300"""
+)
+def running_sample_weighted(spark, sf_dir):
+    """The same, with chances in proportion to a weight."""
+    return _in_batches(spark, sf_dir, weight="o_totalprice")
+
+
+def _in_batches(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    path = scratch_path(spark, "sample")
+    sink = SampleSink(path, orders.schema, 300, "o_orderkey", 5, algorithm="md5", **options)
+    sink.prepare(spark)
+    for number in (0, 1, 2, 2, 3, 4, 5, 5):
+        sink.write(orders.where(F.col("o_orderkey") % 9 == number), "first", number)
+    # A new checkpoint counts from 0 again.
+    for number in (6, 7, 8):
+        sink.write(orders.where(F.col("o_orderkey") % 9 == number), "second", number - 6)
+    return sink.read(spark)
+
+
+@query(
+    """with c as (select o_custkey, o_orderpriority, count(*) as n from orders group by all)
+       select o_custkey, arg_min(o_orderpriority, (-n, o_orderpriority)) as priority, 2 as versions
+       from c group by o_custkey"""
+)
+def lookup_from_batches(spark, sf_dir):
+    """Three batches of facts, one of them twice, give the lookup of all facts."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderpriority").alias("priority"), "o_orderkey")
+    lookup = FactLookup(scratch_path(spark, "facts"), orders.schema["o_custkey"], orders.schema["priority"])
+    lookup.prepare(spark)
+    for number in (0, 1, 1, 2):
+        lookup.write(orders.where(F.col("o_orderkey") % 3 == number), "facts", number)
+        if number == 0:
+            lookup.publish(spark)
+    lookup.publish(spark)
+    lookup.tidy(spark)
+    return lookup.current(spark).withColumn("versions", F.lit(len(lookup.versions(spark))))
+
+
+@query("select event_id, ts, user_id, event_type, value, 'XXXXX' as props, 'refused' as other_steps from events")
+def stream_changed_steps(spark, sf_dir):
+    """A restart on a checkpoint: equal steps go on, other steps are refused and write nothing."""
+    from .plans.pipeline import run_stream
+
+    env = _event_env(spark, sf_dir)
+    _envelopes(spark, sf_dir).write.mode("overwrite").text(env["LINES"])
+    store = _event_store({}, _file_sink("DATA"), _file_sink("AUDIT"))
+    for _ in range(2):
+        run = run_stream(spark, store, "events", env, available_now=True, checkpoint=env["CHECKPOINT"])
+        run.await_termination()
+    changed = store.model_copy(deep=True)
+    changed.pipeline("events").transforms[0].replace_with = "YYYYY"
+    try:
+        run_stream(spark, changed, "events", env, available_now=True, checkpoint=env["CHECKPOINT"])
+    except ValueError as error:
+        outcome = "refused" if "other steps" in str(error) else str(error)
+    else:
+        outcome = "started"
+    return run.data_sink.read(spark).withColumn("other_steps", F.lit(outcome))

@@ -10,6 +10,7 @@ from .audit import (
     split_audit,
     transform_tag,
 )
+from .bucket_table import BucketTable
 from .lookup import Lookup, prepare_lookup
 from .rows import row_id, zip_rows
 from .sampling import preview, sample_uniform, sample_weighted, smallest
@@ -26,6 +27,7 @@ from .upsert import upsert
 
 __all__ = [
     "AUDIT",
+    "BucketTable",
     "Lookup",
     "Step",
     "apply_audited",

@@ -45,11 +45,17 @@ def sample_weighted(
     rows of infinite weight come before all others.
     """
     w = named(weight).cast("double")
+    drawn = weighted_draw(key, weight, seed, algorithm)
+    return smallest(df.where((w > 0) & ~F.isnan(w)), n, drawn, key)
+
+
+def weighted_draw(key: str, weight: str, seed: int | str, algorithm: str = "xxhash64") -> Column:
+    """The exponential key of a row with a positive weight; the smallest are drawn."""
     # The smallest of doubles stands for zero, so an infinite weight has a measure too,
     # and the greatest one for what a tiny weight would make infinite.
-    drawn = -F.ln(unit_hash(seed, named(key), algorithm=algorithm)) / w
-    drawn = F.greatest(F.least(drawn, F.lit(1.7976931348623157e308)), F.lit(_LEAST))
-    return smallest(df.where((w > 0) & ~F.isnan(w)), n, drawn, key)
+    # A filter on the draw may run before that on the weight, so zero must not be an error.
+    drawn = F.try_divide(-F.ln(unit_hash(seed, named(key), algorithm=algorithm)), named(weight).cast("double"))
+    return F.greatest(F.least(drawn, F.lit(1.7976931348623157e308)), F.lit(_LEAST))
 
 
 def smallest(df: DataFrame, n: int, measure: Column, *ties: str) -> DataFrame:

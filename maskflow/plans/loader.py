@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import spec
-from ..sources.decode import CORRUPT, parse_once
+from ..sources.decode import CORRUPT, parse_once, with_reasons
 
 
 def load_records(
@@ -19,7 +19,8 @@ def load_records(
 
     Returns the good records as ``(key, value)``: the primary value as text and
     the line as it is, fields beyond the schema included. The other lines, and
-    those without a primary value, are returned as ``(file, value)``.
+    those without a primary value, are returned as ``(file, value, reasons)``: what is wrong
+    with which field.
     """
     lines = spark.read.text(path)
     return check_records(
@@ -37,9 +38,10 @@ def check_records(
     parsed = lines.select("value", "file", record.alias("record"))
     key = F.col("record")[primary]
     good = F.col("record")[CORRUPT].isNull() & key.isNotNull()
+    bad = parsed.where(~F.coalesce(good, F.lit(False))).select("file", "value")
     return (
         parsed.where(good).select(key.cast("string").alias("key"), "value"),
-        parsed.where(~F.coalesce(good, F.lit(False))).select("file", "value"),
+        with_reasons(bad, schema, "value", primary),
     )
 
 

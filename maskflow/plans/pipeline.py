@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import PurePosixPath
 
@@ -10,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import spec
+from .. import folders, spec
 from ..functions import named
 from ..operators import (
     Lookup,
@@ -25,11 +28,11 @@ from ..operators import (
 )
 from ..session import shared_root
 from ..sources import decode_json, flag_malformed, read_files, read_kafka, read_lookup
-from ..sources.decode import CORRUPT
+from ..sources.decode import CORRUPT, REASONS, REASONS_TYPE, with_reasons
 from ..streaming import FileSink, MemorySink, Run, TableSink, start_pipeline
 from ..streaming.sinks import Sink
 
-_VALUE = T.StructType([T.StructField("value", T.StringType())])
+_REJECTED = T.StructType([T.StructField("value", T.StringType()), T.StructField(REASONS, REASONS_TYPE)])
 
 
 @dataclass
@@ -147,9 +150,14 @@ def run_stream(
     default_env: dict[str, str] | None = None,
     available_now: bool = False,
     checkpoint: str | None = None,
+    changed_steps: str = "refuse",
 ) -> Run:
     """Start the pipeline; a restart on the same checkpoint goes on where it was.
 
+    A checkpoint belongs to its steps: with other transforms, another order or another lookup
+    file a restart would write rows that no single pipeline makes, and is refused unless
+    ``changed_steps`` is ``accept``. What a lookup file holds may change.
+
     Sinks that outlast the session need a checkpoint that does: ``checkpoint``, or
     the folder in ``spark.checkpoint.dir``. A new one at every start would read the
     source again and add every row again.
@@ -162,6 +170,7 @@ def run_stream(
                 f"pipeline {pipeline_id!r} writes files: give a checkpoint, or set spark.checkpoint.dir"
             )
         checkpoint = checkpoint or f"{shared_root(spark)}/streams/{pipeline_id}"
+        _check_steps(spark, checkpoint, canonical_steps(store, pipeline_id, default_env), changed_steps)
         run = start_pipeline(
             plan.audited,
             plan.primary,
@@ -173,6 +182,7 @@ def run_stream(
             plan.rejected_sink,
             CORRUPT,
             records=plan.records if plan.per_batch else None,
+            explain_rejected=_reasons_by(store, pipeline_id),
             prepare=lambda batch: apply_audited(batch, plan.steps, plan.primary, pipeline_id),
         )
     except Exception:
@@ -182,6 +192,53 @@ def run_stream(
     return run
 
 
+def canonical_steps(store: spec.Store, pipeline_id: str, default_env: dict[str, str] | None = None) -> list[str]:
+    """The steps of a pipeline as text, one per transform, first its primary and fields.
+
+    Keys are in order and files by their place, so equal steps give equal text however the
+    specification was written down.
+    """
+    pipeline = store.pipeline(pipeline_id)
+    schema = store.source_schema(pipeline.source)
+    steps = [{"primary": schema.primary_field, "fields": schema.spark_schema().jsonValue()["fields"]}]
+    for transform in pipeline.transforms:
+        step = transform.model_dump(mode="json")
+        if "fixture_filepath_env" in step:
+            step["fixture"] = spec.from_env(step.pop("fixture_filepath_env"), default_env)
+        steps.append(step)
+    return [json.dumps(step, sort_keys=True) for step in steps]
+
+
+def _check_steps(spark: SparkSession, checkpoint: str, steps: list[str], changed: str) -> None:
+    """Compare the steps with those kept beside the checkpoint, and keep them."""
+    if changed not in ("refuse", "accept"):
+        raise ValueError(f"changed_steps must be 'refuse' or 'accept', not {changed!r}")
+    kept = f"{checkpoint.rstrip('/')}_steps"
+    digest = hashlib.sha256("\n".join(steps).encode()).hexdigest()
+    known = [n for n in folders.names(spark, kept) if n.startswith("digest=") and folders.whole(spark, f"{kept}/{n}")]
+    if known == [f"digest={digest}"]:
+        return
+    if known and changed == "refuse":
+        old = spark.read.schema("step string, place int").json(f"{kept}/{known[0]}").orderBy("place").collect()
+        before = [row["step"] for row in old]
+        at = next((i for i, pair in enumerate(zip(before, steps)) if pair[0] != pair[1]), min(len(before), len(steps)))
+        was, now = (s[at] if at < len(s) else "nothing" for s in (before, steps))
+        raise ValueError(
+            f"the checkpoint {checkpoint!r} was made with other steps: at step {at} was {was}, is {now};"
+            " take a new checkpoint, or give changed_steps='accept'"
+        )
+    rows = spark.createDataFrame([(s, i) for i, s in enumerate(steps)], "step string, place int")
+    rows.coalesce(1).write.mode("overwrite").json(f"{kept}/digest={digest}")
+    for other in known:
+        folders.delete(spark, f"{kept}/{other}")
+
+
+def _reasons_by(store: spec.Store, pipeline_id: str) -> Callable[[DataFrame], DataFrame]:
+    """What a quarantine adds to the text of a malformed row."""
+    schema = store.source_schema(store.pipeline(pipeline_id).source).spark_schema()
+    return lambda bad: with_reasons(bad, schema)
+
+
 def _shared_setting(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
@@ -226,7 +283,7 @@ def _records(
         return flagged.select(*fields, CORRUPT), None
     good = flagged.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = flagged.where(F.col(CORRUPT).isNotNull())
-    return good, bad.select(named(CORRUPT).alias("value"))
+    return good, with_reasons(bad.select(named(CORRUPT).alias("value")), schema)
 
 
 def _step(
@@ -302,7 +359,7 @@ def _rejected_sink(
         return None
     return FileSink(
         path=spec.from_env(pipeline.source.quarantine_filepath_env, default_env),
-        schema=_VALUE,
+        schema=_REJECTED,
         format="json",
         trigger_seconds=getattr(pipeline.sink, "trigger_seconds", None),
     )

@@ -89,6 +89,7 @@ def start_pipeline(
     malformed: str | None = None,
     records: DataFrame | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    explain_rejected: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Run:
     """Start writing an audited stream to its sinks.
 
@@ -100,7 +101,7 @@ def start_pipeline(
 
     With ``records`` the stream is of those, and ``prepare`` makes each micro-batch
     into the audited rows that ``audited`` describes: joins that first look at the
-    keys of what they join need a batch.
+    keys of what they join need a batch. ``explain_rejected`` adds columns to the malformed text.
     """
     spark = audited.sparkSession
     tags = audit_tags(audited)
@@ -130,6 +131,8 @@ def start_pipeline(
             if rejected_sink is not None:
                 text = named(malformed)
                 bad = batch.where(text.isNotNull()).select(text.alias("value"))
+                if explain_rejected is not None:
+                    bad = explain_rejected(bad)
                 rejected_sink.write(bad, query_id, batch_id)
                 good = batch.where(text.isNull()).drop(malformed)
             cleaned, entries = split_audit(good, primary, tags)

@@ -6,9 +6,13 @@ import re
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import folders
+from ..functions import named, unit_hash
+from ..operators.sampling import sample_uniform, sample_weighted, weighted_draw
 from ..session import scratch_path
 from .tables import BATCH_ID, QUERY_ID, conform, ensure_table, read_table, with_batch_metadata, write_batch
 
@@ -170,3 +174,63 @@ class Paced:
     def _delete(self, path: str) -> None:
         folder, files = self._folder(path)
         files.delete(folder, True)
+
+
+@dataclass(frozen=True)
+class SampleSink:
+    """A sample of all that a stream has brought so far, without keeping the stream.
+
+    The sample is the ``n`` rows with the smallest draw, and such samples merge: a batch
+    writes the sample of the newest one and its own rows, under its own id. After any number
+    of batches it equals ``sample_uniform``, or with ``weight`` ``sample_weighted``, over all rows
+    with the same seed. A batch is cut by the largest draw of the sample before it, so of a long
+    stream few rows are looked at twice. A batch that is replayed starts from the sample before
+    it and writes the same; older samples are deleted when the next one is whole. A new query id
+    starts a sample of its own, and :meth:`read` merges them.
+    """
+
+    path: str
+    schema: T.StructType
+    n: int
+    key: str
+    seed: int | str
+    weight: str | None = None
+    algorithm: str = "xxhash64"
+    trigger_seconds: int | None = None
+
+    def prepare(self, spark: SparkSession) -> None:
+        ensure_table(spark, self.path, self.schema, "parquet")
+
+    def write(self, df: DataFrame, query_id: str, batch_id: int) -> None:
+        spark, own = df.sparkSession, f"{self.path.rstrip('/')}/{QUERY_ID}={query_id}"
+        rows = conform(df, self.schema)
+        older = [b for b in folders.committed(spark, own, BATCH_ID) if b < batch_id]
+        if older:
+            before = spark.read.schema(self.schema).parquet(f"{own}/{BATCH_ID}={older[-1]}")
+            # No more than n rows are kept, so those that come last decide for the batch.
+            reached = before.agg(F.count("*"), F.max(self._draw())).first()
+            if reached[0] == self.n:
+                rows = rows.where(self._draw() <= F.lit(reached[1]))
+            rows = before.unionByName(rows)
+        self._sample(rows).write.mode("overwrite").parquet(f"{own}/{BATCH_ID}={batch_id}")
+        for done in older[:-1]:
+            folders.delete(spark, f"{own}/{BATCH_ID}={done}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        newest = []
+        for name in folders.names(spark, self.path):
+            ids = folders.committed(spark, f"{self.path}/{name}", BATCH_ID) if name.startswith(f"{QUERY_ID}=") else []
+            newest += [f"{self.path}/{name}/{BATCH_ID}={ids[-1]}"] if ids else []
+        if not newest:
+            return spark.createDataFrame([], self.schema)
+        return self._sample(spark.read.schema(self.schema).parquet(*newest))
+
+    def _draw(self) -> Column:
+        if self.weight is None:
+            return unit_hash(self.seed, named(self.key), algorithm=self.algorithm)
+        return weighted_draw(self.key, self.weight, self.seed, self.algorithm)
+
+    def _sample(self, rows: DataFrame) -> DataFrame:
+        if self.weight is None:
+            return sample_uniform(rows, self.n, self.key, self.seed, self.algorithm)
+        return sample_weighted(rows, self.n, self.key, self.weight, self.seed, self.algorithm)

@@ -8,25 +8,43 @@ counts its batches from 0 again, but under a new id, so it adds rows and never
 overwrites those of an earlier query.
 
 Rows of two batches are never merged: the same record sent twice is two rows.
+
+Old leaves are put together by :func:`merge_batches` into ranges, ``_ranges/query_id=<id>/
+upto=<n>``, whose rows carry their batch number. A range counts once it is written whole. From
+then on readers take it in place of the leaves up to ``n``, and a batch that is replayed below
+``n`` writes nothing, as its rows are in the range.
 """
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import folders
 from ..functions import named
 
 QUERY_ID = "query_id"
 BATCH_ID = "batch_id"
 INSERTED_AT = "inserted_at"
+RANGES = "_ranges"
+UPTO = "upto"
 
 # Columns the leaf folders already divide by: one value in a leaf at most.
 PER_BATCH = (QUERY_ID, BATCH_ID, INSERTED_AT)
 
 
+# Text formats write milliseconds unless they are told otherwise.
+_MICROSECONDS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
 def with_batch_metadata(df: DataFrame, query_id: str, batch_id: int) -> DataFrame:
     """Add query id, batch number and time of writing, one value for the whole batch."""
     return df.withColumns(
@@ -79,14 +97,14 @@ def write_batch(
     they would grow beyond Spark's advisory size: only the rows to be written
     are moved, so the work before the write keeps all its tasks.
     """
+    merged = folders.committed(df.sparkSession, _ranges(path, query_id), UPTO)
+    if merged and batch_id <= merged[-1]:
+        return
     leaf = f"{path.rstrip('/')}/{QUERY_ID}={query_id}/{BATCH_ID}={batch_id}"
     rows = df.drop(QUERY_ID, BATCH_ID)
     if coalesce:
         rows = rows.hint("rebalance", coalesce)
-    writer = rows.write.mode("overwrite").format(format)
-    if partition_on and partition_on not in PER_BATCH:
-        writer = writer.partitionBy(partition_on)
-    writer.save(leaf)
+    _save(rows, leaf, format, partition_on)
 
 
 def read_table(
@@ -94,10 +112,94 @@ def read_table(
 ) -> DataFrame:
     """The declared columns of a table, the leaf's own columns typed as declared."""
     columns = {f.name: f for f in schema.fields}
-    stored = [f for f in schema.fields if f.name not in (QUERY_ID, BATCH_ID)]
     leaf = [
         columns.get(QUERY_ID, T.StructField(QUERY_ID, T.StringType())),
         columns.get(BATCH_ID, T.StructField(BATCH_ID, T.IntegerType())),
     ]
-    table = spark.read.schema(T.StructType(stored + leaf)).format(format).load(path)
+    table = spark.read.schema(T.StructType(_stored(schema) + leaf)).format(format).load(path)
+    for query_id in _query_ids(spark, f"{path.rstrip('/')}/{RANGES}"):
+        ends = folders.committed(spark, _ranges(path, query_id), UPTO)
+        if not ends:
+            continue
+        # Leaves that are not deleted yet are left out by their folder, before any file is read.
+        own = F.col(QUERY_ID).cast("string") == unquote(query_id)
+        table = table.where(~(own & (F.col(BATCH_ID) <= ends[-1])))
+        merged = _read_ranges(spark, path, query_id, ends, schema, format)
+        table = table.unionByName(merged.select(*[named(f.name).cast(f.dataType) for f in table.schema]))
     return conform(table, schema)
+
+
+def merge_batches(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    format: str = "parquet",
+    partition_on: str | None = None,
+    keep: int = 1,
+) -> dict[str, int]:
+    """Write the finished batches of every query id as one range; returns the batches merged.
+
+    The newest ``keep`` batches of a query id, one at least, are left alone: a stream may still
+    replay them. Files of a range have Spark's advisory size. The leaves are deleted after
+    the range is whole; if that fails, readers pass them over and the next merge deletes them.
+    No reader may be at work on the leaves meanwhile.
+    """
+    if keep < 1:
+        raise ValueError("the newest batch of a query may be replayed and cannot be merged")
+    path = path.rstrip("/")
+    merged = {}
+    for query_id in _query_ids(spark, path):
+        own = f"{path}/{QUERY_ID}={query_id}"
+        done = folders.committed(spark, own, BATCH_ID)
+        ends = folders.committed(spark, _ranges(path, query_id), UPTO)
+        last = ends[-1] if ends else -1
+        closed = [b for b in done[:-keep] if b > last]
+        if closed:
+            rows = _read_leaves(spark, path, query_id, closed, schema, format)
+            _save(rows.hint("rebalance"), f"{_ranges(path, query_id)}/{UPTO}={closed[-1]}", format, partition_on)
+            merged[query_id], last = len(closed), closed[-1]
+        for batch_id in done:
+            if batch_id <= last:
+                folders.delete(spark, f"{own}/{BATCH_ID}={batch_id}")
+    return merged
+
+
+def _save(rows: DataFrame, leaf: str, format: str, partition_on: str | None) -> None:
+    writer = rows.write.mode("overwrite").format(format)
+    if format in ("json", "csv"):
+        writer = writer.options(**_MICROSECONDS)
+    if partition_on and partition_on not in PER_BATCH:
+        writer = writer.partitionBy(partition_on)
+    writer.save(leaf)
+
+
+def _stored(schema: T.StructType) -> list[T.StructField]:
+    return [f for f in schema.fields if f.name not in (QUERY_ID, BATCH_ID)]
+
+
+def _ranges(path: str, query_id: str) -> str:
+    return f"{path.rstrip('/')}/{RANGES}/{QUERY_ID}={query_id}"
+
+
+def _query_ids(spark: SparkSession, path: str) -> list[str]:
+    found = [re.fullmatch(rf"{QUERY_ID}=(.+)", name) for name in folders.names(spark, path)]
+    return [own[1] for own in found if own]
+
+
+def _read_leaves(
+    spark: SparkSession, path: str, query_id: str, batches: list[int], schema: T.StructType, format: str
+) -> DataFrame:
+    """Rows of some batches, with their batch number."""
+    whole = T.StructType([*_stored(schema), T.StructField(BATCH_ID, T.IntegerType())])
+    own = f"{path}/{QUERY_ID}={query_id}"
+    reader = spark.read.schema(whole).format(format).option("basePath", own)
+    return reader.load([f"{own}/{BATCH_ID}={b}" for b in batches])
+
+
+def _read_ranges(
+    spark: SparkSession, path: str, query_id: str, ends: list[int], schema: T.StructType, format: str
+) -> DataFrame:
+    whole = T.StructType([*_stored(schema), T.StructField(BATCH_ID, T.IntegerType())])
+    own = _ranges(path, query_id)
+    rows = spark.read.schema(whole).format(format).option("basePath", own).load([f"{own}/{UPTO}={n}" for n in ends])
+    return rows.drop(UPTO).withColumn(QUERY_ID, F.lit(unquote(query_id)))
