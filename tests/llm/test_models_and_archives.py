@@ -68,6 +68,50 @@ def test_the_network_adds_secrets_that_no_rule_names(spark):
     assert kind == "model" and re.fullmatch("[0-9a-f]{30}", dict(fresh)[hit.doc_id][int(a) : int(b)])
 
 
+def test_long_and_short_candidates_are_read_whole(spark):
+    g = random.Random(4)
+    key = lambda n: "".join(g.choice("ABCDEFGHJKMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789") for _ in range(n))
+    word = lambda: "".join(g.choice("aeioulnrst") for _ in range(g.randint(3, 9)))
+    path = lambda n: "/".join(word() for _ in range(n))
+    prose = lambda n: " ".join(word() if g.random() < 0.9 else path(g.randint(2, 20)) for _ in range(n))
+    labelled = [
+        (i, f"{prose(40)} token = \"{key(g.choice([12, 20, 32]))}\" {prose(40)} password={key(g.choice([10, 18]))} {prose(9)}")
+        for i in range(400)
+    ]
+    model = secret_scan.learn(spark, spark.createDataFrame(labelled, TEXTS))
+    assert model.alarms < 0.01
+    hidden = {i: key(24) for i in range(60)}
+    fresh = [(i, f"{prose(5)} {path(9)}/{hidden[i]}/{path(9)} {prose(5)}") for i in hidden]
+    fresh += [(100 + i, f"{prose(9)} pwd {key(12)} {prose(9)}") for i in range(60)]
+    fresh += [(200 + i, f"{prose(20)} {path(25)} {prose(20)}") for i in range(60)]
+    texts = dict(fresh)
+    found = {r.doc_id: r for r in secret_scan.scan(spark, spark.createDataFrame(fresh, TEXTS), model).collect()}
+
+    def spans(i):
+        return [tuple(map(int, s.split(":")[1:])) for s in found[i].spans.split(",") if s]
+
+    middle = sum(any(texts[i].find(k) < b and texts[i].find(k) + 24 > a for a, b in spans(i)) for i, k in hidden.items())
+    assert middle >= 50
+    assert sum(found[100 + i].n_model > 0 for i in range(60)) >= 50
+    assert sum(found[200 + i].n_model > 0 for i in range(60)) <= 5
+
+
+def test_views_cover_every_character_of_a_candidate():
+    texts = [b"Hunter2xyz99 plainword " + b"ab1/" * 200 + b" x", b"", "é Aa1".encode() + b"b" * 49]
+    scan = secret_scan.Scan(texts)
+    for run in set(scan.run.tolist()):
+        own = scan.run == run
+        covered = np.zeros(len(scan.buffer), int)
+        for a, b in zip(scan.a[own], scan.b[own]):
+            assert b - a <= secret_scan.INSIDE
+            covered[a:b] += 1
+        at = np.flatnonzero(covered)
+        assert (np.diff(at) == 1).all()
+    assert len(set(scan.run.tolist())) == 3
+    assert scan.spans(np.flatnonzero(scan.owner == 0)) == [(0, 0, 12), (0, 23, 823)]
+    assert scan.spans(np.flatnonzero(scan.owner == 2)) == [(2, 2, 54)]
+
+
 def test_nothing_is_learnt_from_nothing(spark):
     for rows in ([], [(1, "no findings here"), (1, "no findings here"), (None, None)]):
         found = secret_scan.scan(spark, spark.createDataFrame(rows, TEXTS)).collect()
