@@ -475,14 +475,21 @@ def _classes(
     """The rows of :func:`near_classes` with the hash of each text, ``digest``."""
     lean_batches(spark)
     sizes = stored(spark, shingle_sets(docs, width, id_col, text_col), "shingle-sets")
+    # ``doc_id`` finds a member's text: the least id, or the text's hash where no row has one.
+    least_id = F.min("doc_id")
     members = stored(
         spark,
-        sizes.filter("gid is not null and doc_id is not null").groupBy("gid")
-        .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")),
+        sizes.filter("gid is not null").groupBy("gid").agg(
+            least_id.alias("least_id"), F.coalesce(least_id, F.min("digest")).alias("doc_id"), F.max("n").alias("n")
+        ),
         "members",
     )
     # Sets that may have a link at all, by a part of their shingles.
     texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("text"))
+    # Equal texts without an id once: all of them have one hash to be found by.
+    nameless = texts.filter("_id is null and text is not null").groupBy(F.xxhash64("text").alias("_id"))
+    nameless = stored(spark, nameless.agg(F.min("text").alias("text")), "texts-without-id")
+    texts = texts.filter("_id is not null").unionByName(nameless)
     tokens = members.agg(F.sum("n")).first()[0] or 0
     active = _prefixes(spark, texts.select("text"), tokens, width, num, den, COUNTED, True)
     left = stored(spark, active.join(members, "gid"), "active")
@@ -525,7 +532,7 @@ def _classes(
     labelled = members.join(found.withColumnRenamed("node", "gid"), "gid", "left").withColumn(
         "component", F.coalesce("component", "gid")
     )
-    least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_set = labelled.join(least, "component").select("gid", "component_id")
     return sizes.join(by_set, "gid", "left").select(
         "doc_id",

@@ -53,6 +53,19 @@ def variants(seed, base, copies, edits):
     return out
 
 
+def test_links_lead_through_rows_without_an_id(spark):
+    base = [f"w{i}" for i in range(200)]
+    one, two, three = (" ".join(base[k : k + 180]) for k in (0, 8, 16))
+    rows = [(3, one), (None, two), (None, two), (1, three), (None, "a b c d e f"), (None, "a b c d e f g h"), (None, None)]
+    rows += [(None, f"{two} {k}") for k in range(3)]
+    found = near_classes(spark, clashing(spark.createDataFrame(rows, TEXTS)), 4, 85, 100).collect()
+    by_id = {r.doc_id: r.component_id for r in found if r.doc_id is not None}
+    assert by_id == {1: 1, 3: 1} and len(found) == len(rows)
+    assert sorted(str(r.component_id) for r in found if r.doc_id is None) == ["1"] * 5 + ["None"] * 3
+    kept = keep_one(spark, spark.createDataFrame(rows, TEXTS), 4, 85, 100)
+    assert kept.count() == len(rows) - 1 and kept.filter("doc_id = 1").count() == 1
+
+
 def test_documents_against_all_pairs(spark, documents):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     check(spark, rows)
