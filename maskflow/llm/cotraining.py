@@ -5,8 +5,12 @@ some rounds each names the unlabelled documents that it is most sure of, and the
 other learns from them. Both are then calibrated on labelled documents that neither
 has learnt from, their calibrated log odds are added up, and every document is scored.
 
-Learning is done on bounded samples (``LABELLED`` and ``UNLABELLED`` rows, chosen by
-hash of the id, so they are even and repeatable); scoring reads every whole text.
+In every round both views look at all unlabelled documents, in one pass over their
+whole texts. Counts of the log odds in narrow steps give, for each view and class, the
+place from which a document belongs to the most certain share; those documents are the
+round's pseudo-labels. The classifiers are fitted on bounded samples (``LABELLED``
+labelled rows, and of each kind of pseudo-label ``TAUGHT`` rows a round, chosen by
+hash of id and text, so they are even and repeatable).
 The threshold is one half, or lower where ``KEEP_GOOD`` of the good calibration rows
 would not stay otherwise.
 
@@ -14,7 +18,8 @@ Defined cases: a null text is empty, null metadata is a value of its own. Docume
 without words are scored like others. Labels that are null, or contradict one another
 for one id, are left out. With labels of one kind only, or none, nothing can be
 learnt: scores are the share of good labels (one half without any) and no row is
-rejected. Repeated ids each get their score. Extra columns are kept out of the way
+rejected. Repeated ids each get their score; rows that repeat id and text count once in
+learning, and all texts under a labelled id have its label. Extra columns are kept out of the way
 by numbering the ones that are used.
 """
 
@@ -24,18 +29,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from maskflow.llm.tables import lean_batches, stored
+from maskflow.llm.tables import drop_stored, lean_batches, stored
 from maskflow.llm.words import SPACE, mix, word_hashes
 
 #: Rows that the classifiers may learn from; the bound of the sample that is collected.
 LABELLED = 5_000
-UNLABELLED = 5_000
+#: Of each view's and class's pseudo-labels of a round, the rows that the fit sees.
+TAUGHT = 500
 ROUNDS = 3
 #: Of the unlabelled rows, the share that each view passes on in a round, by class.
 SURE = 0.05
+#: Log odds beyond which a view is sure: 0.95 against 0.05.
+CERTAIN = float(np.log(0.95 / 0.05))
+#: Log odds are counted in steps of 1 / STEPS, up to FAR on either side.
+STEPS, FAR = 64, 60
 KEEP_GOOD = 0.995
 #: How strongly weights are drawn to zero.
 PULL = 1e-4
@@ -177,8 +187,13 @@ class Model:
         return sigmoid(self.joint[0] + self.views(text, meta) @ self.joint[1:])
 
 
-def train(text: list, meta: list, label: np.ndarray) -> Model:
-    """Co-train on rows of both views; ``label`` is 1, 0, or -1 where unknown."""
+def train(text: list, meta: list, label: np.ndarray, exchange=None) -> Model:
+    """Co-train on rows of both views; ``label`` is 1, 0, or -1 where unknown.
+
+    ``exchange`` takes the weights of both views and gives ``(view, row, target)`` for
+    each document that a view is sure of; it may append rows to ``text`` and ``meta``.
+    Without it the documents are those of unknown label.
+    """
     known = np.flatnonzero(label >= 0)
     share = float(label[known].mean()) if len(known) else 0.5
     if share in (0.0, 1.0) or len(known) < 10 or not len(known):
@@ -188,28 +203,21 @@ def train(text: list, meta: list, label: np.ndarray) -> Model:
     own = np.setdiff1d(known, held)
     if len(set(label[own])) < 2 or len(set(label[held])) < 2:
         own = held = known
-    free = np.flatnonzero(label < 0)
     views = [(text, TEXT_SIZE), (meta, META_BUCKETS)]
-    taught = [dict.fromkeys(own.tolist()) for _ in views]
-    for k in range(2):
-        taught[k] = {i: float(label[i]) for i in own.tolist()}
+    exchange = exchange or _among(views, np.flatnonzero(label < 0))
+    taught = [{i: float(label[i]) for i in own.tolist()} for _ in views]
     weights = [np.zeros(size) for _, size in views]
     for turn in range(ROUNDS + 1):
         for k, (rows, size) in enumerate(views):
-            at = np.array(list(taught[k]))
-            trust = np.where(label[at] >= 0, 1.0, 0.5)
+            at = list(taught[k])
+            trust = np.where(np.arange(len(at)) < len(own), 1.0, 0.5)
             target = np.array(list(taught[k].values()))
             weights[k] = fit(Sparse([rows[i] for i in at], size), target, trust)
-        if turn == ROUNDS or not len(free):
+        passed = [] if turn == ROUNDS else list(exchange(weights))
+        if not passed:
             break
-        for k, (rows, size) in enumerate(views):
-            z = sigmoid(Sparse([rows[i] for i in free], size).dot(weights[k]))
-            order, n = np.argsort(z, kind="stable"), max(1, int(SURE * len(free)))
-            # Only what the view is really sure of; a view that knows little passes nothing on.
-            for i in order[-n:][z[order[-n:]] > 0.95]:
-                taught[1 - k][int(free[i])] = 1.0
-            for i in order[:n][z[order[:n]] < 0.05]:
-                taught[1 - k][int(free[i])] = 0.0
+        for k, i, y in passed:
+            taught[1 - k][i] = y
     seen = np.column_stack(
         [Sparse([rows[i] for i in held], size).dot(w) for (rows, size), w in zip(views, weights)]
     )
@@ -225,9 +233,32 @@ def train(text: list, meta: list, label: np.ndarray) -> Model:
     return model
 
 
+def _among(views: list, free: np.ndarray):
+    """The exchange among rows at hand: of ``free``, those that a view is really sure of."""
+
+    def pick(weights):
+        n = max(1, int(SURE * len(free)))
+        for k, (rows, size) in enumerate(views if len(free) else []):
+            z = Sparse([rows[i] for i in free], size).dot(weights[k])
+            order = np.argsort(z, kind="stable")
+            # A view that knows little passes nothing on.
+            yield from ((k, int(free[i]), 1.0) for i in order[-n:] if z[i] > CERTAIN)
+            yield from ((k, int(free[i]), 0.0) for i in order[:n] if z[i] < -CERTAIN)
+
+    return pick
+
+
 def _features():
+    """Features of rows ``key, label, text, metadata``; a key is sent once by a task."""
+
     def run(batches):
+        sent: set[int] = set()
         for batch in batches:
+            fresh = []
+            for key in batch.column(0).to_pylist():
+                fresh.append(key not in sent)
+                sent.add(key)
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
             texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
             meta = meta_rows([c.to_pylist() for c in batch.columns[3:]])
             rows = text_rows(texts)
@@ -237,13 +268,28 @@ def _features():
                 [a.astype(np.int32).tobytes() for a, _ in meta],
             ]
             yield pa.record_batch(
-                [batch.column(1), *(pa.array(p, pa.binary()) for p in packed)],
-                ["label", "at", "value", "meta"],
+                [batch.column(0), batch.column(1), *(pa.array(p, pa.binary()) for p in packed)],
+                ["key", "label", "at", "value", "meta"],
             )
 
     return run
 
 
+def _log_odds(sent):
+    """``key, id, text, metadata`` to the log odds of both views."""
+
+    def run(batches):
+        weights = sent.value
+        for batch in batches:
+            texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            meta = meta_rows([c.to_pylist() for c in batch.columns[3:]])
+            meta = meta or [(np.zeros(1, np.int64), np.ones(1, np.float32))] * len(texts)
+            z = [Sparse(text_rows(texts), TEXT_SIZE).dot(weights[0]), Sparse(meta, META_BUCKETS).dot(weights[1])]
+            yield pa.record_batch([*batch.columns[:2], *map(pa.array, z)], ["_key", "_id", "_z0", "_z1"])
+
+    return run
+
+
 def _scores(sent):
     def run(batches):
         model = sent.value
@@ -275,15 +321,56 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str],
     )
 
 
-def _lowest(ids: DataFrame, limit: int) -> DataFrame:
-    """The ids with the lowest hashes, ``limit`` at most.
+def _key(id_col: str, text_col: str):
+    """Tells rows apart by id and text."""
+    return F.xxhash64(F.col(f"`{id_col}`").cast("bigint"), F.col(f"`{text_col}`").cast("string"))
+
+
+def _below(rows: int, limit: int) -> int:
+    """A bound on even hashes that little more than ``limit`` of ``rows`` rows stay below."""
+    share = min(1.0, (1.2 * limit + 200) / max(1, rows))
+    return min(int(share * (1 << 64)) - (1 << 63), (1 << 63) - 1)
+
+
+def _lowest(keys: DataFrame, limit: int) -> DataFrame:
+    """The keys with the lowest hashes, ``limit`` at most; keys are distinct."""
+    hashed = keys.withColumn("_h", F.xxhash64("_key")).filter(F.col("_h") <= _below(keys.count(), limit))
+    return hashed.orderBy("_h", "_key").limit(limit).drop("_h")
 
-    Hashes are even, so a bound on them leaves little more than ``limit`` rows to sort.
+
+def _step(z):
+    return F.floor(F.greatest(F.least(z, F.lit(float(FAR))), F.lit(-float(FAR))) * STEPS)
+
+
+def _sure(free: DataFrame) -> DataFrame | None:
+    """Of ``free`` (``_key, _z0, _z1``): the pseudo-labels of both views, ``_key, slot``.
+
+    Slot ``2 * view + class``. All of the most certain share are found by counts of
+    steps, whole steps at a time; ``TAUGHT`` of each slot stay.
     """
-    share = min(1.0, (1.2 * limit + 200) / max(1, ids.count()))
-    cut = min(int(share * (1 << 64)) - (1 << 63), (1 << 63) - 1)
-    hashed = ids.withColumn("_h", F.xxhash64("_did")).filter(F.col("_h") <= cut)
-    return hashed.orderBy("_h", "_did").limit(limit).drop("_h")
+    steps = F.explode(F.array(*(F.struct(F.lit(k).alias("view"), _step(F.col(f"_z{k}")).alias("step")) for k in range(2))))
+    counted = free.select(steps.alias("s")).groupBy("s.view", "s.step").count().collect()  # 2 * STEPS * 2 * FAR at most
+    slots = []
+    for k in range(2):
+        own = sorted((r.step, r["count"]) for r in counted if r.view == k)
+        wanted = max(1, int(SURE * sum(n for _, n in own)))
+        for y, ordered in ((0, own), (1, own[::-1])):
+            total = 0
+            for step, n in ordered:
+                total += n
+                if total >= wanted:
+                    break
+            else:
+                return None  # no unlabelled document
+            z = F.col(f"_z{k}")
+            sure = z > CERTAIN if y else z < -CERTAIN
+            slots.append(sure & ((_step(z) >= step) if y else (_step(z) <= step)))
+    sizes = free.agg(*(F.count_if(c).alias(f"s{n}") for n, c in enumerate(slots))).first()
+    hashed = F.xxhash64("_key")
+    named = [F.when(c & (hashed <= _below(sizes[n], TAUGHT)), F.lit(n)) for n, c in enumerate(slots)]
+    rows = free.select("_key", F.explode(F.array(*named)).alias("slot")).filter("slot is not null")
+    first = Window.partitionBy("slot").orderBy(F.xxhash64("_key"), "_key")
+    return rows.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= TAUGHT).drop("_n")
 
 
 def learn(
@@ -295,34 +382,60 @@ def learn(
     meta_cols: list[str] | None = None,
     label_col: str = "quality",
 ) -> Model:
-    """The co-trained model from a bounded sample of labelled and unlabelled rows."""
+    """The model that both views learn from each other over all unlabelled documents."""
+    lean_batches(spark)
     meta_cols = meta_cols or []
+    key = _key(id_col, text_col)
     clear = (
         labels.select(F.col(id_col).cast("bigint").alias("_lid"), F.col(label_col).cast("int").alias("_y"))
         .filter("_y in (0, 1) and _lid is not null").groupBy("_lid")
         .agg(F.min("_y").alias("_y"), F.max("_y").alias("_top")).filter("_y = _top").select("_lid", "_y")
     )
-    # Ids first, texts of the chosen rows only after: no text is moved for the choice.
-    ids = docs.select(F.col(id_col).cast("bigint").alias("_did")).filter("_did is not null")
-    known = ids.join(clear, F.col("_did") == F.col("_lid")).select("_did", "_y")
-    other = ids.join(clear, F.col("_did") == F.col("_lid"), "left_anti").withColumn("_y", F.lit(-1))
-    chosen = _lowest(known, LABELLED).unionByName(_lowest(other, UNLABELLED))
-    chosen = stored(spark, chosen.dropDuplicates(["_did"]), "quality-sample")  # bounded, so it is sent to all tasks
-    picked = docs.join(F.broadcast(chosen), F.col(id_col).cast("bigint") == F.col("_did"))
-    rows = _numbered(picked, id_col, text_col, meta_cols, F.col("_y")).mapInArrow(
-        _features(), "label int, at binary, value binary, meta binary"
-    )
-    text, meta, label = [], [], []
-    found = rows.collect()
-    found.sort(key=lambda r: (bytes(r.at), bytes(r.value), bytes(r.meta), r.label))
-    for r in found:
-        text.append((np.frombuffer(r.at, np.int32), np.frombuffer(r.value, np.float32)))
-        own = np.frombuffer(r.meta, np.int32)
-        meta.append((own, np.ones(len(own), np.float32)))
-        label.append(r.label)
-    # Equal rows stand together after sorting; dealt again by a fixed shuffle.
-    order = np.random.default_rng(7).permutation(len(label))
-    return train([text[i] for i in order], [meta[i] for i in order], np.array(label, int)[order])
+    clear = stored(spark, clear, "quality-labels")
+    # Keys first, texts of the chosen rows only after: no text is moved for the choice.
+    ids = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_did"), key.alias("_key"))
+    ids = ids.filter("_did is not null").distinct()
+    known = stored(spark, ids.join(clear, F.col("_did") == F.col("_lid")).select("_key", "_y"), "quality-known")
+    text, meta, row_of = [], [], {}
+
+    def fetch(chosen: DataFrame) -> list[int]:
+        """Append the features of chosen keys (``_key, _y``, bounded); their labels."""
+        picked = docs.withColumn("_own", key).join(F.broadcast(chosen), F.col("_own") == F.col("_key"))
+        plain = picked.select(
+            "_own", F.col("_y").cast("int"), F.col(f"`{text_col}`").cast("string"),
+            *(F.col(f"`{c}`").alias(f"_m{k}") for k, c in enumerate(meta_cols)),
+        )
+        rows = plain.mapInArrow(_features(), "key bigint, label int, at binary, value binary, meta binary")
+        found = {r.key: r for r in rows.dropDuplicates(["key"]).collect()}
+        # Keys are hashes: their order is a fixed shuffle.
+        for k in sorted(found.keys() - row_of.keys()):
+            row_of[k] = len(text)
+            text.append((np.frombuffer(found[k].at, np.int32), np.frombuffer(found[k].value, np.float32)))
+            own = np.frombuffer(found[k].meta, np.int32)
+            meta.append((own, np.ones(len(own), np.float32)))
+        return [found[k].label for k in sorted(found)]
+
+    label = fetch(stored(spark, _lowest(known, LABELLED), "quality-sample"))
+
+    def exchange(weights):
+        sent = spark.sparkContext.broadcast(weights)
+        plain = docs.select(
+            key.alias("_key"), F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").cast("string"),
+            *(F.col(f"`{c}`").alias(f"_m{k}") for k, c in enumerate(meta_cols)),
+        )
+        seen = plain.mapInArrow(_log_odds(sent), "_key bigint, _id bigint, _z0 double, _z1 double")
+        each = seen.groupBy("_key").agg(*(F.min(c).alias(c) for c in ("_id", "_z0", "_z1")))
+        free = stored(spark, each.join(clear, F.col("_id") == F.col("_lid"), "left_anti"), "quality-free")
+        chosen = _sure(free)
+        taught = [] if chosen is None else sorted(chosen.collect())  # 4 * TAUGHT rows at most
+        if taught:
+            keys = spark.createDataFrame(sorted({(r[0], -1) for r in taught}), "_key bigint, _y int")
+            fetch(keys)
+        drop_stored(spark, free)
+        sent.unpersist()
+        return [(slot // 2, row_of[k], float(slot % 2)) for k, slot in taught]
+
+    return train(text, meta, np.array(label, int), exchange)
 
 
 def score(

@@ -145,6 +145,41 @@ def test_both_views_and_the_exchange():
         assert ((z > 0) == (label == 1)).mean() > 0.99
 
 
+def test_pseudo_labels_are_the_most_certain_share_of_all_rows(spark, monkeypatch):
+    g = np.random.default_rng(5)
+    z = np.column_stack([g.normal(0, 4, 20_000), np.repeat([-9.0, 0.5, 7.0, 2.0], 5_000)])
+    free = spark.createDataFrame([(k, *map(float, r)) for k, r in enumerate(z)], "_key long, _z0 double, _z1 double")
+    monkeypatch.setattr(cotraining, "TAUGHT", 50_000)
+    found = {s: {r[0] for r in cotraining._sure(free).collect() if r.slot == s} for s in range(4)}
+    step = np.floor(z * cotraining.STEPS)
+    for k in range(2):
+        order = np.sort(step[:, k])
+        low, high = order[1000 - 1], order[-1000]
+        assert found[2 * k] == set(np.flatnonzero((step[:, k] <= low) & (z[:, k] < -cotraining.CERTAIN)))
+        assert found[2 * k + 1] == set(np.flatnonzero((step[:, k] >= high) & (z[:, k] > cotraining.CERTAIN)))
+    monkeypatch.setattr(cotraining, "TAUGHT", 30)
+    few = cotraining._sure(free).collect()
+    assert Counter(r.slot for r in few) == dict.fromkeys(range(4), 30) and all(r[0] in found[r.slot] for r in few)
+    assert cotraining._sure(free.limit(0)) is None
+
+
+def test_the_exchange_over_a_table_teaches_the_view_that_labels_do_not(spark):
+    """Of 40 labelled rows the texts say nothing; the words come with unlabelled rows, one of them very often."""
+    g = np.random.default_rng(4)
+    rows, labels = [], []
+    for k in range(4_000):
+        y = int(g.integers(0, 2))
+        labelled = k < 80
+        word = "plain" if labelled else ("good fine nice" if y else "bad ugly wrong")
+        rows.append((k, f"{word} {word}", "a" if y else "b"))
+        labels += [(k, y)] * labelled
+    rows += [(77_777, "good fine nice", "a")] * 2_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = cotraining.learn(spark, docs, spark.createDataFrame(labels, "doc_id long, quality int"), meta_cols=["lang"])
+    z = cotraining.Sparse(cotraining.text_rows([b"good fine nice", b"bad ugly wrong"]), cotraining.TEXT_SIZE).dot(model.text)
+    assert z[0] > 1 and z[1] < -1
+
+
 def test_odd_documents_and_labels(spark):
     rows = [(1, None, None, None), (2, "", "en", 0), (2, "", "en", 0), (None, "x", "de", -5), (3, "a b " * 200_000, "fr", 7)]
     docs = clashing(spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long"))
