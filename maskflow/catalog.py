@@ -631,6 +631,86 @@ def spec_stream_audit(spark, sf_dir):
     return run.audit_sink.read(spark)
 
 
+@query(_DATA_SQL)
+def command_line_run(spark, sf_dir):
+    """The command line on a specification and files that only the environment names."""
+    import os
+    from unittest import mock
+
+    from .__main__ import main
+    from .plans.pipeline import build
+    from .spec import Store
+
+    env = _spec_env(spark, sf_dir)
+    names = ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+             "spark.sql.adaptive.coalescePartitions.enabled", "spark.app.name")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        with mock.patch.dict(os.environ, env | {"METASTORE_FILEPATH": SPEC}):
+            main([])  # only checks: nothing is written
+            main(["-r", PIPELINE, "--available-now", "--checkpoint", env["CHECKPOINT"]])
+            plan = build(spark, Store.load(), PIPELINE, streaming=False)
+    finally:
+        for name, value in before.items():
+            if spark.conf.isModifiable(name):
+                spark.conf.set(name, value)
+    plan.close()
+    return plan.data_sink.read(spark).drop("batch_id", "inserted_at")
+
+
+_REFUSED = {
+    "column": {"transforms": [{"transform_type": "redact", "source_column": "o_none", "destination_column": "x", "replace_with": ""}]},
+    "primary": {"transforms": [{"transform_type": "redact", "source_column": "o_orderkey", "destination_column": "x", "replace_with": ""}]},
+    "key": {"colour": "red"},
+    "schema": {"source": {"source_type": "file", "filepath_env": "ORDER_SOURCE", "source_schema": "none", "format": "parquet"}},
+    "table": {"sink": {"sink_type": "deltalake", "connector_id": "lake", "table": "none", "trigger_seconds": 60}},
+}
+
+
+@query(
+    f"select d.*, r.refused from ({_DATA_SQL}) d,"
+    f" (select '{','.join(sorted(_REFUSED))}' as refused) r"
+)
+def spec_refusals(spark, sf_dir):
+    """The example runs; with one column, key or name that does not resolve it is refused."""
+    import yaml
+    from pydantic import ValidationError
+
+    from .plans.pipeline import run_batch
+    from .spec import Store
+
+    text = Path(SPEC).read_text(encoding="utf-8")
+    refused = []
+    for name, change in _REFUSED.items():
+        declared = yaml.safe_load(text)
+        declared["pipelines"][0] |= change
+        try:
+            Store.model_validate(declared)
+        except ValidationError:
+            refused.append(name)
+    plan = run_batch(spark, Store.parse(text), PIPELINE, _spec_env(spark, sf_dir))
+    rows = plan.data_sink.read(spark).drop("batch_id", "inserted_at")
+    return rows.withColumn("refused", F.lit(",".join(sorted(refused))))
+
+
+@query(f"select a.*, 2 as plans, 1 as reads_customer from ({_AUDIT_SQL}) a")
+def explained_audit(spark, sf_dir):
+    """The plans of records and trail are shown before the run; the trail itself."""
+    import contextlib
+    import io
+
+    from .plans.pipeline import explain, run_batch
+    from .spec import Store
+
+    env, store, shown = _spec_env(spark, sf_dir), Store.load(filepath=SPEC), io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        explain(spark, store, PIPELINE, env, streaming=False)
+    plans = shown.getvalue().count("== Physical Plan ==")
+    reads = int("c_mktsegment" in shown.getvalue())
+    trail = run_batch(spark, store, PIPELINE, env).audit_sink.read(spark)
+    return trail.withColumns({"plans": F.lit(plans), "reads_customer": F.lit(reads)})
+
+
 # --- upsert ----------------------------------------------------------------------
 
 
@@ -1078,7 +1158,7 @@ def stream_own_paces(spark, sf_dir):
     return joined.withColumns({n: F.lit(c) for n, c in counts.items()})
 
 
-@query("select count(*) as n, count(*) as entries from events where event_type not in ('error', 'click')")
+@query("select event_id, event_type, user_id, 1 as entries from events where event_type not in ('error', 'click')")
 def stream_memory_restart(spark, sf_dir):
     """A memory pipeline started twice on one checkpoint still shows all its rows."""
     source = {"on_malformed": "quarantine", "quarantine_filepath_env": "QUARANTINE"}
@@ -1087,13 +1167,18 @@ def stream_memory_restart(spark, sf_dir):
         for n in ("events_now", "event_trail_now")
     ]
     run, _ = _run_events(spark, sf_dir, source, *sinks, starts=2)
-    trail = run.audit_sink.snapshot(spark).agg(F.count("*").alias("entries"))
-    return run.data_sink.snapshot(spark).agg(F.count("*").alias("n")).crossJoin(trail)
+    trail = run.audit_sink.snapshot(spark).groupBy("event_id").agg(F.count("*").cast("int").alias("entries"))
+    return run.data_sink.snapshot(spark).select("event_id", "event_type", "user_id").join(trail, "event_id", "left")
 
 
-@query("select count(*) as n, 0 as failed from events")
+@query(
+    """select case when event_type <> 'error' then event_id end as event_id,
+              case when event_type <> 'error' then event_type end as event_type,
+              case when event_type not in ('error', 'click') then user_id end as user_id, 0 as failed
+       from events"""
+)
 def stream_processing_time(spark, sf_dir):
-    """A run by processing time that is stopped when the source is used up."""
+    """A run by processing time, stopped when the source is used up; malformed fields are null."""
     from .plans.pipeline import run_stream
 
     env = _event_env(spark, sf_dir)
@@ -1103,7 +1188,7 @@ def stream_processing_time(spark, sf_dir):
         each.processAllAvailable()
     failed = sum(each.exception() is not None for each in run.queries)
     run.stop()
-    return run.data_sink.read(spark).agg(F.count("*").alias("n"), F.lit(failed).alias("failed"))
+    return run.data_sink.read(spark).select("event_id", "event_type", "user_id", F.lit(failed).alias("failed"))
 
 
 @query(
