@@ -16,8 +16,9 @@ No window is small enough for items of fewer than ``EXACT`` distinct shingles. T
 shingles are one sorted list, every shingle of a document is looked up in it, and
 nothing is left to chance.
 
-Items are taken in blocks of bounded size that are sent to all tasks; documents are
-read once for each block and never shuffled.
+Items are taken in blocks of bounded size that are sent to all tasks, one after
+another: a block's pairs are written down and the block is given up before the next
+one is made. Documents are read once for each block and never shuffled.
 
 Defined cases: items whose text is null or empty match nothing, null and empty
 documents contain nothing. An item without an id is matched like any other and its
@@ -217,7 +218,9 @@ def _pairs(
     for k in range(blocks):
         rows = [(r.item_id, r.text.encode()) for r in dealt.filter(f"block = {k}").toLocalIterator()]
         sent = spark.sparkContext.broadcast(Items(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])), width))
-        found.append(texts.mapInArrow(_search(sent, num, den), _SCHEMA))
+        # Written before the next block is made, so that one block at a time is held.
+        found.append(stored(spark, texts.mapInArrow(_search(sent, num, den), _SCHEMA), "contaminated-block"))
+        sent.destroy()
     return reduce(DataFrame.unionByName, found)
 
 

@@ -53,13 +53,69 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    r"""
+    WITH RECURSIVE words AS (
+      SELECT doc_id, list_filter(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+      FROM documents
+    ), sets AS MATERIALIZED (
+      SELECT doc_id, CASE WHEN len(ws) < 4 THEN (CASE WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) ELSE
+               list_sort(list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')))) END AS shingles
+      FROM words
+    ), texts AS MATERIALIZED (
+      SELECT min(doc_id) AS first_id, shingles, len(shingles) AS n FROM sets WHERE len(shingles) > 0 GROUP BY shingles
+    ), tokens AS MATERIALIZED (
+      SELECT first_id, n, unnest(shingles) AS shingle FROM texts
+    ), links AS MATERIALIZED (
+      SELECT a.first_id AS x, b.first_id AS y
+      FROM tokens a JOIN tokens b ON a.shingle = b.shingle AND a.first_id < b.first_id
+       AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+      GROUP BY a.first_id, b.first_id, a.n, b.n
+      HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    ), edges AS MATERIALIZED (
+      SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+    ), reach(root, node) AS (
+      SELECT first_id, first_id FROM texts
+      UNION
+      SELECT root, y FROM reach JOIN edges ON x = node AND y > root
+    ), least_of AS (
+      SELECT node, min(root) AS root FROM reach GROUP BY node
+    )
+    SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(l.root, s.doc_id) AS component_id
+    FROM sets s LEFT JOIN texts t ON t.shingles = s.shingles LEFT JOIN least_of l ON l.node = t.first_id
+    """
+)
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return jaccard_join.near_classes(spark, docs, width=4, num=85, den=100)
 
 
-@query()
+@query(
+    r"""
+    WITH words AS (
+      SELECT row_number() OVER () AS row, kind, id, list_filter(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+      FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark)
+    ), widths AS (
+      SELECT DISTINCT least(5, len(ws)) AS width FROM words WHERE kind = 'i' AND len(ws) > 0
+    ), shingles AS (
+      SELECT DISTINCT row, kind, id, width,
+             unnest(list_transform(range(1, len(ws) - width + 2), lambda i: array_to_string(ws[i:i + width - 1], ' '))) AS shingle
+      FROM words, widths WHERE kind = 'd' OR width = least(5, len(ws))
+    ), items AS (
+      SELECT *, count(*) OVER (PARTITION BY row) AS n_item FROM shingles WHERE kind = 'i'
+    )
+    SELECT d.id AS doc_id, i.id AS item_id, any_value(i.n_item)::INTEGER AS n_item, count(*)::INTEGER AS n_shared,
+           count(*) / any_value(i.n_item) AS containment
+    FROM shingles d JOIN items i USING (width, shingle)
+    WHERE d.kind = 'd'
+    GROUP BY d.row, d.id, i.row, i.id
+    HAVING 10 * count(*) >= 8 * any_value(i.n_item)
+    """
+)
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.contaminated(spark, docs, items)

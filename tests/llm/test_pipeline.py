@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pytest
 
 import __spark_entry__ as driver
 import corpus_pipeline
@@ -12,6 +13,7 @@ from maskflow.llm.queries import PIECE_MODEL
 from tests.llm.conftest import SF
 from tests.llm.test_jaccard_join import brute
 from tests.llm.test_text_operators import brute_containment
+from tests.oracle import assert_same, connect
 
 
 def test_every_operator_has_a_query():
@@ -20,6 +22,11 @@ def test_every_operator_has_a_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
+@pytest.mark.parametrize("name", ["op5_benchmark_decontamination", "op10_ngram_jaccard_join"])
+def test_sql_says_the_same(spark, name):
+    assert_same(driver.queries()[name](spark, SF), connect(SF), driver.oracle_sql()[name])
+
+
 def test_stages_decide_as_brute_force_does(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
