@@ -1295,15 +1295,19 @@ def upsert_one_bucket(spark, sf_dir):
        union all select -o_orderkey, o_custkey, 'one' from orders where o_orderkey % 2 = 0"""
 )
 def upsert_versions(spark, sf_dir):
-    """Two upserts of a table by key, the second written twice, old buckets deleted."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    kept = op.BucketTable.create(orders, scratch_path(spark, "orders-by-key"), ["o_orderkey"], 8)
+    """Two upserts of a table by key, the second written twice, old buckets deleted.
+
+    An order and its mirrored copy are two rows, also where -0 is 0: the side is in the key.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus").withColumn("mirrored", F.lit(False))
+    kept = op.BucketTable.create(orders, scratch_path(spark, "orders-by-key"), ["o_orderkey", "mirrored"], 8)
     even = orders.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("one"))
-    kept.upsert(even.unionByName(even.withColumn("o_orderkey", -F.col("o_orderkey"))))
+    copies = even.withColumns({"o_orderkey": -F.col("o_orderkey"), "mirrored": F.lit(True)})
+    kept.upsert(even.unionByName(copies))
     for _ in range(2):
         kept.upsert(orders.where("o_orderkey % 10 = 0").withColumn("o_orderstatus", F.lit("two")), version=2)
     kept.tidy()
-    return kept.read()
+    return kept.read().drop("mirrored")
 
 
 @query(

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskflow import folders
+from maskflow import catalog, folders
 from maskflow.operators import BucketTable, sample_uniform, sample_weighted, translate
 from maskflow.plans.pipeline import _check_steps, canonical_steps
 from maskflow.sources import flag_malformed, with_reasons
@@ -52,6 +52,15 @@ def test_a_version_written_again_changes_nothing(spark, tmp_path):
     assert rows(kept.read())[(1, "newer")] == 1 and kept.read().count() == 51
 
 
+def test_an_order_numbered_zero_and_its_mirror_are_two_rows(spark, tmp_path):
+    orders = [(0, 7, "O"), (1, 7, "F"), (2, 8, "O"), (10, 9, "P")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(
+        f"{tmp_path}/orders.parquet"
+    )
+    expected = [(0, 7, "two"), (1, 7, "F"), (2, 8, "one"), (10, 9, "two"), (0, 7, "one"), (-2, 8, "one"), (-10, 9, "one")]
+    assert rows(catalog.upsert_versions(spark, str(tmp_path))) == Counter(expected)
+
+
 def test_a_version_that_is_not_whole_is_not_seen(spark, tmp_path):
     kept = BucketTable.create(spark.range(20), f"{tmp_path}/t", ["id"], 2)
     kept.upsert(spark.range(20, 40))
