@@ -90,6 +90,22 @@ def test_trees_find_what_neighbours_hide(spark):
     assert all(rows[k].spans == plain(texts[k]) for k in range(900))
 
 
+def test_all_rows_of_measures_are_learnt_from(spark, monkeypatch):
+    """Whatever the driver may hold: with more rows Spark adds up the same sums."""
+    docs = spark.createDataFrame(list(enumerate(numbers(spark))), TEXTS).repartition(4)
+    monkeypatch.setattr(private_data, "TREES", 3)
+    whole = private_data.learn(spark, docs)
+    monkeypatch.setattr(private_data, "VECTORS", 3)
+    spread = private_data.learn(spark, docs)
+
+    def cuts(tree):
+        return (*tree[:2], cuts(tree[2]), cuts(tree[3])) if isinstance(tree, tuple) else round(tree, 9)
+
+    assert len(whole.trees) == 3 and [cuts(t) for t in whole.trees] == [cuts(t) for t in spread.trees]
+    assert whole.thresholds.keys() == spread.thresholds.keys() and np.allclose(whole.scale, spread.scale, atol=0.02)
+    assert np.allclose(list(whole.thresholds.values()), list(spread.thresholds.values()), atol=0.02)
+
+
 def test_conditions_are_the_trees(spark):
     from pyspark.sql import functions as F
 
