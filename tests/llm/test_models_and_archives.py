@@ -68,6 +68,30 @@ def test_the_network_adds_secrets_that_no_rule_names(spark):
     assert kind == "model" and re.fullmatch("[0-9a-f]{30}", dict(fresh)[hit.doc_id][int(a) : int(b)])
 
 
+def test_all_findings_are_learnt_from_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "BLOCK", 60)
+    monkeypatch.setattr(secret_scan, "LEAST", 5)
+    rows = [(k, k % 100 == 0, b"") for k in range(1000)]
+    own = spark.createDataFrame(rows, "key long, secret boolean, codes binary")
+    dealt, blocks = secret_scan._dealt(own, {True: 10, False: 990})
+    found = [(r.block, r.key, r.secret) for r in dealt.collect()]
+    assert blocks == 17 and {r[1] for r in found} == set(range(1000)) and len(set(found)) == len(found)
+    assert len(found) == 990 + 9 * 10 and all({True, False} == {s for b, _, s in found if b == n} for n in range(17))
+
+    monkeypatch.setattr(secret_scan, "BLOCK", 700)
+    g = random.Random(8)
+    key = lambda n: "".join(g.choice("0123456789abcdef") for _ in range(n))
+    prose = lambda n: " ".join("".join(g.choice("aeioulnrst") for _ in range(g.randint(2, 20))) for _ in range(n))
+    labelled = [(i, f"{prose(40)} token = \"{key(40)}\" {prose(40)} password={key(18)} {prose(9)}") for i in range(300)]
+    docs = spark.createDataFrame(labelled, TEXTS)
+    model = secret_scan.learn(spark, docs)
+    assert np.allclose(model.flat(), secret_scan.learn(spark, docs.repartition(3)).flat(), atol=1e-5)
+    fresh = [(i, f"{prose(30)} {key(30)} {prose(30)}" if i % 2 else prose(60)) for i in range(100)]
+    found = secret_scan.scan(spark, spark.createDataFrame(fresh, TEXTS), model).collect()
+    assert sum(r.n_model > 0 for r in found if r.doc_id % 2) >= 45
+    assert sum(r.n_model > 0 for r in found if r.doc_id % 2 == 0) <= 2
+
+
 def test_long_and_short_candidates_are_read_whole(spark):
     g = random.Random(4)
     key = lambda n: "".join(g.choice("ABCDEFGHJKMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789") for _ in range(n))
