@@ -421,7 +421,9 @@ def learn(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> Netwo
     rounds = 1 if blocks == 1 else ROUNDS
     for turn in range(rounds):
         sent = spark.sparkContext.broadcast(model)
-        copies = dealt.groupBy("block").applyInArrow(_taught(sent, EPOCHS // rounds, turn), "weights array<float>")
+        # Few bytes and much work: a number of tasks that is not lowered.
+        spread = dealt.repartition(blocks, "block").groupBy("block")
+        copies = spread.applyInArrow(_taught(sent, EPOCHS // rounds, turn), "weights array<float>")
         # One row for each weight of the network.
         average = copies.select(F.posexplode("weights").alias("at", "w")).groupBy("at").agg(F.avg("w").alias("w"))
         model = Network.of([r.w for r in sorted(average.collect())])
