@@ -52,6 +52,8 @@ PULL = 1e-4
 WORD_BUCKETS = 1 << 12
 META_BUCKETS = 1 << 10
 _SHAPES = 16
+#: Features that a sum over rows takes at once, for the memory of the driver and of tasks.
+AT_ONCE = 1 << 16
 #: Measures that are also given in steps, so that a middle value can count by itself.
 _STEPPED, _STEPS = (2, 3, 5, 9, 11, 12, 15), 8
 _FORM = _SHAPES + len(_STEPPED) * _STEPS
@@ -130,20 +132,27 @@ def meta_rows(columns: list[list]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 class Sparse:
-    """Rows of sparse features, end to end."""
+    """Rows of sparse features, end to end; sums take ``AT_ONCE`` of them, in their order."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], size: int):
         self.size = size
         self.at = np.concatenate([r[0] for r in rows]) if rows else np.zeros(0, np.int64)
         self.values = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0, np.float32)
-        self.row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
         self.n = len(rows)
 
+    def _sum(self, factors: np.ndarray, of: np.ndarray, to: np.ndarray, size: int) -> np.ndarray:
+        total = np.zeros(size)
+        for k in range(0, len(to), AT_ONCE):
+            part = slice(k, k + AT_ONCE)
+            np.add.at(total, to[part].astype(np.intp), factors[of[part]] * self.values[part])
+        return total
+
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights[self.at] * self.values, minlength=self.n)
+        return self._sum(weights, self.at, self.row, self.n)
 
     def back(self, errors: np.ndarray) -> np.ndarray:
-        return np.bincount(self.at, errors[self.row] * self.values, minlength=self.size)
+        return self._sum(errors, self.row, self.at, self.size)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from maskflow.llm import components as components_module
 from maskflow.llm import jaccard_join
 from maskflow.llm.components import components
 from maskflow.llm.jaccard_join import keep_one, near_classes
@@ -125,6 +126,22 @@ def test_components(spark):
     assert components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_plans_stay_small(spark, monkeypatch):
+    """The driver plans one group-and-join step at a time, over one table read twice."""
+    plans, kept = [], components_module.stored
+
+    def counted(session, frame, name):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        plans.append((plan.count("Join "), plan.count("Relation ")))
+        return kept(session, frame, name)
+
+    monkeypatch.setattr(components_module, "stored", counted)
+    edges = spark.createDataFrame([(1, 2), (2, 3), (9, 8)], "a long, b long")
+    assert {tuple(r) for r in components(spark, edges).collect()} == {(1, 1), (2, 1), (3, 1), (8, 8), (9, 8)}
+    assert max(joins for joins, _ in plans) == 1
+    assert max(reads for _, reads in plans) == 2
+
+
 def test_several_texts_under_one_id(spark):
     g = random.Random(17)
     bases = [" ".join(f"w{g.randrange(4000)}" for _ in range(60)) for _ in range(8)]

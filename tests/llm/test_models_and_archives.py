@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -169,6 +170,22 @@ def test_both_views_and_the_exchange():
         assert ((z > 0) == (label == 1)).mean() > 0.99
 
 
+def test_sums_over_rows_take_little_memory():
+    """Training holds its rows once: a sum makes no copy of all of them, and adds up in the same order."""
+    g = np.random.default_rng(5)
+    made = [(np.sort(g.integers(0, 500, 300)).astype(np.int32), g.random(300, np.float32)) for _ in range(1500)]
+    rows, weights, errors = cotraining.Sparse(made, 500), g.normal(size=500), g.normal(size=1500)
+    tracemalloc.start()
+    dot, back = rows.dot(weights), rows.back(errors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < rows.values.nbytes + rows.at.nbytes
+    at, values = np.concatenate([r[0] for r in made]), np.concatenate([r[1] for r in made])
+    row = np.repeat(np.arange(1500), 300)
+    assert (dot == np.bincount(row, weights[at] * values, 1500)).all()
+    assert (back == np.bincount(at, errors[row] * values, 500)).all()
+
+
 def test_pseudo_labels_are_the_most_certain_share_of_all_rows(spark, monkeypatch):
     g = np.random.default_rng(5)
     z = np.column_stack([g.normal(0, 4, 20_000), np.repeat([-9.0, 0.5, 7.0, 2.0], 5_000)])
